@@ -23,7 +23,7 @@ from lapakdw.plans.warehouse import (
     Warehouse,
     partition_columns,
 )
-from lapakdw.runtime import shuffle_settings, sql_conf
+from lapakdw.runtime import literal_rows, shuffle_settings, sql_conf
 from lapakdw.sources.raw import RawSales, Slice, slice_sales
 
 
@@ -98,7 +98,7 @@ def load_counts(wh: Warehouse, tables: Iterable[str] = TABLES) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def load_idempotency(first: DataFrame, second: DataFrame) -> DataFrame:
+def compare_counts(first: DataFrame, second: DataFrame) -> DataFrame:
     """Two row-count reports side by side; ``idempotent`` where they agree."""
     both = first.select("table", F.col("rows").alias("run_1")).join(
         second.select("table", F.col("rows").alias("run_2")), "table", "full"
@@ -106,6 +106,16 @@ def load_idempotency(first: DataFrame, second: DataFrame) -> DataFrame:
     return both.withColumn("idempotent", F.col("run_1").eqNullSafe(F.col("run_2")))
 
 
+def load_idempotency(run: Callable[[], Warehouse]) -> DataFrame:
+    """Load twice and compare the row counts. The first counts are fixed before the second run."""
+    reports = []
+    for _ in range(2):
+        wh = run()
+        counted = [tuple(row) for row in load_counts(wh).collect()]
+        reports.append(literal_rows(wh.spark, {"table": "string", "rows": "bigint"}, counted))
+    return compare_counts(*reports)
+
+
 def warehouse_integrity(fact: DataFrame) -> DataFrame:
     """Rows of the fact and rows without a date key, with the two verdicts."""
     counted = fact.agg(F.count("*").alias("rows"), F.count_if(F.col("date_sk").isNull()).alias("without_date"))
