@@ -43,6 +43,8 @@ class Ranges:
     frame: DataFrame
     order: list[str]
     single: bool
+    # Whether some row has more copies than one task should write out.
+    spread: bool = False
 
 
 def cut_ranges(df: DataFrame, order: list[str], range_rows: int = RANGE_ROWS) -> Ranges:
@@ -55,7 +57,8 @@ def cut_ranges(df: DataFrame, order: list[str], range_rows: int = RANGE_ROWS) ->
     cut = counted.repartitionByRange(math.ceil(rows / range_rows), *nulls_last(full))
     # The cuts come from a sample, so they are fixed by writing them down.
     cut = materialize(cut.withColumn(RANGE, F.spark_partition_id()), "ranges")
-    return Ranges(cut, full, single=False)
+    most = cut.agg(F.max(COPIES).alias("most")).first()["most"]
+    return Ranges(cut, full, single=False, spread=most > COPY_CHUNK)
 
 
 def walk_ranges(ranges: Ranges, carry: list[str]) -> DataFrame:
@@ -109,5 +112,5 @@ def surrogate_key(df: DataFrame, order: list[str], name: str, range_rows: int =
     a rebuild gives the same keys.
     """
     ranges = cut_ranges(df, order, range_rows)
-    numbered = repeat_copies(walk_ranges(ranges, order[:1]), spread=not ranges.single)
+    numbered = repeat_copies(walk_ranges(ranges, order[:1]), ranges.spread)
     return numbered.select((F.col(START) + F.col(COPY) + 1).alias(name), *df.columns)

@@ -38,7 +38,7 @@ def scd2_versions(
     many versions is spread over ranges like any other stretch of rows.
     """
     ranges = cut_ranges(df, [key, start], range_rows)
-    rows = repeat_copies(walk_ranges(ranges, [key, start]), spread=not ranges.single)
+    rows = repeat_copies(walk_ranges(ranges, [key, start]), ranges.spread)
     following = F.when(F.col(FOLLOWING)[key].eqNullSafe(F.col(key)), F.col(FOLLOWING)[start])
     next_start = F.when(F.col(COPY) < F.col(COPIES) - 1, F.col(start)).otherwise(following)
     return rows.select(

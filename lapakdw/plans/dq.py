@@ -157,17 +157,20 @@ def _counts(
     frames: list[DataFrame] = []
     errors: dict[str, str] = {}
     by_view: dict[str, list[DqSpec]] = {}
+    alone = [s for s in specs if not isinstance(s.rule, RowRule)]
     for spec in specs:
+        if isinstance(spec.rule, RowRule):
+            by_view.setdefault(spec.rule.view, []).append(spec)
+    for view, group in by_view.items():
+        try:
+            frames.append(_folded(views, view, group))
+        except (PySparkException, KeyError):
+            alone.extend(group)
+    for spec in alone:
         try:
-            frame = check(spark, views, spec)
+            frames.append(check(spark, views, spec).select(F.lit(spec.name).alias("name"), VIOLATIONS))
         except (PySparkException, KeyError) as error:
             errors[spec.name] = _message(error)
-            continue
-        if isinstance(spec.rule, RowRule):
-            by_view.setdefault(spec.rule.view, []).append(spec)
-        else:
-            frames.append(frame.select(F.lit(spec.name).alias("name"), VIOLATIONS))
-    frames.extend(_folded(views, view, group) for view, group in by_view.items())
     return frames, errors
 
 

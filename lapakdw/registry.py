@@ -57,9 +57,14 @@ def plain(df: DataFrame) -> DataFrame:
 # Sources, sinks and load
 
 
+def _export(df: DataFrame, path: str) -> None:
+    """Write a raw table as CSV, its texts unchanged."""
+    df.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
 def q_read_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_scratch(spark, "csv")
-    standin.transactions(spark, sf_dir).write.csv(path, header=True, escape='"')
+    _export(standin.transactions(spark, sf_dir), path)
     return read_raw(spark, path, HEADER_COLUMNS)
 
 
@@ -67,7 +72,7 @@ def q_register_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_scratch(spark, "csv")
     views = StandinViews(spark, sf_dir)
     for name in ("raw_transactions", "raw_transaction_items", "raw_products", "raw_outlets"):
-        views[name].write.csv(f"{folder}/{name.removeprefix('raw_')}.csv", header=True, escape='"')
+        _export(views[name], f"{folder}/{name.removeprefix('raw_')}.csv")
     counts = [
         spark.table(view).agg(F.count("*").alias("rows")).select(F.lit(view).alias("view"), "rows")
         for view in register_raw(spark, folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -32,6 +33,7 @@ def session(app: str = "lapakdw", master: str | None = None, **settings: str) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)
@@ -118,12 +120,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def literal_rows(spark: SparkSession, schema: dict[str, str], rows: list[tuple]) -> DataFrame:
-    """A small fixed table: rows of Python values under column names and types."""
-    structs = [
-        F.struct(*(F.lit(value).cast(dtype).alias(name) for value, (name, dtype) in zip(row, schema.items())))
-        for row in rows
-    ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+    """A small fixed table: rows of texts, numbers and booleans under column names and types."""
+    struct = ", ".join(f"{name}: {dtype}" for name, dtype in schema.items())
+    text = json.dumps([dict(zip(schema, row)) for row in rows])
+    parsed = F.from_json(F.lit(text), f"array<struct<{struct}>>")
+    return spark.range(0, 1, 1, 1).select(F.inline(parsed))
 
 
 def measured_bytes(df: DataFrame) -> int:

@@ -215,13 +215,16 @@ _VIEWS = {
 
 
 class StandinViews(Mapping[str, DataFrame]):
-    """``raw_*`` frames by view name, each made when it is asked for."""
+    """``raw_*`` frames by view name, each made when it is first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._dir = spark, sf_dir
+        self._made: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return _VIEWS[name](self._spark, self._dir)
+        if name not in self._made:
+            self._made[name] = _VIEWS[name](self._spark, self._dir)
+        return self._made[name]
 
     def __iter__(self) -> Iterator[str]:
         return iter(_VIEWS)
