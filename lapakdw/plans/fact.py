@@ -54,16 +54,15 @@ def product_lookup(facts: DataFrame, products: DataFrame, day: str) -> DataFrame
     return scd2_lookup(facts, lookup, "product_id", day, "product_sk")
 
 
-def keyed_headers(transactions: DataFrame, dims: Dims, local_tz: str | None = None) -> DataFrame:
-    """Consistent headers, reduced to surrogate keys, the business date and the typed total."""
-    headers = transactions_clean(transactions).withColumn(
-        "_day", business_date(F.col("tanggal_waktu"), local_tz)
+def dated_headers(transactions: DataFrame, local_tz: str | None = None) -> DataFrame:
+    """Consistent headers with their business date and typed total."""
+    return transactions_clean(transactions).select(
+        HEADER_KEY,
+        "outlet_id",
+        "status",
+        business_date(F.col("tanggal_waktu"), local_tz).alias("_day"),
+        to_money(F.col("total_bayar")).alias("total_bayar_trx"),
     )
-    headers = date_lookup(headers, dims.date, "_day")
-    headers = outlet_lookup(headers, dims.outlet)
-    headers = status_lookup(headers, dims.status)
-    total = to_money(F.col("total_bayar")).alias("total_bayar_trx")
-    return headers.select(HEADER_KEY, "_day", "date_sk", "outlet_sk", "status_sk", total)
 
 
 def header_lines(items: DataFrame, headers: DataFrame) -> DataFrame:
@@ -79,9 +78,16 @@ def header_lines(items: DataFrame, headers: DataFrame) -> DataFrame:
 
 
 def fact_transaksi_item(raw: RawSales, dims: Dims, local_tz: str | None = None) -> DataFrame:
-    """One row per line of a consistent header, with four surrogate keys and typed measures."""
-    headers = keyed_headers(raw.transactions, dims, local_tz)
-    lines = product_lookup(header_lines(raw.items, headers), dims.product, "_day")
+    """One row per line of a consistent header, with four surrogate keys and typed measures.
+
+    The dimensions are looked up after the lines are unique, so a dimension that
+    holds a key twice shows as repeated lines and is not hidden.
+    """
+    lines = header_lines(raw.items, dated_headers(raw.transactions, local_tz))
+    lines = date_lookup(lines, dims.date, "_day")
+    lines = status_lookup(lines, dims.status)
+    lines = outlet_lookup(lines, dims.outlet)
+    lines = product_lookup(lines, dims.product, "_day")
     qty = to_int(F.col("qty"))
     price, discount = to_money(F.col("harga_satuan")), to_money(F.col("diskon"))
     measures = {

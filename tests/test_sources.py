@@ -1,0 +1,86 @@
+import dataclasses
+
+import pytest
+
+from lapakdw.plans.fact import FACT
+from lapakdw.plans.load import build_warehouse
+from lapakdw.runtime import new_scratch, scratch_root, sql_conf
+from lapakdw.sources.raw import SLICES, RawSales, Slice, read_raw, register_raw, slice_filter
+from tests.helpers import small_shop, texts
+
+
+def test_read_raw_keeps_texts_and_blanks(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text('id,name,n\n1,"a ""b"", c",007\n2,,\n3,"", 5 \n', encoding="utf-8")
+    df = read_raw(spark, str(path))
+    assert df.dtypes == [("id", "string"), ("name", "string"), ("n", "string")]
+    assert [tuple(r) for r in df.collect()] == [("1", 'a "b", c', "007"), ("2", None, None), ("3", None, " 5 ")]
+    assert read_raw(spark, str(path), ["n", "id"]).columns == ["n", "id"]
+
+
+def test_read_raw_multiline(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text('id,name\n1,"two\nlines"\n2,b\n', encoding="utf-8")
+    assert [tuple(r) for r in read_raw(spark, str(path), multiline=True).collect()] == [("1", "two\nlines"), ("2", "b")]
+
+
+def test_register_raw(spark, tmp_path):
+    (tmp_path / "products.csv").write_text("product_id\nP1\nP2\n")
+    (tmp_path / "outlets.csv").mkdir()
+    (tmp_path / "outlets.csv" / "part-0.csv").write_text("outlet_id\nA\n")
+    (tmp_path / "outlets.csv" / "part-1.csv").write_text("outlet_id\nB\n")
+    (tmp_path / "notes.txt").write_text("no table")
+    assert register_raw(spark, str(tmp_path)) == ["raw_outlets", "raw_products"]
+    assert spark.table("raw_outlets").count() == 2
+    assert spark.sql("SELECT count(*) FROM raw_products").first()[0] == 2
+
+
+def test_slices(spark):
+    trx = small_shop(spark).transactions
+    assert {r.transaction_id for r in slice_filter(trx, "k9").collect()} == {"T1", "T2", "T8"}
+    assert {r.outlet_id for r in slice_filter(trx, "k8").collect()} == {"OUT-A", "OUT-B"}
+    half_open = Slice("t2", "one day", start="2025-01-10", end="2025-02-10")
+    assert {r.transaction_id for r in slice_filter(trx, half_open).collect()} == {"T1", "T3"}
+    assert slice_filter(trx, "k1").count() == trx.count()
+    students = texts(spark, ["nim", "angkatan"], [("1", "2024"), ("2", "2023"), ("3", None)])
+    assert [r.nim for r in slice_filter(students, "k5").collect()] == ["2"]
+    assert set(SLICES) == {"k1", "k2", "k3", "k4", "k5", "k6", "k7", "k8", "k9"}
+
+
+def test_warehouse_from_csv_equals_warehouse_from_frames(spark, tmp_path):
+    shop = small_shop(spark)
+    for field, name in zip(
+        dataclasses.fields(shop), ("transactions", "transaction_items", "products", "outlets"), strict=True
+    ):
+        df = getattr(shop, field.name)
+        df.write.csv(
+            str(tmp_path / f"{name}.csv"), header=True, escape='"',
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
+    one = build_warehouse(RawSales.from_csv(spark, str(tmp_path)), str(tmp_path / "a"))
+    two = build_warehouse(shop, str(tmp_path / "b"))
+    for table in ("dim_product", FACT):
+        assert sorted(map(repr, one.table(table).collect())) == sorted(map(repr, two.table(table).collect()))
+
+
+def test_slice_of_a_load(spark, tmp_path):
+    wh = build_warehouse(small_shop(spark), str(tmp_path / "k9"), part="k9")
+    assert {r.transaction_id for r in wh.table(FACT).collect()} == {"T1", "T2"}
+    assert {r.outlet_id for r in wh.dims.outlet.collect()} == {"OUT-A", "OUT-UNKNOWN"}
+
+
+def test_scratch_is_where_the_session_says(spark):
+    with sql_conf(spark, {}):
+        root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root is None:
+        pytest.skip("no checkpoint folder in this session")
+    assert scratch_root(spark) == root.rstrip("/")
+    assert new_scratch(spark, "a") != new_scratch(spark, "a")
+    assert new_scratch(spark, "a").startswith(scratch_root(spark))
+
+
+def test_sql_conf_restores(spark):
+    with sql_conf(spark, {"spark.sql.shuffle.partitions": "17", "lapakdw.test": "x"}):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "17"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert spark.conf.get("lapakdw.test", None) is None
