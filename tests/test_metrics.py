@@ -6,8 +6,9 @@ import pytest
 from lapakdw.plans import dims as d
 from lapakdw.plans import metrics as m
 from lapakdw.plans.fact import Dims
+from lapakdw.plans.load import build_warehouse
 from lapakdw.plans.warehouse import Star
-from tests.helpers import outlets, plan
+from tests.helpers import outlets, plan, small_shop
 
 PAID, PENDING = 2, 4
 SCOPE = m.Scope(outlets=("OUT-A", "OUT-B"), year=2025)
@@ -106,3 +107,23 @@ def test_dimensions_are_broadcast(star, report):
 
 def test_standard_scope():
     assert m.STANDARD == m.Scope(("OUT-A", "OUT-B", "OUT-C"), 2025)
+
+
+def test_outlet_filter_reaches_the_scan(spark, sql_settings, tmp_path):
+    sql_settings(spark__sql__maxMetadataStringLength="2000")
+    wh = build_warehouse(small_shop(spark), str(tmp_path / "wh"))
+    text = plan(m.q03_return_rate(wh.star))
+    scan = next(t for t in text.splitlines() if "FileScan" in t and "subtotal_rupiah" in t)
+    assert "PartitionFilters: [isnotnull(p_tahun" in scan and "In(outlet_sk, [1,2])" in scan
+    assert "ReadSchema: struct<date_sk:int,outlet_sk:bigint,qty:int,subtotal_rupiah:decimal(18,2)>" in scan
+
+
+def test_many_outlets_are_left_to_the_join(star, monkeypatch):
+    before = rows(m.q02_mom_rank(star, SCOPE))
+    monkeypatch.setattr(m, "FILTER_KEYS", 1)
+    assert m.outlet_keys(star.outlet) is None
+    assert rows(m.q02_mom_rank(star, SCOPE)) == before
+
+
+def test_no_outlet_found(star):
+    assert rows(m.q02_mom_rank(star, m.Scope(("OUT-Q",), 2025))) == []
