@@ -86,7 +86,10 @@ def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 
 def matching_pairs(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Size of the inner join on ``key``: the product of both counts, summed over the keys."""
+    """Size of the inner join on ``key``: the product of both counts, summed over the keys.
+
+    A number of pairs beyond the range of a bigint is an error, not a wrong count.
+    """
     one = left.groupBy(key).agg(F.count("*").alias("_left"))
     two = right.groupBy(key).agg(F.count("*").alias("_right"))
     both = one.join(two, key)

@@ -12,13 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Largest lookup side, in raw bytes, that is sent to every executor.
-BROADCAST_BYTES = 64 * 1024 * 1024
+MB = 1024 * 1024
+
+# Largest lookup side, in raw bytes, that is sent to every executor. Far less
+# than what a shuffle of the fact would move, and little enough for an executor.
+BROADCAST_BYTES = 256 * MB
 
 # Compressed input per shuffle partition, and the most partitions asked for.
-PARTITION_BYTES = 512 * 1024 * 1024
+PARTITION_BYTES = 512 * MB
 MAX_PARTITIONS = 50_000
 
+# Size adaptive execution aims at, for partitions and written files: Spark's
+# default for ordinary inputs, up to the largest for very large ones.
+TARGET_BYTES, MAX_TARGET_BYTES = 64 * MB, 512 * MB
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -57,11 +64,17 @@ def sql_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
 
 
 def scan_bytes(*frames: DataFrame) -> int:
-    """Bytes of the files behind the frames, as known to the planner without a job."""
+    """Bytes of the files behind the frames, as known to the planner without a job.
+
+    Sources of unknown size, for which the planner assumes the largest number
+    there is, do not count.
+    """
+    unknown = 2**63 - 1
     total = 0
     for frame in frames:
         leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
-        total += sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+        sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+        total += sum(size for size in sizes if size < unknown)
     return total
 
 
@@ -69,20 +82,26 @@ def shuffle_settings(spark: SparkSession, *frames: DataFrame) -> dict[str, str]:
     """Settings for a large join-and-dedup job over ``frames``.
 
     The partition count follows the input, because adaptive execution can only
-    merge shuffle partitions, never add them. Skewed join partitions are split
-    even where that costs another shuffle behind the join, so one hot key never
-    decides the run time. A count chosen by the user is left alone.
+    merge shuffle partitions, never add them; the size it merges and splits
+    towards grows with the input too, so that a large table is not written as
+    millions of small files. Skewed join partitions are split even where that
+    costs another shuffle behind the join, so one hot key never decides the run
+    time. A count or size chosen by the user is left alone.
     """
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     }
+    size = scan_bytes(*frames)
+    target = min(size // MAX_PARTITIONS, MAX_TARGET_BYTES)
+    aim = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if target > TARGET_BYTES and spark.conf.get(aim) in (f"{TARGET_BYTES}b", "64MB"):
+        settings[aim] = str(target)
     chosen = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     if spark.conf.get(chosen, None) is None:
         base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted = -(-scan_bytes(*frames) // PARTITION_BYTES)
-        settings[chosen] = str(max(base, min(wanted, MAX_PARTITIONS)))
+        settings[chosen] = str(max(base, min(-(-size // PARTITION_BYTES), MAX_PARTITIONS)))
     return settings
 
 

@@ -195,7 +195,7 @@ def desa(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_prakiraan_cuaca(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select(
-        F.date_format("ts", "yyyyMMdd").cast("int").alias("date_sk"),
+        F.date_format(F.col("ts").cast("date"), "yyyyMMdd").cast("int").alias("date_sk"),
         F.col("user_id").alias("wilayah_sk"),
         F.when(F.col("event_type") == "error", 1).otherwise(0).alias("is_siaga"),
     )

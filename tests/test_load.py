@@ -111,7 +111,13 @@ def test_partition_count_follows_the_input(spark, stored, monkeypatch):
     monkeypatch.setattr("lapakdw.runtime.scan_bytes", lambda *frames: 1000 * PARTITION_BYTES)
     assert shuffle_settings(spark, fact)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "1000"
     monkeypatch.setattr("lapakdw.runtime.scan_bytes", lambda *frames: 10**15)
-    assert shuffle_settings(spark, fact)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "50000"
+    large = shuffle_settings(spark, fact)
+    assert large["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "50000"
+    assert large["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(512 * 1024 * 1024)
+
+
+def test_sources_of_unknown_size_do_not_count(spark):
+    assert scan_bytes(small_shop(spark).items) == 0
 
 
 def test_chosen_partition_count_is_left_alone(spark, stored, sql_settings):

@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from compare import connect, difference
 from tests.conftest import SF_SMALL
+from tests.helpers import plan
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
@@ -20,21 +21,13 @@ def test_every_query_has_a_twin():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, con, sf_dir, name):
-    assert difference(QUERIES[name](spark, sf_dir), con, ORACLE[name]) is None
+    df = QUERIES[name](spark, sf_dir)
+    assert difference(df, con, ORACLE[name]) is None
+    text = plan(df)
+    assert not any(word in text for word in ("CartesianProduct", "NestedLoopJoin", "Python"))
 
 
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[:3] == ["outlet", "tahun", "bulan"]
     assert df.count() > 0
-
-
-def test_no_query_needs_a_cross_or_nested_loop_join(spark, sf_dir):
-    from tests.helpers import plan
-
-    for name, query in QUERIES.items():
-        if name in ("write_append", "load_idempotency", "read_raw", "register_raw", "write_full"):
-            continue
-        text = plan(query(spark, sf_dir))
-        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
-        assert "Python" not in text, name

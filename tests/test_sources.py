@@ -1,4 +1,5 @@
 import dataclasses
+from types import SimpleNamespace
 
 import pytest
 
@@ -70,8 +71,7 @@ def test_slice_of_a_load(spark, tmp_path):
 
 
 def test_scratch_is_where_the_session_says(spark):
-    with sql_conf(spark, {}):
-        root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
         pytest.skip("no checkpoint folder in this session")
     assert scratch_root(spark) == root.rstrip("/")
@@ -79,6 +79,18 @@ def test_scratch_is_where_the_session_says(spark):
     assert new_scratch(spark, "a").startswith(scratch_root(spark))
 
 
+def session_without_folder(master):
+    context = SimpleNamespace(master=master, applicationId=f"app-{master}", getCheckpointDir=lambda: None)
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(session_without_folder("spark://head:7077"))
+    local = session_without_folder("local[4]")
+    assert scratch_root(local) == scratch_root(local)
+
+
 def test_sql_conf_restores(spark):
     with sql_conf(spark, {"spark.sql.shuffle.partitions": "17", "lapakdw.test": "x"}):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "17"
