@@ -16,9 +16,13 @@ from lapakdw.operators.ranges import (
     walk_ranges,
 )
 from lapakdw.operators.unknown import UNKNOWN_SK
+from lapakdw.runtime import broadcast_if_small, broadcast_up_to_limit, row_bytes
 
 OPEN_END = "9999-12-31"
 
+# Most versions of one key that a line is held against.
+CANDIDATES = 366
+
 
 def scd2_versions(
     df: DataFrame,
@@ -54,23 +58,48 @@ def scd2_lookup(facts: DataFrame, versions: DataFrame, key: str, day: str, sk: s
     """Add the key of the version valid on ``day``; -1 where there is none.
 
     An equi-join on the business key with the period as a further condition.
-    Versions without a period cannot match and are left out, so one key has at
-    most one candidate per calendar day. ``versions`` holds the business key,
-    ``sk``, ``valid_from`` and ``valid_to``; mark it for broadcast beforehand if
-    its size is known to allow that, otherwise the join shuffles by key and
-    skewed keys are split by adaptive execution.
+    Versions without a period cannot match and are left out. Where a key still
+    has more than ``CANDIDATES`` versions, the calendar year joins the equi-key,
+    so that no line is held against more versions than a year has days. The
+    versions are broadcast if their measured size allows; otherwise the join
+    shuffles and adaptive execution splits the hot keys.
     """
     lookup = versions.where(F.col("valid_from") <= F.col("valid_to")).select(
         F.col(key).alias("_key"), F.col(sk).alias("_sk"), "valid_from", "valid_to"
     )
+    per_key = lookup.groupBy("_key").agg(
+        F.count("*").alias("versions"),
+        F.sum(row_bytes(lookup)).alias("bytes"),
+        F.max(F.year("valid_from")).alias("year"),
+    )
+    most, size, last_year = per_key.agg(F.max("versions"), F.sum("bytes"), F.max("year")).first()
     match = (F.col(key) == F.col("_key")) & F.col(day).between(F.col("valid_from"), F.col("valid_to"))
+    if (most or 0) > CANDIDATES:
+        lookup, match = _by_year(lookup, match, day, last_year)
+        lookup = broadcast_if_small(lookup)
+    else:
+        lookup = broadcast_up_to_limit(lookup, size or 0)
     return (
         facts.join(lookup, match, "left")
         .withColumn(sk, F.coalesce(F.col("_sk"), F.lit(UNKNOWN_SK)))
-        .drop("_key", "_sk", "valid_from", "valid_to")
+        .drop("_key", "_sk", "_year", "valid_from", "valid_to")
     )
 
 
+def _by_year(lookup: DataFrame, match: Column, day: str, last_year: int) -> tuple[DataFrame, Column]:
+    """A row per version and year it covers, and the join condition with the year in it.
+
+    No version starts after ``last_year``, so all later days count as that year
+    and open-ended versions stop there.
+    """
+
+    def year(date: str) -> Column:
+        return F.least(F.year(date), F.lit(last_year))
+
+    yearly = lookup.withColumn("_year", F.explode(F.sequence(year("valid_from"), year("valid_to"))))
+    return yearly, match & (year(day) == F.col("_year"))
+
+
 def code_lookup(facts: DataFrame, dim: DataFrame, value: Column, key: str, sk: str) -> DataFrame:
     """Add the surrogate key whose business key equals ``value``; -1 where there is none."""
     lookup = dim.select(F.col(key).alias("_key"), F.col(sk).alias("_sk"))

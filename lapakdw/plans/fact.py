@@ -50,8 +50,7 @@ def status_lookup(facts: DataFrame, statuses: DataFrame) -> DataFrame:
 
 def product_lookup(facts: DataFrame, products: DataFrame, day: str) -> DataFrame:
     """Add ``product_sk`` of the price version valid on ``day``."""
-    lookup = broadcast_if_small(products.select("product_id", "product_sk", "valid_from", "valid_to"))
-    return scd2_lookup(facts, lookup, "product_id", day, "product_sk")
+    return scd2_lookup(facts, products, "product_id", day, "product_sk")
 
 
 def dated_headers(transactions: DataFrame, local_tz: str | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -146,16 +146,25 @@ def literal_rows(spark: SparkSession, schema: dict[str, str], rows: list[tuple])
     return spark.range(0, 1, 1, 1).select(F.inline(parsed))
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row in memory terms: fixed widths plus actual string lengths."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    width = F.lit(8 * len(df.columns) + 8 * len(texts)).cast("long")
+    for name in texts:
+        width = width + F.coalesce(F.octet_length(name), F.lit(0))
+    return width
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows in memory terms: fixed widths plus actual string lengths. One job."""
-    fixed = sum(16 if isinstance(f.dataType, T.StringType) else 8 for f in df.schema.fields)
-    width = F.lit(fixed).cast("long")
-    for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark a lookup side for broadcast when its measured size allows, else leave it to the planner."""
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    """Size of all rows. One job."""
+    return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).first()["bytes"]
+
+
+def broadcast_up_to_limit(df: DataFrame, size: int) -> DataFrame:
+    """Mark a lookup side of known size for broadcast, or leave it to the planner."""
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Measure a lookup side and mark it for broadcast when its size allows."""
+    return broadcast_up_to_limit(df, measured_bytes(df))

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lapakdw.plans.fact import FACT
+from lapakdw.plans.fact import FACT, fact_transaksi_item
 from lapakdw.plans.load import (
     build_warehouse,
     compare_counts,
@@ -52,6 +52,16 @@ def test_small_ranges_build_the_same_warehouse(spark, stored, tmp_path):
     assert content(build_warehouse(small_shop(spark), str(tmp_path / "wh"), range_rows=2)) == content(stored)
 
 
+def test_large_dimensions_are_joined_by_shuffle_with_the_same_result(
+    spark, stored, tmp_path, monkeypatch, sql_settings
+):
+    monkeypatch.setattr("lapakdw.runtime.BROADCAST_BYTES", -1)
+    sql_settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    fact = fact_transaksi_item(small_shop(spark), stored.dims)
+    assert plan(fact).count("SortMergeJoin") == 3  # headers, outlets, products
+    assert content(build_warehouse(small_shop(spark), str(tmp_path / "wh"))) == content(stored)
+
+
 def test_idempotency_report(spark, tmp_path):
     full = load_idempotency(lambda: build_warehouse(small_shop(spark), str(tmp_path / "full")))
     assert {r.idempotent for r in full.collect()} == {True}

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from lapakdw.operators import scd
 from lapakdw.operators.checks import matching_pairs, orphan_rows
 from lapakdw.operators.headers import transactions_clean
 from lapakdw.operators.scd import scd2_lookup
@@ -71,36 +72,83 @@ def test_without_skew_the_distinct_adds_no_shuffle(spark):
     assert "SortMergeJoin" in text
 
 
-def test_hot_product_lookup_without_broadcast(spark):
+def sales_of_hot_product(spark):
     day = F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 300).cast("int"))
-    sales = spark.range(0, 30_000, 1, 16).select(
+    return spark.range(0, 30_000, 1, 16).select(
         F.when(F.col("id") % 3 == 0, "HOT").otherwise((F.col("id") % 500).cast("string")).alias("product_id"),
         day.alias("day"),
         F.repeat(F.lit("x"), 40).alias("pad"),
     )
+
+
+def hot_versions(spark, days):
+    """A version of HOT every ``days`` days of 2025, and one version of every other product."""
     n = F.col("id")
-    versions = spark.range(0, 510, 1, 2).select(
-        F.when(n < 10, "HOT").otherwise((n - 10).cast("string")).alias("product_id"),
+    count = 300 // days
+    start = F.lit("2025-01-01").cast("date")
+    return spark.range(0, 500 + count, 1, 2).select(
+        F.when(n < count, "HOT").otherwise((n - count).cast("string")).alias("product_id"),
         n.alias("product_sk"),
-        F.when(n < 10, F.date_add(F.lit("2025-01-01").cast("date"), (n * 30).cast("int")))
+        F.when(n < count, F.date_add(start, (n * days).cast("int")))
         .otherwise(F.lit("2025-03-01").cast("date"))
         .alias("valid_from"),
-        F.when(n < 9, F.date_add(F.lit("2025-01-01").cast("date"), (n * 30 + 29).cast("int")))
+        F.when(n < count - 1, F.date_add(start, (n * days + days - 1).cast("int")))
         .otherwise(F.lit("9999-12-31").cast("date"))
         .alias("valid_to"),
     )
-    with sql_conf(spark, {**shuffle_settings(spark, sales), **TINY_PARTITIONS}):
-        df = scd2_lookup(sales, versions, "product_id", "day", "product_sk")
-        text = final_plan(df)
-        assert "SortMergeJoin" in text and "skew=true" in text
-        found = {(r.product_id, r.day, r.product_sk) for r in df.collect()}
-        assert df.count() == sales.count()
+
+
+def check_hot_product(df, days):
+    found = {(r.product_id, r.day, r.product_sk) for r in df.collect()}
+    assert df.count() == 30_000
     for product, when, sk in found:
         offset = (when - when.replace(month=1, day=1)).days
         if product == "HOT":
-            assert sk == offset // 30
+            assert sk == offset // days
         else:
-            assert sk == (int(product) + 10 if offset >= 59 else -1)
+            assert sk == (int(product) + 300 // days if offset >= 59 else -1)
+
+
+def test_hot_product_lookup_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("lapakdw.runtime.BROADCAST_BYTES", -1)
+    sales = sales_of_hot_product(spark)
+    with sql_conf(spark, {**shuffle_settings(spark, sales), **TINY_PARTITIONS}):
+        df = scd2_lookup(sales, hot_versions(spark, 30), "product_id", "day", "product_sk")
+        text = final_plan(df)
+        assert "SortMergeJoin" in text and "skew=true" in text
+        check_hot_product(df, 30)
+
+
+def test_product_with_many_versions_is_joined_by_year(spark, monkeypatch):
+    monkeypatch.setattr(scd, "CANDIDATES", 20)
+    df = scd2_lookup(sales_of_hot_product(spark), hot_versions(spark, 3), "product_id", "day", "product_sk")
+    assert "BroadcastHashJoin" in plan(df) and "_year" in plan(df)
+    check_hot_product(df, 3)
+
+
+def test_year_join_equals_plain_join(spark, monkeypatch):
+    days = spark.createDataFrame(
+        [("A", f"{y}-{m:02d}-15") for y in (1899, 1999, 2003, 2004, 2009, 2010, 2011, 2024, 9999) for m in (1, 7)]
+        + [("B", "2005-01-01"), (None, "2005-01-01"), ("A", None)],
+        "product_id string, day string",
+    ).select("product_id", F.col("day").cast("date").alias("day"))
+    versions = spark.createDataFrame(
+        [
+            (1, "A", "2000-01-01", "2003-06-30"), (2, "A", "2003-07-01", "2008-12-31"),
+            (3, "A", "2009-01-01", "2009-07-14"), (4, "A", "2009-07-15", "2010-01-15"),
+            (5, "A", "2010-01-16", "9999-12-31"), (6, "A", "2024-01-01", "9999-12-31"),
+            (7, "A", "2024-01-01", "2023-12-31"), (-1, "U", "1900-01-01", "9999-12-31"),
+        ],
+        "product_sk long, product_id string, a string, b string",
+    ).select("product_sk", "product_id", F.col("a").cast("date").alias("valid_from"), F.col("b").cast("date").alias("valid_to"))
+
+    def found():
+        return sorted(map(repr, scd2_lookup(days, versions, "product_id", "day", "product_sk").collect()))
+
+    plain = found()
+    assert len(plain) == days.count() + 4  # versions 5 and 6 overlap from 2024 on
+    monkeypatch.setattr(scd, "CANDIDATES", 2)
+    assert found() == plain
 
 
 def test_hot_key_on_both_sides_is_counted_without_pairs(spark):
