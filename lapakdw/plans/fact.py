@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapakdw.functions.columns import AMOUNT, business_date, code, to_int, to_money
-from lapakdw.operators.headers import HEADER_KEY, transactions_clean
+from lapakdw.operators.headers import HEADER_KEY, items_dedup, transactions_clean
 from lapakdw.operators.scd import code_lookup, scd2_lookup
 from lapakdw.runtime import broadcast_if_small
-from lapakdw.sources.raw import ITEM_COLUMNS, RawSales
+from lapakdw.sources.raw import RawSales
 
 FACT = "fact_transaksi_item"
 
@@ -53,39 +53,29 @@ def product_lookup(facts: DataFrame, products: DataFrame, day: str) -> DataFrame
     return scd2_lookup(facts, products, "product_id", day, "product_sk")
 
 
-def dated_headers(transactions: DataFrame, local_tz: str | None = None) -> DataFrame:
-    """Consistent headers with their business date and typed total."""
-    return transactions_clean(transactions).select(
-        HEADER_KEY,
-        "outlet_id",
-        "status",
-        business_date(F.col("tanggal_waktu"), local_tz).alias("_day"),
-        to_money(F.col("total_bayar")).alias("total_bayar_trx"),
+def keyed_headers(transactions: DataFrame, dims: Dims, local_tz: str | None = None) -> DataFrame:
+    """Consistent headers as three surrogate keys, the business date and the typed total."""
+    headers = transactions_clean(transactions).withColumn(
+        "_day", business_date(F.col("tanggal_waktu"), local_tz)
     )
-
-
-def header_lines(items: DataFrame, headers: DataFrame) -> DataFrame:
-    """Lines of consistent headers, equal lines once.
-
-    Lines and headers meet on the header id first and are de-duplicated after:
-    the join has already put equal lines into one partition, so the distinct
-    needs no shuffle of its own. Where a hot id makes adaptive execution split
-    the join, the distinct shuffles on all its columns instead, after dropping
-    copies within each task.
-    """
-    return items.select(*ITEM_COLUMNS).join(headers, HEADER_KEY).distinct()
+    headers = date_lookup(headers, dims.date, "_day")
+    headers = outlet_lookup(headers, dims.outlet)
+    headers = status_lookup(headers, dims.status)
+    total = to_money(F.col("total_bayar")).alias("total_bayar_trx")
+    return headers.select(HEADER_KEY, "_day", "date_sk", "outlet_sk", "status_sk", total)
 
 
 def fact_transaksi_item(raw: RawSales, dims: Dims, local_tz: str | None = None) -> DataFrame:
     """One row per line of a consistent header, with four surrogate keys and typed measures.
 
-    The dimensions are looked up after the lines are unique, so a dimension that
-    holds a key twice shows as repeated lines and is not hidden.
+    Equal lines are dropped first, within each task and then by a shuffle on all
+    columns, which spreads the lines of a hot header; only then do lines meet
+    headers. Nothing behind that join depends on its partitioning, so adaptive
+    execution is free to split a hot header id. Days, outlets and statuses are
+    looked up on the headers, of which there are fewer.
     """
-    lines = header_lines(raw.items, dated_headers(raw.transactions, local_tz))
-    lines = date_lookup(lines, dims.date, "_day")
-    lines = status_lookup(lines, dims.status)
-    lines = outlet_lookup(lines, dims.outlet)
+    headers = keyed_headers(raw.transactions, dims, local_tz)
+    lines = items_dedup(raw.items).join(headers, HEADER_KEY)
     lines = product_lookup(lines, dims.product, "_day")
     qty = to_int(F.col("qty"))
     price, discount = to_money(F.col("harga_satuan")), to_money(F.col("diskon"))

@@ -178,8 +178,6 @@ def q_scd2_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = h.transactions_clean(standin.transactions(spark, sf_dir)).select(
         h.HEADER_KEY, business_date(F.col("tanggal_waktu")).alias("tanggal")
     )
-    # Unique lines first, by a shuffle on all columns: nothing behind the join then
-    # depends on its partitioning, and a hot header is split without further settings.
     lines = h.items_dedup(standin.transaction_items(spark, sf_dir)).join(headers, h.HEADER_KEY)
     priced = fact.product_lookup(lines, warehouse(spark, sf_dir).dims.product, "tanggal")
     return priced.select(h.HEADER_KEY, "item_id", "product_id", "tanggal", "product_sk")

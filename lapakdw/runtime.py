@@ -79,14 +79,14 @@ def scan_bytes(*frames: DataFrame) -> int:
 
 
 def shuffle_settings(spark: SparkSession, *frames: DataFrame) -> dict[str, str]:
-    """Settings for a large join-and-dedup job over ``frames``.
+    """Settings for a large load over ``frames``.
 
     The partition count follows the input, because adaptive execution can only
     merge shuffle partitions, never add them; the size it merges and splits
     towards grows with the input too, so that a large table is not written as
     millions of small files. Skewed join partitions are split even where that
-    costs another shuffle behind the join, so one hot key never decides the run
-    time. A count or size chosen by the user is left alone.
+    costs another shuffle behind the join. A count or size chosen by the user is
+    left alone.
     """
     settings = {
         "spark.sql.adaptive.enabled": "true",

@@ -7,16 +7,15 @@ from pyspark.sql import functions as F
 
 from lapakdw.operators import scd
 from lapakdw.operators.checks import matching_pairs, orphan_rows
-from lapakdw.operators.headers import transactions_clean
+from lapakdw.operators.headers import items_dedup, transactions_clean
 from lapakdw.operators.scd import scd2_lookup
-from lapakdw.plans.fact import header_lines
 from lapakdw.runtime import measured_bytes, shuffle_settings, sql_conf
 from tests.helpers import plan
 
 TINY_PARTITIONS = {
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "5KB",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -52,24 +51,24 @@ def final_plan(df):
 
 def test_hot_header_is_split_and_lines_stay_exact(spark):
     settings = {**shuffle_settings(spark, lines(spark)), **TINY_PARTITIONS}
-    settings.pop("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
     with sql_conf(spark, settings):
-        df = header_lines(lines(spark), heads(spark))
+        df = items_dedup(lines(spark)).join(heads(spark), "transaction_id")
         text = final_plan(df)
         assert "skew=true" in text
-        rows = df.count()
-    expected = lines(spark).distinct().toPandas()
-    assert rows == len(expected)
-    assert set(df.select("transaction_id", "item_id").toPandas().itertuples(index=False, name=None)) == set(
-        expected[["transaction_id", "item_id"]].itertuples(index=False, name=None)
-    )
-
-
-def test_without_skew_the_distinct_adds_no_shuffle(spark):
-    with sql_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        text = plan(header_lines(lines(spark), heads(spark)))
-    assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
-    assert "SortMergeJoin" in text
+        found = df.select("transaction_id", "item_id").toPandas()
+    expected = lines(spark).select("transaction_id", "item_id").toPandas().drop_duplicates()
+    assert len(found) == len(expected)
+    assert set(found.itertuples(index=False, name=None)) == set(expected.itertuples(index=False, name=None))
+
+
+def test_copies_of_lines_are_dropped_before_the_shuffle(spark):
+    text = plan(items_dedup(lines(spark)))
+    assert text.count("Exchange") == 1
+    final, shuffle, partial = (m.start() for m in re.finditer("HashAggregate|Exchange", text))
+    assert final < shuffle < partial
+    spread = text[shuffle:].splitlines()[0]
+    hashed = re.search(r"hashpartitioning\((.*?), 4\)", spread).group(1).split(", ")
+    assert len(hashed) == 6
 
 
 def sales_of_hot_product(spark):
