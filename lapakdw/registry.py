@@ -33,7 +33,8 @@ HALF_YEAR = Slice("t2", "three outlets, six months", outlets=SCOPE.outlets, star
 _warehouses: dict[tuple, Warehouse] = {}
 
 
-def _load(spark: SparkSession, sf_dir: str, path: str) -> Warehouse:
+def load_into(spark: SparkSession, sf_dir: str, path: str) -> Warehouse:
+    """Build the warehouse over a folder of driver tables."""
     return load.build_warehouse(standin.raw_sales(spark, sf_dir), path, calendar=CALENDAR, first_day=FIRST_DAY)
 
 
@@ -44,7 +45,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     size, changed = files.getContentSummary(path), files.getFileStatus(path).getModificationTime()
     key = (spark.sparkContext.applicationId, sf_dir, size.getLength(), size.getFileCount(), changed)
     if key not in _warehouses:
-        _warehouses[key] = _load(spark, sf_dir, new_scratch(spark, "warehouse"))
+        _warehouses[key] = load_into(spark, sf_dir, new_scratch(spark, "warehouse"))
     return _warehouses[key]
 
 
@@ -108,7 +109,7 @@ def q_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_load_idempotency(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_scratch(spark, "twice")
-    return load.load_idempotency(lambda: _load(spark, sf_dir, path))
+    return load.load_idempotency(lambda: load_into(spark, sf_dir, path))
 
 
 def q_warehouse_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
