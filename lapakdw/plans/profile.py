@@ -188,54 +188,65 @@ FIRST_LOOK: list[Totals | Listing] = [
 ]
 
 
-def _scan(views: Views, table: str, totals: list[tuple[int, Totals]]) -> DataFrame:
+Asked = tuple[str, int]  # topic and position of a question
+
+
+def _scan(views: Views, table: str, totals: list[tuple[Asked, Totals]]) -> DataFrame:
     """All totals of one table in one scan, one row per measure. Equal measures are computed once."""
     named = {
-        f"{i}|{name}": make().cast("string") for i, total in totals for name, make in total.measures.items()
+        f"{topic}|{position}|{name}": make().cast("string")
+        for (topic, position), total in totals
+        for name, make in total.measures.items()
     }
     counted = views[table].agg(*(value.alias(name) for name, value in named.items()))
     long = counted.unpivot([], [F.col(f"`{name}`") for name in named], "_name", "nilai")
+    part = F.split("_name", "[|]")
     return long.select(
-        F.split_part("_name", F.lit("|"), F.lit(1)).cast("int").alias("urutan"),
+        part[0].alias("topik"),
+        part[1].cast("int").alias("urutan"),
         F.lit(table).alias("tabel"),
-        F.split_part("_name", F.lit("|"), F.lit(2)).alias("metrik"),
+        part[2].alias("metrik"),
         "nilai",
     )
 
 
-def _rows_of(views: Views, position: int, listing: Listing) -> DataFrame:
+def _rows_of(views: Views, asked: Asked, listing: Listing) -> DataFrame:
     """A listing as metric rows: the leading columns become the metric's name."""
     frame = listing.frame(views)
     *keys, value = frame.columns
-    label = F.concat_ws(
-        "|", *(F.concat(F.lit(f"{k}="), F.coalesce(F.col(k), F.lit("NULL"))) for k in keys)
-    )
+    label = F.concat_ws("|", *(F.concat(F.lit(f"{k}="), F.coalesce(F.col(k), F.lit("NULL"))) for k in keys))
     return frame.select(
-        F.lit(position).alias("urutan"),
+        F.lit(asked[0]).alias("topik"),
+        F.lit(asked[1]).alias("urutan"),
         F.lit(listing.table).alias("tabel"),
         (label if keys else F.lit(value)).alias("metrik"),
         F.col(value).cast("string").alias("nilai"),
     )
 
 
-def run_profile(views: Views, queries: str | list[Totals | Listing]) -> DataFrame:
-    """A profile as rows of (urutan, tabel, metrik, nilai); ``urutan`` numbers the questions from 1.
+def run_profiles(views: Views, topics: dict[str, list[Totals | Listing]]) -> DataFrame:
+    """Profiles as rows of (topik, urutan, tabel, metrik, nilai); ``urutan`` numbers a topic's questions from 1.
 
-    ``queries`` is a topic or a list of questions. Each table is scanned once
-    for all its totals.
+    Each table is scanned once for all totals that any topic asks of it.
     """
-    asked = PROFILES[queries] if isinstance(queries, str) else queries
-    totals: dict[str, list[tuple[int, Totals]]] = {}
+    totals: dict[str, list[tuple[Asked, Totals]]] = {}
     frames = []
-    for i, query in enumerate(asked, start=1):
-        if isinstance(query, Totals):
-            totals.setdefault(query.table, []).append((i, query))
-        else:
-            frames.append(_rows_of(views, i, query))
+    for topic, questions in topics.items():
+        for asked, question in (((topic, i), q) for i, q in enumerate(questions, start=1)):
+            if isinstance(question, Totals):
+                totals.setdefault(question.table, []).append((asked, question))
+            else:
+                frames.append(_rows_of(views, asked, question))
     frames.extend(_scan(views, table, group) for table, group in totals.items())
     return reduce(DataFrame.unionByName, frames)
 
 
+def run_profile(views: Views, queries: str | list[Totals | Listing]) -> DataFrame:
+    """The profile of one topic, or of a list of questions, as rows of (urutan, tabel, metrik, nilai)."""
+    asked = PROFILES[queries] if isinstance(queries, str) else queries
+    return run_profiles(views, {"": asked}).drop("topik")
+
+
 def write_profile(profile: DataFrame, path: str) -> None:
     """The profile as JSON lines."""
     profile.write.mode("overwrite").json(path)

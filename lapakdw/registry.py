@@ -247,12 +247,7 @@ def _profile(question: p.Totals | p.Listing) -> Query:
 
 
 def q_run_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views = StandinViews(spark, sf_dir)
-    parts = [
-        p.run_profile(views, asked).select(F.lit(topic).alias("topik"), "*")
-        for topic, asked in [*p.PROFILES.items(), ("awal", p.FIRST_LOOK)]
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return p.run_profiles(StandinViews(spark, sf_dir), {**p.PROFILES, "awal": p.FIRST_LOOK})
 
 
 # Data-quality tests

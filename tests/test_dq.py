@@ -30,7 +30,10 @@ def views(spark):
         "v": texts(
             spark,
             ["a", "b", "n"],
-            [("x", "1", "5"), ("x", "2", "-5"), (" X ", "1", "101"), ("y", "1", "abc"), ("", None, None), (None, "1", "12.5")],
+            [
+                ("x", "1", "5"), ("x", "2", "-5"), (" X ", "1", "101"),
+                ("y", "1", "abc"), ("", None, None), (None, "1", "12.5"),
+            ],
         ),
     }
 

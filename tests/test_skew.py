@@ -139,7 +139,7 @@ def test_year_join_equals_plain_join(spark, monkeypatch):
             (7, "A", "2024-01-01", "2023-12-31"), (-1, "U", "1900-01-01", "9999-12-31"),
         ],
         "product_sk long, product_id string, a string, b string",
-    ).select("product_sk", "product_id", F.col("a").cast("date").alias("valid_from"), F.col("b").cast("date").alias("valid_to"))
+    ).selectExpr("product_sk", "product_id", "CAST(a AS DATE) AS valid_from", "CAST(b AS DATE) AS valid_to")
 
     def found():
         return sorted(map(repr, scd2_lookup(days, versions, "product_id", "day", "product_sk").collect()))
