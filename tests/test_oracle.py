@@ -4,10 +4,12 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from lapakdw import registry
+from oracle.queries import ORACLE
 from tests.conftest import SF_SMALL
 from tests.helpers import plan
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES = registry.queries()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,7 @@ def con():
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
