@@ -162,8 +162,6 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     bad = judge(documents, benchmark).where("contaminated").select(
         F.col("doc_id").alias("_id"), F.col("key").alias("_key")
     )
-    return documents.join(
-        broadcast_if_measured(materialize(bad.distinct(), "contaminated")),
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key(F.col("text")) == F.col("_key")),
-        "left_anti",
-    )
+    bad = materialize(bad.distinct(), "contaminated")
+    same = documents["doc_id"].eqNullSafe(bad["_id"]) & (text_key(documents["text"]) == bad["_key"])
+    return documents.join(broadcast_if_measured(bad), same, "left_anti")

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapakdw.llm import chat, decontam, licenses, urls
+from lapakdw.llm import bpe, chat, decontam, gam, langid, licenses, ordminhash, secret_scan, topk, urls
 from lapakdw.runtime import literal_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,18 +44,69 @@ def op1_chat_prefixes(spark: SparkSession, folder: str) -> DataFrame:
     return chat.conversation_digests(turns.union(probe))
 
 
+# Where every worker finds the vocabulary files.
+TOKENIZERS = "/opt/tokenizers"
+VOCABULARY = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+
+
+@query
+def op2_token_efficiency_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document."""
+    found = secret_scan.find_secrets(table(spark, folder, "documents").select("doc_id", "text"), VOCABULARY)
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(secret_scan.span_texts(base), 256).alias("base_sha256"),
+        secret_scan.span_texts(F.col("spans")).alias("spans"),
+        count("random"),
+    )
+
+
 @query
 def op3_winnowing_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that benchmark windows hit."""
     return decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op4_tiled_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best rows for every row whose id is divisible by 20."""
+    rows = table(spark, folder, "embeddings")
+    return topk.top_k(rows, rows.where(F.col("vec_id") % 20 == 0), 20)
+
+
+@query
+def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    coded = bpe.encode(table(spark, folder, "documents"), VOCABULARY, keep=["doc_id"])
+    decoded = bpe.decode(coded.select("doc_id", "ids"), VOCABULARY)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op6_license_rules(spark: SparkSession, folder: str) -> DataFrame:
     """License phrases and rule labels of every document."""
     return licenses.scan_licenses(table(spark, folder, "documents"))
 
 
+@query
+def op7_additive_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learnt from the labels that are not held out."""
+    return gam.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def _day(number: Column) -> Column:
     return F.date_add(F.lit("2024-01-01").cast("date"), number.cast("int"))
 
@@ -104,6 +155,18 @@ def op8_url_list_asof(spark: SparkSession, folder: str) -> DataFrame:
     return urls.filter_captures(captures, list_entries(pages))
 
 
+@query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learnt from the documents that are not held out."""
+    return langid.predictions(table(spark, folder, "documents"))
+
+
+@query
+def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return ordminhash.near_duplicates(table(spark, folder, "documents"))
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 _CONTROL = r"</?s>|<\|im_(start|sep|end)\|>|<\|endoftext\|>|<<SYS>>|<</SYS>>|\[/?INST\]"
