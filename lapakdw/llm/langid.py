@@ -36,6 +36,9 @@ MIN_SCORE = 0.5
 # Characters handled at once.
 CHUNK_CHARS = 500_000
 
+# Letters added to the length that n-gram counts are divided by, so that short texts say less.
+PRIOR_LETTERS = 20
+
 _GAP = 2  # gaps between texts, so that no n-gram spans two of them
 _MIX = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0xD3A2646D)]
 
@@ -86,7 +89,7 @@ class LanguageModel:
         for b in bins:
             at = np.minimum(starts, len(b) - 1)
             total += np.add.reduceat(self.weights.take(b, axis=0), at, axis=0)
-        return total * (100.0 / np.maximum(letters, 1))[:, None] + self.bias, letters
+        return total * (100.0 / (letters + PRIOR_LETTERS))[:, None] + self.bias, letters
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         if not self.languages:
@@ -213,7 +216,7 @@ def ftrl(examples: list[tuple[int, np.ndarray, np.ndarray]], classes: int) -> tu
 
 
 def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The divisor of the logits under which the labels are likeliest."""
+    """The divisor of the logits, at least 1, under which the labels are likeliest."""
     if not len(labels):
         return 1.0
 
@@ -221,7 +224,7 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
         p = _softmax(logits / t)[np.arange(len(labels)), labels]
         return float(-np.log(np.maximum(p, 1e-12)).mean())
 
-    return min(np.geomspace(0.1, 20.0, 60).tolist(), key=lambda t: (loss(t), abs(np.log(t))))
+    return min(np.geomspace(1.0, 20.0, 60).tolist(), key=lambda t: (loss(t), abs(np.log(t))))
 
 
 def fit(documents: DataFrame) -> LanguageModel:
@@ -234,7 +237,7 @@ def fit(documents: DataFrame) -> LanguageModel:
         return LanguageModel([], np.zeros((BINS + 1, 0), np.float32), np.zeros(0))
     idf = np.log((1.0 + docs) / (1.0 + frequency)) + 1.0
     place = {name: i for i, name in enumerate(languages)}
-    data = [(place[lang], at, counts * idf[at] * (100.0 / letters)) for lang, _, at, counts, letters in rows]
+    data = [(place[lang], at, counts * idf[at] * (100.0 / (letters + PRIOR_LETTERS))) for lang, _, at, counts, letters in rows]
     cut = int(len(data) * CALIBRATION_SHARE) if len(data) >= 20 else 0
     weights, bias = ftrl(data[cut:], len(languages))
     logits = np.array([x @ weights[at] + bias for _, at, x in data[:cut]]).reshape(cut, len(languages))
