@@ -49,13 +49,16 @@ def _bin(h: np.ndarray) -> np.ndarray:
     return h >> np.uint32(17)
 
 
-def gram_bins(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Bins of the n-grams of each order (BINS for gaps only), where each text begins, letters per text."""
+def gram_bins(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """For each order the bins of the n-grams (BINS for gaps only) and where each text's begin; letters per text.
+
+    The n-grams of a text include those that reach into the gaps around it.
+    """
     lowered = [t.lower() for t in texts]
     gap = "\0" * _GAP
-    codes = np.frombuffer((gap.join(lowered) + gap * 2).encode("utf-32-le"), "<u4")
+    codes = np.frombuffer((gap + gap.join(lowered) + gap).encode("utf-32-le"), "<u4")
     lengths = np.array([len(t) + _GAP for t in lowered], np.int64)
-    starts = np.cumsum(lengths) - lengths
+    starts = _GAP + np.cumsum(lengths) - lengths
     letter = code_classes().take(codes) == LETTER
     c = np.where(letter, codes, np.uint32(0))
     letters = np.add.reduceat(letter, starts, dtype=np.int64)
@@ -66,12 +69,12 @@ def gram_bins(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarra
     one[gaps] = BINS
     two[gaps[:-1] & gaps[1:]] = BINS
     three[gaps[:-2] & gaps[1:-1] & gaps[2:]] = BINS
-    return [one, two, three], starts, letters
+    return [one, two, three], [starts, starts - 1, starts - 2], letters
 
 
-def _per_text(bins: list[np.ndarray], starts: np.ndarray) -> Iterator[np.ndarray]:
-    edges = [np.append(np.minimum(starts, len(b)), len(b)) for b in bins]
-    for i in range(len(starts)):
+def _per_text(bins: list[np.ndarray], starts: list[np.ndarray]) -> Iterator[np.ndarray]:
+    edges = [np.append(s, len(b)) for b, s in zip(bins, starts)]
+    for i in range(len(starts[0])):
         yield np.concatenate([b[e[i] : e[i + 1]] for b, e in zip(bins, edges)])
 
 
@@ -86,8 +89,7 @@ class LanguageModel:
     def logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         bins, starts, letters = gram_bins(texts)
         total = np.zeros((len(texts), len(self.languages)))
-        for b in bins:
-            at = np.minimum(starts, len(b) - 1)
+        for b, at in zip(bins, starts):
             total += np.add.reduceat(self.weights.take(b, axis=0), at, axis=0)
         return total * (100.0 / (letters + PRIOR_LETTERS))[:, None] + self.bias, letters
 

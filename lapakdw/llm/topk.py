@@ -148,7 +148,7 @@ def tile_best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, m: np.ndarray,
 def _tile_best_exact(q_ids, q, ids, m, k):
     """The same in whole numbers of any size, for components beyond what floating point adds exactly."""
     out_ids, out_scores = np.zeros((len(q_ids), k), np.int64), np.full((len(q_ids), k), NONE, np.int64)
-    top = np.iinfo(np.int64).max
+    top = np.iinfo(np.int64).max - 1  # still above what marks an unused place
     rows = [[int(x) for x in r] for r in m]
     for i, (own, vector) in enumerate(zip(q_ids.tolist(), q)):
         left = [int(x) for x in vector]
