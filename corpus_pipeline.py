@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lapakdw.llm import bpe, decontam, langid, ordminhash, secret_scan
 from lapakdw.llm.queries import VOCABULARY, table
+from lapakdw.llm.shipping import importable
 from lapakdw.runtime import materialize
 
 
@@ -34,9 +35,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mark; texts without any stay as they are."""
     found = secret_scan.find_secrets(docs, VOCABULARY, name="__spans")
-    clean = secret_scan.redact(F.col("text"), F.col("__spans"))
-    changed = {"text": clean, "n_chars": F.when(F.size("__spans") > 0, F.char_length(clean)).otherwise(F.col("n_chars"))}
-    return found.select(*(changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else found[c] for c in docs.columns))
+    found = found.withColumn("__clean", secret_scan.redact(found["text"], found["__spans"]))
+    size = F.when(F.size("__spans") > 0, F.char_length("__clean").cast("long")).otherwise(F.col("n_chars"))
+    changed = {"text": F.col("__clean").alias("text"), "n_chars": size.alias("n_chars")}
+    return found.select(*(changed.get(c, F.col(c)) for c in docs.columns))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,6 +72,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
+    importable(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")

@@ -6,11 +6,13 @@ Every query reads its whole tables and returns its full result.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapakdw.llm import bpe, chat, decontam, gam, langid, licenses, ordminhash, secret_scan, topk, urls
+from lapakdw.llm.shipping import importable
 from lapakdw.runtime import literal_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,8 +21,13 @@ _queries: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    _queries[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        importable(spark)
+        return function(spark, folder)
+
+    _queries[function.__name__] = run
+    return run
 
 
 def queries() -> dict[str, Query]:

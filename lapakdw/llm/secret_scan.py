@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapakdw.llm.bpe import Vocabulary, chunks, vocabulary
+from lapakdw.llm.text import let
 
 # The base patterns, and how long a finding must be.
 ASSIGN = re.compile(
@@ -162,13 +163,17 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """The text with every stretch of overlapping or touching spans replaced by ``mark``."""
     start = F.struct(F.lit("").alias("done"), F.lit(0).alias("upto"))
 
-    def step(acc: Column, s: Column) -> Column:
-        between = F.substring(text, acc["upto"] + 1, s["start"] - acc["upto"])
-        fresh = (s["start"] > acc["upto"]) | (acc["done"] == "")
-        done = F.when(fresh, F.concat(acc["done"], between, F.lit(mark))).otherwise(acc["done"])
-        return F.struct(done.alias("done"), F.greatest(acc["upto"], s["end"]).alias("upto"))
+    # The text is bound by let: inside a lambda, a column name could be taken for an alias of the same select.
+    def clean(t: Column) -> Column:
+        def step(acc: Column, s: Column) -> Column:
+            between = F.substring(t, acc["upto"] + 1, s["start"] - acc["upto"])
+            fresh = (s["start"] > acc["upto"]) | (acc["done"] == "")
+            done = F.when(fresh, F.concat(acc["done"], between, F.lit(mark))).otherwise(acc["done"])
+            return F.struct(done.alias("done"), F.greatest(acc["upto"], s["end"]).alias("upto"))
 
-    def finish(acc: Column) -> Column:
-        return F.concat(acc["done"], F.substring(text, acc["upto"] + 1, F.char_length(text)))
+        def finish(acc: Column) -> Column:
+            return F.concat(acc["done"], F.substring(t, acc["upto"] + 1, F.char_length(t)))
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, finish)).otherwise(text)
+        return F.aggregate(spans, start, step, finish)
+
+    return F.when(F.size(spans) > 0, let(text, clean)).otherwise(text)
