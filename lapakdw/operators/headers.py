@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapakdw.runtime import materialize
 from lapakdw.sources.raw import ITEM_COLUMNS
 
 HEADER_KEY = "transaction_id"
@@ -25,10 +26,28 @@ def items_dedup(items: DataFrame) -> DataFrame:
     return items.select(*ITEM_COLUMNS).distinct()
 
 
+def _bounds(transactions: DataFrame) -> DataFrame:
+    """Per header id the smallest and the largest value of each checked field."""
+    lo = [F.min(field).alias(field) for field in CHECKED]
+    hi = [F.max(field).alias(f"_max_{field}") for field in CHECKED]
+    return transactions.groupBy(HEADER_KEY).agg(*lo, *hi)
+
+
 def header_check(transactions: DataFrame) -> DataFrame:
-    """Per header id: number of different values of each checked field."""
-    return transactions.groupBy(HEADER_KEY).agg(
-        *(F.count_distinct(F.col(field)).alias(name) for field, name in CHECKED.items())
+    """Per header id: number of different values of each checked field, nulls not counted.
+
+    One aggregation answers this for the ids on which no field has two values;
+    only the rows of the others are looked at again, to count distinct values.
+    """
+    bounds = materialize(_bounds(transactions), "header-bounds")
+    mixed = reduce(lambda a, b: a | b, (F.coalesce(F.col(f) < F.col(f"_max_{f}"), F.lit(False)) for f in CHECKED))
+    even = bounds.where(~mixed).select(
+        HEADER_KEY, *(F.col(f).isNotNull().cast("bigint").alias(name) for f, name in CHECKED.items())
+    )
+    ids = bounds.where(mixed).select(F.col(HEADER_KEY).alias("_id"))
+    odd = transactions.join(ids, F.col(HEADER_KEY).eqNullSafe(F.col("_id")), "left_semi")
+    return even.union(
+        odd.groupBy(HEADER_KEY).agg(*(F.count_distinct(F.col(f)).alias(name) for f, name in CHECKED.items()))
     )
 
 
@@ -39,13 +58,9 @@ def transactions_clean(transactions: DataFrame) -> DataFrame:
     NULL throughout fails both, so one aggregation does the check and the
     collapse.
     """
-    lo = [F.min(field).alias(field) for field in CHECKED]
-    hi = [F.max(field).alias(f"_max_{field}") for field in CHECKED]
     one_value = reduce(lambda a, b: a & b, (F.col(f) == F.col(f"_max_{f}") for f in CHECKED))
     return (
-        transactions.where(F.col(HEADER_KEY).isNotNull())
-        .groupBy(HEADER_KEY)
-        .agg(*lo, *hi)
+        _bounds(transactions.where(F.col(HEADER_KEY).isNotNull()))
         .where(one_value)
         .select(HEADER_KEY, *CHECKED)
     )

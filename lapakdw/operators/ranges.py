@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapakdw.runtime import materialize
+from lapakdw.runtime import broadcast_up_to_limit, materialize
 
 # Up to this many rows the order is made in one range (one task sorts it).
 RANGE_ROWS = 1_000_000
@@ -82,9 +82,11 @@ def walk_ranges(ranges: Ranges, carry: list[str]) -> DataFrame:
         F.coalesce(skipped, F.lit(0)).alias("_skipped"),
         F.lead("_first").over(across).alias("_next"),
     )
+    edges = materialize(edges, "edges")
+    size = edges.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
     beyond = F.when(F.col("_next").isNotNull(), F.struct(*(F.col("_next")[c].alias(c) for c in carry)))
     return (
-        walked.join(F.broadcast(edges), RANGE)
+        walked.join(broadcast_up_to_limit(edges, size or 0), RANGE)
         .withColumn(START, F.col(START) + F.col("_skipped"))
         .withColumn(FOLLOWING, F.coalesce(F.col(FOLLOWING), beyond))
         .drop("_skipped", "_next")

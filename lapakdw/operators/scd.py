@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapakdw.operators.ranges import (
@@ -54,16 +54,40 @@ def scd2_versions(
     )
 
 
-def scd2_lookup(facts: DataFrame, versions: DataFrame, key: str, day: str, sk: str) -> DataFrame:
+class OverlapError(ValueError):
+    """Several versions of a key are valid on one day."""
+
+
+def overlapping_versions(versions: DataFrame, key: str) -> DataFrame:
+    """``key`` and the number of its versions that start before an earlier one has ended.
+
+    Versions without a period do not count. Overlaps come from rows without a
+    start, which count from the first day and have no end.
+    """
+    earlier = Window.partitionBy(key).orderBy("valid_from", "valid_to").rowsBetween(Window.unboundedPreceding, -1)
+    over = F.col("valid_from") <= F.max("valid_to").over(earlier)
+    marked = versions.where("valid_from <= valid_to").withColumn("_over", over)
+    return marked.groupBy(key).agg(F.count_if("_over").alias("overlaps")).where("overlaps > 0")
+
+
+def scd2_lookup(
+    facts: DataFrame, versions: DataFrame, key: str, day: str, sk: str, overlap: str = "keep"
+) -> DataFrame:
     """Add the key of the version valid on ``day``; -1 where there is none.
 
     An equi-join on the business key with the period as a further condition.
     Versions without a period cannot match and are left out. Where a key still
-    has more than ``CANDIDATES`` versions, the calendar year joins the equi-key,
-    so that no line is held against more versions than a year has days. The
-    versions are broadcast if their measured size allows; otherwise the join
-    shuffles and adaptive execution splits the hot keys.
+    has more than ``CANDIDATES`` versions, the calendar year joins the equi-key;
+    versions that follow one another then meet a line at most as often as a year
+    has days. Where several versions are valid on one day, a line comes out once
+    for each; ``overlap="error"`` raises an ``OverlapError`` instead if any
+    versions overlap. The versions are broadcast if their measured size allows;
+    otherwise the join shuffles and adaptive execution splits the hot keys.
     """
+    if overlap not in ("keep", "error"):
+        raise ValueError(f"overlap is 'keep' or 'error', not {overlap!r}")
+    if overlap == "error" and (found := overlapping_versions(versions, key).first()) is not None:
+        raise OverlapError(f"{found['overlaps']} versions of {found[key]!r} overlap earlier ones")
     lookup = versions.where(F.col("valid_from") <= F.col("valid_to")).select(
         F.col(key).alias("_key"), F.col(sk).alias("_sk"), "valid_from", "valid_to"
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lapakdw.functions.columns import AMOUNT, business_date, code, to_int, to_money
 from lapakdw.operators.headers import HEADER_KEY, items_dedup, transactions_clean
 from lapakdw.operators.scd import code_lookup, scd2_lookup
-from lapakdw.runtime import broadcast_if_small
+from lapakdw.runtime import broadcast_if_small, materialize
 from lapakdw.sources.raw import RawSales
 
 FACT = "fact_transaksi_item"
@@ -48,9 +48,9 @@ def status_lookup(facts: DataFrame, statuses: DataFrame) -> DataFrame:
     return code_lookup(facts, F.broadcast(statuses), code(F.col("status")), "status_code", "status_sk")
 
 
-def product_lookup(facts: DataFrame, products: DataFrame, day: str) -> DataFrame:
+def product_lookup(facts: DataFrame, products: DataFrame, day: str, overlap: str = "keep") -> DataFrame:
     """Add ``product_sk`` of the price version valid on ``day``."""
-    return scd2_lookup(facts, products, "product_id", day, "product_sk")
+    return scd2_lookup(facts, products, "product_id", day, "product_sk", overlap)
 
 
 def keyed_headers(transactions: DataFrame, dims: Dims, local_tz: str | None = None) -> DataFrame:
@@ -65,18 +65,21 @@ def keyed_headers(transactions: DataFrame, dims: Dims, local_tz: str | None = No
     return headers.select(HEADER_KEY, "_day", "date_sk", "outlet_sk", "status_sk", total)
 
 
-def fact_transaksi_item(raw: RawSales, dims: Dims, local_tz: str | None = None) -> DataFrame:
+def fact_transaksi_item(
+    raw: RawSales, dims: Dims, local_tz: str | None = None, overlap: str = "keep"
+) -> DataFrame:
     """One row per line of a consistent header, with four surrogate keys and typed measures.
 
     Equal lines are dropped first, within each task and then by a shuffle on all
     columns, which spreads the lines of a hot header; only then do lines meet
-    headers. Nothing behind that join depends on its partitioning, so adaptive
-    execution is free to split a hot header id. Days, outlets and statuses are
-    looked up on the headers, of which there are fewer.
+    headers. Days, outlets and statuses are looked up on the headers, of which
+    there are fewer. The headers are stored in between: adaptive execution
+    splits a hot header id only where both sides of the join are plain shuffles,
+    not where one of them ends in an aggregation.
     """
-    headers = keyed_headers(raw.transactions, dims, local_tz)
+    headers = materialize(keyed_headers(raw.transactions, dims, local_tz), "headers")
     lines = items_dedup(raw.items).join(headers, HEADER_KEY)
-    lines = product_lookup(lines, dims.product, "_day")
+    lines = product_lookup(lines, dims.product, "_day", overlap)
     qty = to_int(F.col("qty"))
     price, discount = to_money(F.col("harga_satuan")), to_money(F.col("diskon"))
     measures = {

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapakdw.functions.columns import business_date
 from lapakdw.operators.ranges import RANGE_ROWS
 from lapakdw.plans import dims as d
 from lapakdw.plans.fact import FACT, fact_transaksi_item
@@ -23,7 +25,7 @@ from lapakdw.plans.warehouse import (
     Warehouse,
     partition_columns,
 )
-from lapakdw.runtime import literal_rows, shuffle_settings, sql_conf
+from lapakdw.runtime import MAX_PARTITIONS, delete, literal_rows, shuffle_settings, sql_conf
 from lapakdw.sources.raw import RawSales, Slice, slice_sales
 
 
@@ -61,20 +63,28 @@ def build_warehouse(
     raw: RawSales,
     path: str,
     *,
-    calendar: tuple[str | dt.date, str | dt.date] = d.CALENDAR,
+    calendar: tuple[str | dt.date, str | dt.date] | None = d.CALENDAR,
     first_day: str = d.FIRST_PRICE_DAY,
     local_tz: str | None = None,
     part: str | Slice | None = None,
     gate: DataFrame | None = None,
     write: Writer = write_full,
     range_rows: int = RANGE_ROWS,
+    max_partitions: int = MAX_PARTITIONS,
+    overlap: str = "keep",
 ) -> Warehouse:
     """Build and store all tables in dependency order.
 
+    ``calendar`` is the first and last day of the date dimension; lines of other
+    days get the Unknown day. None takes all years that have a transaction.
     ``part`` restricts the raw tables to a slice. ``local_tz`` moves 'Z' times to
     a zone before the date is taken. ``gate`` is a data-quality report; the load
     stops before the first write if one of its blocking tests is off.
-    ``write`` is ``write_full`` or ``write_append``.
+    ``write`` is ``write_full`` or ``write_append``. A full load goes to a folder
+    of its own and becomes the current version when all tables are written; if
+    it fails, the version before stays current and whole. ``max_partitions``
+    bounds the shuffle partitions of each table's build. ``overlap`` says what
+    overlapping price versions do: repeat a line for each, or stop the load.
     """
     if gate is not None:
         off = [row["name"] for row in gate.where("gate").select("name").collect()]
@@ -83,17 +93,40 @@ def build_warehouse(
     if part is not None:
         raw = slice_sales(raw, part)
     spark = raw.items.sparkSession
-    wh = Warehouse(spark, path)
-    write(d.dim_date(spark, *calendar).coalesce(1), wh.location(DIM_DATE))
-    write(d.dim_product(raw.products, first_day, range_rows), wh.location(DIM_PRODUCT))
-    write(d.dim_outlet(raw.outlets, range_rows), wh.location(DIM_OUTLET))
-    write(d.dim_status(spark), wh.location(DIM_STATUS))
-    with sql_conf(spark, shuffle_settings(spark, raw.items, raw.transactions)):
-        fact = fact_transaksi_item(raw, wh.dims, local_tz)
-        write(by_month(fact), wh.location(FACT), (YEAR, MONTH))
+    whole = write is write_full
+    wh = Warehouse(spark, path, f"v-{uuid.uuid4().hex}" if whole else None)
+
+    def sized(*frames: DataFrame):
+        return sql_conf(spark, shuffle_settings(spark, *frames, max_partitions=max_partitions))
+
+    try:
+        dates = d.dim_date(spark, *calendar) if calendar else d.calendar(years_of(raw.transactions, local_tz))
+        write(dates.coalesce(1), wh.location(DIM_DATE))
+        with sized(raw.products):
+            write(d.dim_product(raw.products, first_day, range_rows), wh.location(DIM_PRODUCT))
+        with sized(raw.outlets):
+            write(d.dim_outlet(raw.outlets, range_rows), wh.location(DIM_OUTLET))
+        write(d.dim_status(spark), wh.location(DIM_STATUS))
+        with sized(raw.items, raw.transactions):
+            fact = fact_transaksi_item(raw, wh.dims, local_tz, overlap)
+            write(by_month(fact), wh.location(FACT), (YEAR, MONTH))
+    except BaseException:
+        if whole:
+            delete(spark, wh.folder)
+        raise
+    if whole:
+        wh.make_current()
     return Warehouse(spark, path)
 
 
+def years_of(transactions: DataFrame, local_tz: str | None = None) -> DataFrame:
+    """First day of the first and last day of the last year that has a transaction: one row, columns a and b."""
+    day = business_date(F.col("tanggal_waktu"), local_tz)
+    return transactions.agg(F.min(day).alias("a"), F.max(day).alias("b")).select(
+        F.trunc("a", "year").alias("a"), F.date_sub(F.add_months(F.trunc("b", "year"), 12), 1).alias("b")
+    )
+
+
 def load_counts(wh: Warehouse, tables: Iterable[str] = TABLES) -> DataFrame:
     """Rows per table. Parquet answers this from its footers."""
     counts = [wh.table(t).agg(F.count("*").alias("rows")).select(F.lit(t).alias("table"), "rows") for t in tables]
@@ -118,12 +151,21 @@ def load_idempotency(run: Callable[[], Warehouse]) -> DataFrame:
     return compare_counts(*reports)
 
 
-def warehouse_integrity(fact: DataFrame) -> DataFrame:
-    """Rows of the fact and rows without a date key, with the two verdicts."""
-    counted = fact.agg(F.count("*").alias("rows"), F.count_if(F.col("date_sk").isNull()).alias("without_date"))
+def warehouse_integrity(stored: Warehouse | DataFrame) -> DataFrame:
+    """Rows of the fact, rows without a date key, and three verdicts: the fact exists, has rows, and all have a date.
+
+    Takes a warehouse, whose fact may be missing, or the fact itself.
+    """
+    if isinstance(stored, Warehouse):
+        if not stored.has(FACT):
+            schema = {"rows": "bigint", "without_date": "bigint", "has_rows": "boolean", "all_dated": "boolean", "fact_exists": "boolean"}
+            return literal_rows(stored.spark, schema, [(None, None, False, False, False)])
+        stored = stored.table(FACT)
+    counted = stored.agg(F.count("*").alias("rows"), F.count_if(F.col("date_sk").isNull()).alias("without_date"))
     return counted.select(
         "rows",
         "without_date",
         (F.col("rows") > 0).alias("has_rows"),
         (F.col("without_date") == 0).alias("all_dated"),
+        F.lit(True).alias("fact_exists"),
     )

@@ -31,21 +31,11 @@ STANDARD = Scope()
 RETURNED = "qty < 0"
 
 
-# Most outlet keys that are written into a filter.
-FILTER_KEYS = 1000
-
-
-def outlet_keys(outlets: DataFrame) -> list[int] | None:
-    """The surrogate keys of a few outlets, or None if they are more than a filter should list."""
-    keys = [row["outlet_sk"] for row in outlets.select("outlet_sk").limit(FILTER_KEYS + 1).collect()]
-    return keys if len(keys) <= FILTER_KEYS else None
-
-
 def sales(star: Star, scope: Scope | None = None, status: Column | None = None) -> DataFrame:
     """Fact lines joined with day and outlet, and with the status where a condition is set on it.
 
-    The joins decide which lines count. The filters on the partition year and on
-    the outlet keys repeat part of that, where files and pages can be skipped.
+    The joins decide which lines count. The filter on the partition year repeats
+    part of that, where files can be skipped.
     """
     fact, dates, outlets = star.fact, star.date, star.outlet
     if scope is not None:
@@ -53,9 +43,6 @@ def sales(star: Star, scope: Scope | None = None, status: Column | None = None)
         outlets = outlets.where(F.col("outlet_id").isin(*scope.outlets))
         if YEAR in fact.columns:
             fact = fact.where(F.col(YEAR) == scope.year)
-        keys = outlet_keys(outlets)
-        if keys is not None:
-            fact = fact.where(F.col("outlet_sk").isin(*keys))
     if status is not None:
         fact = fact.join(star.status.where(status).select("status_sk"), "status_sk")
     return fact.join(

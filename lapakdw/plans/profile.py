@@ -166,7 +166,7 @@ PROFILES: dict[str, list[Totals | Listing]] = {
     ],
 }
 
-# The six general questions asked of the sales extract before it is loaded.
+# The six general questions asked of the sales extract before it is loaded.
 FIRST_LOOK: list[Totals | Listing] = [
     Totals("raw_transactions", {"baris": rows, "id_unik": distinct("transaction_id")}),
     Totals("raw_transactions", {"customer_kosong": blanks("customer_id"), "outlet_kosong": blanks("outlet_id")}),

@@ -1,4 +1,9 @@
-"""The stored warehouse: five Parquet tables under one folder."""
+"""The stored warehouse: five Parquet tables under one folder.
+
+A full load writes a version of its own, a folder ``v-...``, and the name of the
+current version is that of the only file in ``_current``. A folder without one
+holds the tables themselves, as appended loads leave them.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lapakdw.operators.unknown import UNKNOWN_SK
 from lapakdw.plans.fact import FACT, Dims
-from lapakdw.runtime import broadcast_if_small
+from lapakdw.runtime import broadcast_if_small, delete
 
 DIM_DATE, DIM_PRODUCT, DIM_OUTLET, DIM_STATUS = "dim_date", "dim_product", "dim_outlet", "dim_status_transaksi"
 
@@ -46,12 +51,43 @@ class Star:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, version: str | None = None):
+        """The current version under ``path``, or the named one."""
         self.spark = spark
         self.path = path.rstrip("/")
+        self.version = version or next(iter(self._names("_current")), None)
+
+    def _files(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _names(self, folder: str) -> list[str]:
+        path, files = self._files(folder)
+        return sorted(s.getPath().getName() for s in files.listStatus(path)) if files.exists(path) else []
+
+    def make_current(self) -> None:
+        """Switch readers to this version by one rename, and remove the one before."""
+        before = self._names("_current")
+        marks, files = self._files("_current")
+        files.mkdirs(marks)
+        target = self._files(f"_current/{self.version}")[0]
+        if before:
+            files.rename(self._files(f"_current/{before[0]}")[0], target)
+        else:
+            files.create(target).close()
+        for old in before:
+            delete(self.spark, f"{self.path}/{old}")
+
+    @property
+    def folder(self) -> str:
+        return f"{self.path}/{self.version}" if self.version else self.path
+
+    def has(self, name: str) -> bool:
+        path, files = self._files(f"{self.version}/{name}" if self.version else name)
+        return files.exists(path)
 
     def location(self, name: str) -> str:
-        return f"{self.path}/{name}"
+        return f"{self.folder}/{name}"
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.location(name))

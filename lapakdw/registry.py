@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,7 @@ from lapakdw.plans import dims as d
 from lapakdw.plans import dq, fact, load, metrics
 from lapakdw.plans import profile as p
 from lapakdw.plans.warehouse import MONTH, TABLES, YEAR, Warehouse
-from lapakdw.runtime import new_scratch
+from lapakdw.runtime import materialize, new_scratch
 from lapakdw.sources import standin
 from lapakdw.sources.raw import HEADER_COLUMNS, Slice, read_raw, register_raw, slice_filter
 from lapakdw.sources.standin import StandinViews
@@ -25,7 +25,6 @@ from lapakdw.sources.standin import StandinViews
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Bindings of the reports to the driver's tables.
-CALENDAR = ("1995-01-01", "2001-12-31")
 FIRST_DAY = "1995-01-01"
 SCOPE = metrics.Scope(outlets=("NATION_0", "NATION_1", "NATION_2"), year=1997)
 HALF_YEAR = Slice("t2", "three outlets, six months", outlets=SCOPE.outlets, start="1997-01-01", end="1997-07-01")
@@ -35,15 +34,18 @@ _warehouses: dict[tuple, Warehouse] = {}
 
 def load_into(spark: SparkSession, sf_dir: str, path: str) -> Warehouse:
     """Build the warehouse over a folder of driver tables."""
-    return load.build_warehouse(standin.raw_sales(spark, sf_dir), path, calendar=CALENDAR, first_day=FIRST_DAY)
+    return load.build_warehouse(standin.raw_sales(spark, sf_dir), path, calendar=None, first_day=FIRST_DAY)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse over a folder, built once per application and state of the folder."""
     path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    size, changed = files.getContentSummary(path), files.getFileStatus(path).getModificationTime()
-    key = (spark.sparkContext.applicationId, sf_dir, size.getLength(), size.getFileCount(), changed)
+    size, listing = files.getContentSummary(path), files.listFiles(path, True)
+    newest = 0
+    while listing.hasNext():
+        newest = max(newest, listing.next().getModificationTime())
+    key = (spark.sparkContext.applicationId, sf_dir, size.getLength(), size.getFileCount(), newest)
     if key not in _warehouses:
         _warehouses[key] = load_into(spark, sf_dir, new_scratch(spark, "warehouse"))
     return _warehouses[key]
@@ -74,11 +76,16 @@ def q_register_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = StandinViews(spark, sf_dir)
     for name in ("raw_transactions", "raw_transaction_items", "raw_products", "raw_outlets"):
         _export(views[name], f"{folder}/{name.removeprefix('raw_')}.csv")
-    counts = [
-        spark.table(view).agg(F.count("*").alias("rows")).select(F.lit(view).alias("view"), "rows")
+    rows = [
+        spark.table(view).select(F.lit(view).alias("view"), F.concat_ws("|", *_shown(spark.table(view))).alias("row"))
         for view in register_raw(spark, folder)
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _shown(df: DataFrame) -> list[Column]:
+    """Every column as text, a missing one as such."""
+    return [F.coalesce(F.col(c), F.lit("NULL")) for c in df.columns]
 
 
 def q_slice_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +120,7 @@ def q_load_idempotency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_warehouse_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load.warehouse_integrity(warehouse(spark, sf_dir).table(fact.FACT))
+    return load.warehouse_integrity(warehouse(spark, sf_dir))
 
 
 # Dimensions
@@ -121,12 +128,7 @@ def q_warehouse_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The calendar of all years that have a transaction."""
-    day = business_date(F.col("tanggal_waktu"))
-    bounds = standin.transactions(spark, sf_dir).agg(
-        F.trunc(F.min(day), "year").alias("a"),
-        F.date_sub(F.add_months(F.trunc(F.max(day), "year"), 12), 1).alias("b"),
-    )
-    return d.calendar(bounds)
+    return d.calendar(load.years_of(standin.transactions(spark, sf_dir)))
 
 
 def q_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,6 +181,7 @@ def q_scd2_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = h.transactions_clean(standin.transactions(spark, sf_dir)).select(
         h.HEADER_KEY, business_date(F.col("tanggal_waktu")).alias("tanggal")
     )
+    headers = materialize(headers, "headers")  # stored for the same reason as in the fact
     lines = h.items_dedup(standin.transaction_items(spark, sf_dir)).join(headers, h.HEADER_KEY)
     priced = fact.product_lookup(lines, warehouse(spark, sf_dir).dims.product, "tanggal")
     return priced.select(h.HEADER_KEY, "item_id", "product_id", "tanggal", "product_sk")
@@ -208,7 +211,13 @@ def q_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.alert_entities_per_day(standin.fact_prakiraan_cuaca(spark, sf_dir), d.dim_date(spark))
+    forecasts = standin.fact_prakiraan_cuaca(spark, sf_dir)
+
+    def day(key: Column) -> Column:
+        return F.to_date(key.cast("string"), "yyyyMMdd")
+
+    bounds = forecasts.agg(day(F.min("date_sk")).alias("a"), day(F.max("date_sk")).alias("b"))
+    return metrics.alert_entities_per_day(forecasts, d.calendar(bounds))
 
 
 # Profiling

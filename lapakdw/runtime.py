@@ -18,15 +18,21 @@ MB = 1024 * 1024
 # than what a shuffle of the fact would move, and little enough for an executor.
 BROADCAST_BYTES = 256 * MB
 
-# Compressed input per shuffle partition, and the most partitions asked for.
+# Compressed input per shuffle partition.
 PARTITION_BYTES = 512 * MB
-MAX_PARTITIONS = 50_000
+
+# Default for the most shuffle partitions of a load: 100 TB of input at that size.
+MAX_PARTITIONS = 200_000
+
+# Input per step of the size that adaptive execution aims at.
+TARGET_SHARE = 50_000
 
 # Size adaptive execution aims at, for partitions and written files: Spark's
 # default for ordinary inputs, up to the largest for very large ones.
 TARGET_BYTES, MAX_TARGET_BYTES = 64 * MB, 512 * MB
 
 _local_scratch: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def session(app: str = "lapakdw", master: str | None = None, **settings: str) -> SparkSession:
@@ -78,7 +84,9 @@ def scan_bytes(*frames: DataFrame) -> int:
     return total
 
 
-def shuffle_settings(spark: SparkSession, *frames: DataFrame) -> dict[str, str]:
+def shuffle_settings(
+    spark: SparkSession, *frames: DataFrame, max_partitions: int = MAX_PARTITIONS
+) -> dict[str, str]:
     """Settings for a large load over ``frames``.
 
     The partition count follows the input, because adaptive execution can only
@@ -86,7 +94,8 @@ def shuffle_settings(spark: SparkSession, *frames: DataFrame) -> dict[str, str]:
     towards grows with the input too, so that a large table is not written as
     millions of small files. Skewed join partitions are split even where that
     costs another shuffle behind the join. A count or size chosen by the user is
-    left alone.
+    left alone. ``max_partitions`` bounds the count; beyond it partitions grow.
+    The settings hold for the whole session while they are applied.
     """
     settings = {
         "spark.sql.adaptive.enabled": "true",
@@ -94,14 +103,14 @@ def shuffle_settings(spark: SparkSession, *frames: DataFrame) -> dict[str, str]:
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     }
     size = scan_bytes(*frames)
-    target = min(size // MAX_PARTITIONS, MAX_TARGET_BYTES)
+    target = min(size // TARGET_SHARE, MAX_TARGET_BYTES)
     aim = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     if target > TARGET_BYTES and spark.conf.get(aim) in (f"{TARGET_BYTES}b", "64MB"):
         settings[aim] = str(target)
     chosen = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     if spark.conf.get(chosen, None) is None:
         base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        settings[chosen] = str(max(base, min(-(-size // PARTITION_BYTES), MAX_PARTITIONS)))
+        settings[chosen] = str(max(base, min(-(-size // PARTITION_BYTES), max_partitions)))
     return settings
 
 
@@ -123,8 +132,24 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def new_scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path under the scratch folder."""
-    return f"{scratch_root(spark)}/lapakdw-{label}-{uuid.uuid4().hex}"
+    """A fresh path under the scratch folder, remembered for ``clear_scratch``."""
+    path = f"{scratch_root(spark)}/lapakdw-{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of any file system that Spark reaches; one that is not there is fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove all scratch tables this application made; frames that read them cannot be used afterwards."""
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        delete(spark, path)
+    return len(paths)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

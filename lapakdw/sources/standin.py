@@ -89,7 +89,16 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("1998-01-01").alias("harga_berlaku_dari"),
         F.lit("ya").alias("aktif"),
     )
-    versions = F.when(key % 4 == 0, F.array(first, second)).otherwise(F.array(first))
+    # Some products also have a price without a start, beside one or two that have one.
+    undated = F.struct(
+        _money_text(price + 75).alias("harga_satuan"),
+        F.lit(None).cast("string").alias("harga_berlaku_dari"),
+        F.lit("ya").alias("aktif"),
+    )
+    versions = F.filter(
+        F.array(first, F.when(key % 4 == 0, second), F.when((key % 50).isin(7, 8), undated)),
+        lambda v: v.isNotNull(),
+    )
     return (
         _table(spark, sf_dir, "part")
         .select(

@@ -48,6 +48,10 @@ UNION ALL
 SELECT CONCAT('PRD-', CAST(p_partkey AS STRING)), p_name, p_type,
   CAST(CAST(CAST(p_retailprice AS DECIMAL(15,2)) + 50 AS DECIMAL(15,2)) AS STRING), '1998-01-01', 'ya'
 FROM part WHERE p_partkey % 4 = 0
+UNION ALL
+SELECT CONCAT('PRD-', CAST(p_partkey AS STRING)), p_name, p_type,
+  CAST(CAST(CAST(p_retailprice AS DECIMAL(15,2)) + 75 AS DECIMAL(15,2)) AS STRING), NULL, 'ya'
+FROM part WHERE p_partkey % 50 = 7 OR p_partkey % 50 = 8
 """,
     "raw_outlets": """
 SELECT n_name AS outlet_id, n_name AS nama_outlet, r_name AS kota, 'outlet' AS tipe,
@@ -95,6 +99,7 @@ FROM events
 SELECT CAST(n_nationkey AS STRING) AS kode, n_name AS desa, r_name AS kecamatan
 FROM nation JOIN region ON r_regionkey = n_regionkey
 """,
+    # The status dictionary and the Unknown members.
     "status_dictionary": """
 SELECT * FROM (VALUES
   (1, 'CANCELLED', 'Dibatalkan', 'batal', FALSE),
@@ -109,7 +114,7 @@ SELECT * FROM (VALUES
 SELECT CAST(row_number() OVER (ORDER BY product_id NULLS LAST, harga_berlaku_dari NULLS LAST, nama_produk NULLS LAST,
     kategori NULLS LAST, harga_satuan NULLS LAST, aktif NULLS LAST) AS BIGINT) AS product_sk,
   product_id, nama_produk, kategori, CAST(harga_satuan AS DOUBLE) AS harga_satuan,
-  CAST(harga_berlaku_dari AS DATE) AS valid_from,
+  COALESCE(CAST(harga_berlaku_dari AS DATE), DATE '1995-01-01') AS valid_from,
   CAST(COALESCE(CAST(lead(harga_berlaku_dari) OVER later AS DATE) - 1, DATE '9999-12-31') AS DATE) AS valid_to,
   lead(harga_berlaku_dari) OVER later IS NULL AS is_current,
   LOWER(TRIM(aktif)) = 'ya' AS is_aktif
@@ -143,8 +148,7 @@ JOIN clean_headers AS h ON h.transaction_id = i.transaction_id
     # One row per fact line, with the dimension attributes the reports use.
     "fact": """
 SELECT
-  CASE WHEN l.tgl BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
-       THEN CAST(strftime(l.tgl, '%Y%m%d') AS INT) ELSE -1 END AS date_sk,
+  COALESCE(CAST(strftime(l.tgl, '%Y%m%d') AS INT), -1) AS date_sk,
   COALESCE(v.product_sk, -1) AS product_sk, COALESCE(o.outlet_sk, -1) AS outlet_sk,
   COALESCE(s.status_sk, -1) AS status_sk,
   l.transaction_id, l.item_id, CAST(l.qty AS INT) AS qty,

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from lapakdw.plans.load import (
     write_append,
 )
 from lapakdw.plans.warehouse import MONTH, TABLES, YEAR, Warehouse, partition_columns
-from lapakdw.runtime import PARTITION_BYTES, scan_bytes, shuffle_settings
+from lapakdw.runtime import PARTITION_BYTES, clear_scratch, materialize, scan_bytes, shuffle_settings
 from tests.helpers import plan, small_shop
 
 FACT_ROWS = 7
@@ -58,7 +60,7 @@ def test_large_dimensions_are_joined_by_shuffle_with_the_same_result(
     monkeypatch.setattr("lapakdw.runtime.BROADCAST_BYTES", -1)
     sql_settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
     fact = fact_transaksi_item(small_shop(spark), stored.dims)
-    assert plan(fact).count("SortMergeJoin") == 3  # headers, outlets, products
+    assert plan(fact).count("SortMergeJoin") == 2  # headers (stored with their outlets), products
     assert content(build_warehouse(small_shop(spark), str(tmp_path / "wh"))) == content(stored)
 
 
@@ -84,10 +86,45 @@ def test_compare_counts_sees_missing_tables(spark):
 
 
 def test_integrity(spark, stored):
-    assert tuple(warehouse_integrity(stored.table(FACT)).first()) == (FACT_ROWS, 0, True, True)
+    assert tuple(warehouse_integrity(stored.table(FACT)).first()) == (FACT_ROWS, 0, True, True, True)
     undated = stored.table(FACT).withColumn("date_sk", F.lit(None).cast("int"))
-    assert tuple(warehouse_integrity(undated).first()) == (FACT_ROWS, FACT_ROWS, True, False)
-    assert tuple(warehouse_integrity(undated.where("false")).first()) == (0, 0, False, True)
+    assert tuple(warehouse_integrity(undated).first()) == (FACT_ROWS, FACT_ROWS, True, False, True)
+    assert tuple(warehouse_integrity(undated.where("false")).first()) == (0, 0, False, True, True)
+    assert tuple(warehouse_integrity(stored).first()) == (FACT_ROWS, 0, True, True, True)
+    assert tuple(warehouse_integrity(Warehouse(spark, "/tmp/no/such/warehouse")).first()) == (None, None, False, False, False)
+
+
+def test_a_failed_load_leaves_the_old_warehouse(spark, stored, tmp_path, monkeypatch):
+    path = str(tmp_path / "wh")
+    before = content(build_warehouse(small_shop(spark), path))
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("no fact today")
+
+    monkeypatch.setattr("lapakdw.plans.load.fact_transaksi_item", broken)
+    with pytest.raises(RuntimeError, match="no fact today"):
+        build_warehouse(small_shop(spark), path)
+    assert content(Warehouse(spark, path)) == before
+    monkeypatch.undo()
+    assert content(build_warehouse(small_shop(spark), path)) == before
+    versions = [p.name for p in (tmp_path / "wh").iterdir() if p.name.startswith("v-")]
+    assert len(versions) == 1 and [p.name for p in (tmp_path / "wh" / "_current").glob("v-*")] == versions
+
+
+def test_calendar_from_the_data_covers_every_day(spark, tmp_path):
+    shop = small_shop(spark)
+    wh = build_warehouse(shop, str(tmp_path / "wh"), calendar=None)
+    years = [r.tahun for r in wh.dims.date.select("tahun").distinct().orderBy("tahun").collect()]
+    assert years == [1900, *range(2025, 2032)]
+    assert wh.table(FACT).where("date_sk = -1").count() == 0
+    assert wh.table(FACT).where("date_sk = 20310101").count() == 1
+
+
+def test_scratch_can_be_cleared(spark):
+    path = materialize(spark.range(3).toDF("n"), "gone").inputFiles()[0]
+    assert clear_scratch(spark) > 0
+    assert not Path(path.removeprefix("file://")).exists()
+    assert clear_scratch(spark) == 0
 
 
 def test_partitions_follow_the_calendar(stored):
@@ -122,7 +159,9 @@ def test_partition_count_follows_the_input(spark, stored, monkeypatch):
     assert shuffle_settings(spark, fact)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "1000"
     monkeypatch.setattr("lapakdw.runtime.scan_bytes", lambda *frames: 10**15)
     large = shuffle_settings(spark, fact)
-    assert large["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "50000"
+    assert large["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "200000"
+    few = shuffle_settings(spark, fact, max_partitions=700)
+    assert few["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "700"
     assert large["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(512 * 1024 * 1024)
 
 

@@ -109,20 +109,22 @@ def test_standard_scope():
     assert m.STANDARD == m.Scope(("OUT-A", "OUT-B", "OUT-C"), 2025)
 
 
-def test_outlet_filter_reaches_the_scan(spark, sql_settings, tmp_path):
+def test_year_filter_reaches_the_scan(spark, sql_settings, tmp_path):
     sql_settings(spark__sql__maxMetadataStringLength="2000")
     wh = build_warehouse(small_shop(spark), str(tmp_path / "wh"))
     text = plan(m.q03_return_rate(wh.star))
     scan = next(t for t in text.splitlines() if "FileScan" in t and "subtotal_rupiah" in t)
-    assert "PartitionFilters: [isnotnull(p_tahun" in scan and "In(outlet_sk, [1,2])" in scan
+    assert "PartitionFilters: [isnotnull(p_tahun" in scan
     assert "ReadSchema: struct<date_sk:int,outlet_sk:bigint,qty:int,subtotal_rupiah:decimal(18,2)>" in scan
 
 
-def test_many_outlets_are_left_to_the_join(star, monkeypatch):
-    before = rows(m.q02_mom_rank(star, SCOPE))
-    monkeypatch.setattr(m, "FILTER_KEYS", 1)
-    assert m.outlet_keys(star.outlet) is None
-    assert rows(m.q02_mom_rank(star, SCOPE)) == before
+def test_reports_start_no_job_while_they_are_planned(spark, star):
+    tracker, group = spark.sparkContext.statusTracker(), "planning"
+    spark.sparkContext.setJobGroup(group, group)
+    for report in (m.q01_basket, m.q02_mom_rank, m.q03_return_rate, m.m02_mom_growth, m.monthly_net_revenue):
+        report(star, SCOPE)
+    assert list(tracker.getJobIdsForGroup(group)) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_no_outlet_found(star):

@@ -9,8 +9,11 @@ from lapakdw.operators import scd
 from lapakdw.operators.checks import matching_pairs, orphan_rows
 from lapakdw.operators.headers import items_dedup, transactions_clean
 from lapakdw.operators.scd import scd2_lookup
+from lapakdw.plans import dims as d
+from lapakdw.plans.fact import Dims, fact_transaksi_item
 from lapakdw.runtime import measured_bytes, shuffle_settings, sql_conf
-from tests.helpers import plan
+from lapakdw.sources.raw import RawSales
+from tests.helpers import outlets, plan, products
 
 TINY_PARTITIONS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
@@ -41,7 +44,17 @@ def lines(spark, n=30_000):
 def heads(spark):
     names = spark.range(0, 5000, 1, 4).select(F.concat(F.lit("T"), F.col("id").cast("string")).alias("transaction_id"))
     names = names.unionByName(spark.range(1).select(F.lit("HOT").alias("transaction_id")))
-    return names.withColumn("date_sk", F.lit(20250101))
+    fixed = {"outlet_id": "OUT-A", "customer_id": "C", "tanggal_waktu": "2025-01-01 09:00:00", "status": "PAID", "total_bayar": "1"}
+    return names.select("transaction_id", *(F.lit(v).alias(k) for k, v in fixed.items()))
+
+
+def hot_shop(spark):
+    return RawSales(
+        transactions=heads(spark),
+        items=lines(spark),
+        products=products(spark, ("P", "Teh", "Minuman", "1000", "2024-01-01", "ya")),
+        outlets=outlets(spark, ("OUT-A", "Satu", "Bandung", "outlet", "ya", "2023-03-01")),
+    )
 
 
 def final_plan(df):
@@ -51,8 +64,10 @@ def final_plan(df):
 
 def test_hot_header_is_split_and_lines_stay_exact(spark):
     settings = {**shuffle_settings(spark, lines(spark)), **TINY_PARTITIONS}
+    shop = hot_shop(spark)
+    dims = Dims(d.dim_date(spark), d.dim_product(shop.products), d.dim_outlet(shop.outlets), d.dim_status(spark))
     with sql_conf(spark, settings):
-        df = items_dedup(lines(spark)).join(heads(spark), "transaction_id")
+        df = fact_transaksi_item(shop, dims)
         text = final_plan(df)
         assert "skew=true" in text
         found = df.select("transaction_id", "item_id").toPandas()
