@@ -27,6 +27,7 @@ from lapakdw.operators.checks import (
     value_range,
 )
 from lapakdw.runtime import literal_rows
+from lapakdw.sources.raw import Slice, slice_views
 
 SEVERITIES = ("blocking", "warning")
 PASS, FAIL, SKIP, ERROR, REJECTED = "PASS", "FAIL", "SKIP", "ERROR", "DITOLAK"
@@ -183,6 +184,7 @@ def run_dq(
     topic: str | None = None,
     has_warehouse: bool = False,
     failed: Mapping[str, str] | None = None,
+    part: str | Slice | None = None,
 ) -> DataFrame:
     """One report row per test.
 
@@ -190,8 +192,11 @@ def run_dq(
     test with an unknown severity is rejected, one that needs a missing
     warehouse is skipped, and one that cannot run is an error. ``gate`` marks
     blocking tests that did not come out as expected or could not run.
-    ``failed`` names tests already known to fail at run time.
+    ``failed`` names tests already known to fail at run time. ``part`` restricts
+    the views to a slice; tests that are SQL text read the registered views whole.
     """
+    if part is not None:
+        views = slice_views(views, part)
     chosen = [s for s in specs if topic is None or s.topic == topic]
     outcome: dict[str, str] = {}
     note: dict[str, str] = dict(failed or {})
@@ -244,20 +249,28 @@ def verify_dq(
     specs: Iterable[DqSpec] = SPECS,
     topic: str | None = None,
     has_warehouse: bool = False,
+    part: str | Slice | None = None,
 ) -> list[Row]:
     """Run the tests and return the report rows, one per test.
 
-    If the joint run breaks on the data, each test is run alone to find the ones
-    that break, and the others are reported normally.
+    Tests that are SQL text may well break on the data and are tried one by one
+    first. The standard rules cannot break, so all others run once, together;
+    only if a rule of one's own breaks that run are the rules tried alone too.
     """
     specs = list(specs)
+    failed: dict[str, str] = {}
+
+    def try_alone(texts: bool) -> None:
+        for spec in specs:
+            if isinstance(spec.rule, str) == texts and spec.name not in failed:
+                try:
+                    run_dq(spark, views, [spec], topic, has_warehouse, part=part).collect()
+                except PySparkException as error:
+                    failed[spec.name] = _message(error)
+
+    try_alone(texts=True)
     try:
-        return run_dq(spark, views, specs, topic, has_warehouse).collect()
+        return run_dq(spark, views, specs, topic, has_warehouse, failed, part).collect()
     except PySparkException:
-        failed = {}
-        for spec in specs:
-            try:
-                run_dq(spark, views, [spec], topic, has_warehouse).collect()
-            except PySparkException as error:
-                failed[spec.name] = _message(error)
-        return run_dq(spark, views, specs, topic, has_warehouse, failed).collect()
+        try_alone(texts=False)
+        return run_dq(spark, views, specs, topic, has_warehouse, failed, part).collect()

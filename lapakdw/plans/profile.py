@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lapakdw.functions.columns import is_blank, try_double, try_int
 from lapakdw.operators.checks import VIOLATIONS, Views, duplicate_groups, orphan_rows
+from lapakdw.sources.raw import Slice, slice_views
 
 Measure = Callable[[], Column]
 
@@ -241,8 +242,15 @@ def run_profiles(views: Views, topics: dict[str, list[Totals | Listing]]) -> Dat
     return reduce(DataFrame.unionByName, frames)
 
 
-def run_profile(views: Views, queries: str | list[Totals | Listing]) -> DataFrame:
-    """The profile of one topic, or of a list of questions, as rows of (urutan, tabel, metrik, nilai)."""
+def run_profile(
+    views: Views, queries: str | list[Totals | Listing], part: str | Slice | None = None
+) -> DataFrame:
+    """The profile of one topic, or of a list of questions, as rows of (urutan, tabel, metrik, nilai).
+
+    ``part`` restricts the views to a slice.
+    """
+    if part is not None:
+        views = slice_views(views, part)
     asked = PROFILES[queries] if isinstance(queries, str) else queries
     return run_profiles(views, {"": asked}).drop("topik")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,25 +16,36 @@ PRODUCT_COLUMNS = ["product_id", "nama_produk", "kategori", "harga_satuan", "har
 OUTLET_COLUMNS = ["outlet_id", "nama_outlet", "kota", "tipe", "aktif", "dibuka_sejak"]
 
 
+class RawFormatError(ValueError):
+    """A raw file that cannot be read line by line."""
+
+
 def read_raw(
     spark: SparkSession,
     path: str | list[str],
     columns: Iterable[str] | None = None,
     multiline: bool = False,
+    check_quotes: bool = True,
 ) -> DataFrame:
     """CSV with a header row, every column text, blank fields NULL.
 
-    Only the header is looked at to name the columns; types are never guessed.
-    ``columns`` keeps a subset. ``multiline`` allows line breaks inside quoted
-    fields, at the price of one task per file.
+    The first header names the columns; types are never guessed. Rows with too
+    few or too many fields, and files whose header differs, are errors when the
+    rows are read. ``columns`` keeps a subset. ``multiline`` allows line breaks
+    inside quoted fields, at the price of one task per file. Without it a line
+    with an open quote is an error; ``check_quotes`` looks for such lines first,
+    in a pass of its own, and can be switched off for files known to be sound.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-    )
-    df = reader.csv(path)
+    if check_quotes and not multiline:
+        quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
+        paths = [path] if isinstance(path, str) else path
+        broken = spark.read.text(paths).where(quotes % 2 == 1).first()
+        if broken is not None:
+            raise RawFormatError(f"a quote stays open in line {broken['value'][:80]!r}; read it with multiline=True")
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+    names = reader.option("inferSchema", False).csv(path).schema
+    strict = reader.option("enforceSchema", False).option("mode", "FAILFAST").option("columnPruning", False)
+    df = strict.schema(names).csv(path)
     return df if columns is None else df.select(*columns)
 
 
@@ -42,7 +53,7 @@ def view_name(file_name: str) -> str:
     return "raw_" + file_name.removesuffix(".csv")
 
 
-def register_raw(spark: SparkSession, folder: str) -> list[str]:
+def register_raw(spark: SparkSession, folder: str, multiline: bool = False) -> list[str]:
     """Make every ``<stem>.csv`` of a folder (a file, or a folder of parts) the view ``raw_<stem>``."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
@@ -50,7 +61,7 @@ def register_raw(spark: SparkSession, folder: str) -> list[str]:
     views = []
     for name in names:
         if name.endswith(".csv"):
-            read_raw(spark, f"{folder.rstrip('/')}/{name}").createOrReplaceTempView(view_name(name))
+            read_raw(spark, f"{folder.rstrip('/')}/{name}", multiline=multiline).createOrReplaceTempView(view_name(name))
             views.append(view_name(name))
     return views
 
@@ -65,13 +76,17 @@ class RawSales:
     outlets: DataFrame
 
     @classmethod
-    def from_csv(cls, spark: SparkSession, folder: str) -> RawSales:
+    def from_csv(cls, spark: SparkSession, folder: str, multiline: bool = False) -> RawSales:
         root = folder.rstrip("/")
+
+        def read(name: str) -> DataFrame:
+            return read_raw(spark, f"{root}/{name}.csv", multiline=multiline)
+
         return cls(
-            transactions=read_raw(spark, f"{root}/transactions.csv"),
-            items=read_raw(spark, f"{root}/transaction_items.csv"),
-            products=read_raw(spark, f"{root}/products.csv"),
-            outlets=read_raw(spark, f"{root}/outlets.csv"),
+            transactions=read("transactions"),
+            items=read("transaction_items"),
+            products=read("products"),
+            outlets=read("outlets"),
         )
 
 
@@ -125,3 +140,12 @@ def slice_sales(raw: RawSales, which: str | Slice) -> RawSales:
         products=raw.products,
         outlets=slice_filter(raw.outlets, which),
     )
+
+
+def slice_views(views: Mapping[str, DataFrame], which: str | Slice) -> dict[str, DataFrame]:
+    """Every view restricted to a slice, as far as it has the columns that the slice names.
+
+    Slices of the weather topic are folders of their own (``register_raw`` of
+    ``<topic>/<slice>``) and restrict nothing here.
+    """
+    return {name: slice_filter(views[name], which) for name in views}

@@ -6,7 +6,20 @@ import pytest
 from lapakdw.plans.fact import FACT
 from lapakdw.plans.load import build_warehouse
 from lapakdw.runtime import new_scratch, scratch_root, sql_conf
-from lapakdw.sources.raw import SLICES, RawSales, Slice, read_raw, register_raw, slice_filter
+from lapakdw.plans.dq import run_dq
+from lapakdw.plans.profile import run_profile
+from lapakdw.sources.raw import (
+    HEADER_COLUMNS,
+    ITEM_COLUMNS,
+    OUTLET_COLUMNS,
+    PRODUCT_COLUMNS,
+    SLICES,
+    RawSales,
+    Slice,
+    read_raw,
+    register_raw,
+    slice_filter,
+)
 from tests.helpers import small_shop, texts
 
 
@@ -25,6 +38,40 @@ def test_read_raw_multiline(spark, tmp_path):
     assert [tuple(r) for r in read_raw(spark, str(path), multiline=True).collect()] == [("1", "two\nlines"), ("2", "b")]
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["a,b,c\n4,5,6,7\n", "a,b,c\n8,9\n", 'a,b,c\n"x\ny",1,2\n', 'a,b,c\n1,2,"x\ny,z,w"\n'],
+    ids=["surplus field", "missing field", "quoted break", "open last field"],
+)
+def test_read_raw_refuses_what_it_would_get_wrong(spark, tmp_path, text):
+    path = tmp_path / "x.csv"
+    path.write_text(text)
+    with pytest.raises(Exception, match="FAILED_READ_FILE|quote stays open|MALFORMED"):
+        read_raw(spark, str(path), ["a"]).collect()
+
+
+def test_read_raw_multiline_reads_breaks_in_any_field(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text('a,b,c\n1,2,"x\ny,z,w"\n"p\nq",3,4\n')
+    assert [tuple(r) for r in read_raw(spark, str(path), multiline=True).collect()] == [("1", "2", "x\ny,z,w"), ("p\nq", "3", "4")]
+
+
+def test_part_files_must_have_one_header(spark, tmp_path):
+    (tmp_path / "p0.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "p1.csv").write_text("b,a\n2,1\n")
+    with pytest.raises(Exception, match="header does not conform|FAILED_READ_FILE"):
+        read_raw(spark, str(tmp_path)).collect()
+
+
+def test_multiline_reaches_views_and_sales(spark, tmp_path):
+    for name, header in (("transactions", HEADER_COLUMNS), ("transaction_items", ITEM_COLUMNS), ("products", PRODUCT_COLUMNS), ("outlets", OUTLET_COLUMNS)):
+        row = ",".join(['"x\ny"'] * len(header))
+        (tmp_path / f"{name}.csv").write_text(",".join(header) + f"\n{row}\n")
+    assert RawSales.from_csv(spark, str(tmp_path), multiline=True).products.first()["aktif"] == "x\ny"
+    register_raw(spark, str(tmp_path), multiline=True)
+    assert spark.table("raw_outlets").first()["kota"] == "x\ny"
+
+
 def test_register_raw(spark, tmp_path):
     (tmp_path / "products.csv").write_text("product_id\nP1\nP2\n")
     (tmp_path / "outlets.csv").mkdir()
@@ -36,6 +83,19 @@ def test_register_raw(spark, tmp_path):
     assert spark.sql("SELECT count(*) FROM raw_products").first()[0] == 2
 
 
+def test_profile_and_tests_of_a_slice(spark):
+    shop = small_shop(spark)
+    views = {"raw_transactions": shop.transactions, "raw_transaction_items": shop.items, "raw_products": shop.products}
+
+    def rows_of(part):
+        found = run_profile(views, "t2", part).where("urutan = 1 AND metrik = 'baris'").first()["nilai"]
+        checked = {r.name: r.violations for r in run_dq(spark, views, topic="t2", part=part).collect()}
+        return int(found), checked["transaction_id_duplikat"]
+
+    assert rows_of(None) == (11, 3)
+    assert rows_of(Slice("t2", "B", outlets=("OUT-B",))) == (4, 1)
+
+
 def test_slices(spark):
     trx = small_shop(spark).transactions
     assert {r.transaction_id for r in slice_filter(trx, "k9").collect()} == {"T1", "T2", "T8"}
