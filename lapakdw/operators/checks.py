@@ -1,24 +1,27 @@
 """Reusable counts of rule violations.
 
 ``pattern``, ``value_range``, ``domain`` and ``blank`` are conditions on single
-rows; those on one table can share a scan. The others are frames of their own.
-Every count is aggregated per key before anything is joined, so a key that
-holds a large part of a table costs one row per task in the shuffle, and no
-pairs of rows are ever formed.
+rows; those on one table can share a scan. The others start from row counts per
+key, and rules on one table can share a stored table of such counts. Every
+count is aggregated per key before anything is joined, so a key that holds a
+large part of a table costs one row per task in the shuffle, and no pairs of
+rows are ever formed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapakdw.functions.columns import code, is_blank, try_double, try_int
+from lapakdw.runtime import materialize
 
 Views = Mapping[str, DataFrame]
 VIOLATIONS = "violations"
+ROWS = "_rows"
 
 
 @dataclass(frozen=True)
@@ -36,13 +39,65 @@ class RowRule:
 
 
 @dataclass(frozen=True)
-class TableRule:
-    """Counts violations with a frame of its own: one row, one column."""
+class KeyCount:
+    """Rows per key of a view: all of them, or those on which a condition is true."""
+
+    view: str
+    keys: tuple[str, ...]
+    condition: Callable[[], Column] | None = None
+
+    def frame(self, views: Views) -> DataFrame:
+        df = views[self.view]
+        if self.condition is not None:
+            df = df.where(self.condition())
+        return df.groupBy(*self.keys).agg(F.count("*").alias(ROWS))
 
-    build: Callable[[Views], DataFrame]
+
+@dataclass(frozen=True)
+class KeyRule:
+    """Counts violations from row counts per key: ``combine`` makes one row, one column of them."""
+
+    counts: tuple[KeyCount, ...]
+    combine: Callable[..., DataFrame]
 
     def frame(self, views: Views) -> DataFrame:
-        return self.build(views)
+        return self.combine(*(count.frame(views) for count in self.counts))
+
+
+def shared_counts(views: Views, rules: Iterable[KeyRule]) -> Callable[[KeyRule], DataFrame]:
+    """The frame of each rule, over one stored table of counts per view for all rules on single keys.
+
+    Such a table is grouped by all the single keys its rules ask for, with one
+    count per condition, and read again for each key; rules on several keys use
+    it too if it has them, and else a table of their own.
+    """
+    wanted = [count for rule in rules for count in rule.counts]
+    single: dict[str, set[str]] = {}
+    for count in wanted:
+        if len(count.keys) == 1:
+            single.setdefault(count.view, set()).update(count.keys)
+    groups: dict[tuple[str, tuple[str, ...]], list[KeyCount]] = {}
+    for count in wanted:
+        base = single.get(count.view, set())
+        keys = base if set(count.keys) <= base else set(count.keys)
+        groups.setdefault((count.view, tuple(sorted(keys))), []).append(count)
+    place: dict[int, tuple[DataFrame, str]] = {}
+    for (view, keys), counts in groups.items():
+        if len(counts) < 2:
+            continue
+        sums = {
+            f"_c{i}": F.count("*") if c.condition is None else F.count_if(c.condition()) for i, c in enumerate(counts)
+        }
+        table = materialize(views[view].groupBy(*keys).agg(*(v.alias(k) for k, v in sums.items())), "counts")
+        place.update({id(c): (table, f"_c{i}") for i, c in enumerate(counts)})
+
+    def counted(count: KeyCount) -> DataFrame:
+        if id(count) not in place:
+            return count.frame(views)
+        table, name = place[id(count)]
+        return table.groupBy(*count.keys).agg(F.sum(name).alias(ROWS)).where(F.col(ROWS) > 0)
+
+    return lambda rule: rule.combine(*(counted(count) for count in rule.counts))
 
 
 def typed(column: str, dtype: str) -> Column:
@@ -67,22 +122,41 @@ def blank(view: str, column: str) -> RowRule:
     return RowRule(view, lambda: is_blank(F.col(column)))
 
 
-def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Number of key values that occur more than once."""
-    groups = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    return groups.agg(F.count_if(F.col("_rows") > 1).alias(VIOLATIONS))
+def _repeated_keys(counted: DataFrame) -> DataFrame:
+    return counted.agg(F.count_if(F.col(ROWS) > 1).alias(VIOLATIONS))
 
 
-def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Rows of ``child`` whose key, NULL included, has no row in ``parent``.
+def _orphans(key: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """Written as an outer join, not an anti join: the optimizer moves an anti join
+    below the grouping, and the child would be shuffled row by row again."""
 
-    Written as an outer join, not an anti join: the optimizer moves an anti join
-    below the grouping, and the child would be shuffled row by row again.
-    """
-    counted = child.groupBy(key).agg(F.count("*").alias("_rows"))
-    known = parent.select(key).distinct().withColumn("_known", F.lit(True))
-    missing = counted.join(known, key, "left").where(F.col("_known").isNull())
-    return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias(VIOLATIONS))
+    def combine(child: DataFrame, parent: DataFrame) -> DataFrame:
+        known = parent.select(key).withColumn("_known", F.lit(True))
+        missing = child.join(known, key, "left").where(F.col("_known").isNull())
+        return missing.agg(F.coalesce(F.sum(ROWS), F.lit(0)).alias(VIOLATIONS))
+
+    return combine
+
+
+def _pairs(key: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    def combine(left: DataFrame, right: DataFrame) -> DataFrame:
+        both = left.withColumnRenamed(ROWS, "_left").join(right.withColumnRenamed(ROWS, "_right"), key)
+        return both.agg(F.coalesce(F.sum(F.col("_left") * F.col("_right")), F.lit(0)).alias(VIOLATIONS))
+
+    return combine
+
+
+def _split(determinant: str, dependent: str) -> Callable[[DataFrame], DataFrame]:
+    def combine(counted: DataFrame) -> DataFrame:
+        groups = counted.groupBy(determinant).agg(F.count(dependent).alias("_values"))
+        return groups.agg(F.count_if(F.col("_values") > 1).alias(VIOLATIONS))
+
+    return combine
+
+
+def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """Rows of ``child`` whose key, NULL included, has no row in ``parent``."""
+    return orphan("child", "parent", key).frame({"child": child, "parent": parent})
 
 
 def matching_pairs(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -90,34 +164,26 @@ def matching_pairs(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
     A number of pairs beyond the range of a bigint is an error, not a wrong count.
     """
-    one = left.groupBy(key).agg(F.count("*").alias("_left"))
-    two = right.groupBy(key).agg(F.count("*").alias("_right"))
-    both = one.join(two, key)
-    return both.agg(F.coalesce(F.sum(F.col("_left") * F.col("_right")), F.lit(0)).alias(VIOLATIONS))
+    one, two = KeyCount("left", (key,)), KeyCount("right", (key,))
+    return KeyRule((one, two), _pairs(key)).frame({"left": left, "right": right})
 
 
-def split_determinants(df: DataFrame, determinant: str, dependent: str) -> DataFrame:
-    """Values of ``determinant`` that come with more than one value of ``dependent``."""
-    groups = df.groupBy(determinant).agg(F.count_distinct(F.col(dependent)).alias("_values"))
-    return groups.agg(F.count_if(F.col("_values") > 1).alias(VIOLATIONS))
-
-
-def duplicate_key(view: str, *keys: str) -> TableRule:
-    return TableRule(lambda views: duplicate_groups(views[view], list(keys)))
+def duplicate_key(view: str, *keys: str) -> KeyRule:
+    """Number of key values that occur more than once."""
+    return KeyRule((KeyCount(view, keys),), _repeated_keys)
 
 
-def orphan(child: str, parent: str, key: str) -> TableRule:
-    return TableRule(lambda views: orphan_rows(views[child], views[parent], key))
+def orphan(child: str, parent: str, key: str) -> KeyRule:
+    return KeyRule((KeyCount(child, (key,)), KeyCount(parent, (key,))), _orphans(key))
 
 
 def cross_table(
     left: str, left_bad: Callable[[], Column], right: str, right_bad: Callable[[], Column], key: str
-) -> TableRule:
+) -> KeyRule:
     """Joined rows of two views that break a rule made of one condition on each."""
-    return TableRule(
-        lambda views: matching_pairs(views[left].where(left_bad()), views[right].where(right_bad()), key)
-    )
+    return KeyRule((KeyCount(left, (key,), left_bad), KeyCount(right, (key,), right_bad)), _pairs(key))
 
 
-def fd_violation(view: str, determinant: str, dependent: str) -> TableRule:
-    return TableRule(lambda views: split_determinants(views[view], determinant, dependent))
+def fd_violation(view: str, determinant: str, dependent: str) -> KeyRule:
+    """Values of ``determinant`` that come with more than one value of ``dependent``."""
+    return KeyRule((KeyCount(view, (determinant, dependent)),), _split(determinant, dependent))

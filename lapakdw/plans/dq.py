@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from lapakdw.functions.columns import code, try_int
 from lapakdw.operators.checks import (
     VIOLATIONS,
+    KeyRule,
     RowRule,
-    TableRule,
     Views,
     blank,
     cross_table,
@@ -23,6 +23,7 @@ from lapakdw.operators.checks import (
     fd_violation,
     orphan,
     pattern,
+    shared_counts,
     typed,
     value_range,
 )
@@ -42,7 +43,7 @@ class DqSpec:
     severity: str
     expected: str
     expected_rows: int
-    rule: RowRule | TableRule | str
+    rule: RowRule | KeyRule | str
     reason: str = ""
     scope: str = "source"
     needs_warehouse: bool = False
@@ -169,11 +170,19 @@ def _counts(
             frames.append(_folded(views, view, group))
         except (PySparkException, KeyError):
             alone.extend(group)
+    keyed: list[DqSpec] = []
     for spec in alone:
         try:
-            frames.append(check(spark, views, spec).select(F.lit(spec.name).alias("name"), VIOLATIONS))
+            frame = check(spark, views, spec).select(F.lit(spec.name).alias("name"), VIOLATIONS)
         except (PySparkException, KeyError) as error:
             errors[spec.name] = _message(error)
+            continue
+        # Rules that can be planned on their own go on together.
+        (keyed if isinstance(spec.rule, KeyRule) else frames).append(spec if isinstance(spec.rule, KeyRule) else frame)
+    frame_of = shared_counts(views, [spec.rule for spec in keyed])
+    for spec in keyed:
+        count = F.col(VIOLATIONS).cast("bigint").alias(VIOLATIONS)
+        frames.append(frame_of(spec.rule).select(F.lit(spec.name).alias("name"), count))
     return frames, errors
 
 
@@ -188,7 +197,8 @@ def run_dq(
 ) -> DataFrame:
     """One report row per test.
 
-    Row rules on one view share a scan; the others are counted on their own. A
+    Row rules on one view share a scan, and rules on keys of one view a stored
+    table of counts, which is made here. A
     test with an unknown severity is rejected, one that needs a missing
     warehouse is skipped, and one that cannot run is an error. ``gate`` marks
     blocking tests that did not come out as expected or could not run.

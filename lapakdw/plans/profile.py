@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapakdw.functions.columns import is_blank, try_double, try_int
-from lapakdw.operators.checks import VIOLATIONS, Views, duplicate_groups, orphan_rows
+from lapakdw.operators.checks import ROWS, VIOLATIONS, KeyCount, KeyRule, Views, duplicate_key, orphan, shared_counts
 from lapakdw.sources.raw import Slice, slice_views
 
 Measure = Callable[[], Column]
@@ -38,6 +38,21 @@ class Listing:
         return self.build(views)
 
 
+@dataclass(frozen=True)
+class Count:
+    """What follows from row counts per key; the last column is the value. Those of one table can share the counts."""
+
+    table: str
+    name: str
+    rule: KeyRule
+
+    def frame(self, views: Views) -> DataFrame:
+        return self.named(self.rule.frame(views))
+
+    def named(self, frame: DataFrame) -> DataFrame:
+        return frame.withColumnRenamed(VIOLATIONS, self.name)
+
+
 def rows() -> Column:
     return F.count("*")
 
@@ -96,25 +111,23 @@ def at_offset(local: str, utc: str, seconds: int) -> Measure:
     return make
 
 
-def repeated(table: str, name: str, *keys: str) -> Listing:
-    return Listing(table, lambda views: duplicate_groups(views[table], list(keys)).withColumnRenamed(VIOLATIONS, name))
+def repeated(table: str, name: str, *keys: str) -> Count:
+    return Count(table, name, duplicate_key(table, *keys))
 
 
-def unmatched(child: str, parent: str, key: str, name: str) -> Listing:
+def unmatched(child: str, parent: str, key: str, name: str) -> Count:
     """Rows of ``child`` without a row of ``parent`` under the same key."""
-    return Listing(
-        child, lambda views: orphan_rows(views[child], views[parent], key).withColumnRenamed(VIOLATIONS, name)
-    )
+    return Count(child, name, orphan(child, parent, key))
 
 
-def frequencies(table: str, names: dict[str, str]) -> Listing:
+def frequencies(table: str, names: dict[str, str]) -> Count:
     """Rows per combination of columns, most frequent first."""
 
-    def build(views: Views) -> DataFrame:
-        groups = views[table].groupBy(*(F.col(c).alias(name) for c, name in names.items()))
-        return groups.agg(F.count("*").alias("baris")).orderBy(F.desc("baris"))
+    def combine(counted: DataFrame) -> DataFrame:
+        named = (F.col(c).alias(name) for c, name in names.items())
+        return counted.select(*named, F.col(ROWS).alias("baris")).orderBy(F.desc("baris"))
 
-    return Listing(table, build)
+    return Count(table, "baris", KeyRule((KeyCount(table, tuple(names)),), combine))
 
 
 # Seconds by which the standard profile expects local time to be ahead of UTC.
@@ -122,7 +135,7 @@ WIB_SECONDS = 7 * 3600
 
 # The measures of the three topics, in the order and under the
 # names of the published profiles.
-PROFILES: dict[str, list[Totals | Listing]] = {
+PROFILES: dict[str, list[Totals | Listing | Count]] = {
     "t1": [
         Totals("raw_mahasiswa", {"baris": rows, "nim_unik": distinct("nim")}),
         repeated("raw_mahasiswa", "nim_duplikat", "nim"),
@@ -168,7 +181,7 @@ PROFILES: dict[str, list[Totals | Listing]] = {
 }
 
 # The six general questions asked of the sales extract before it is loaded.
-FIRST_LOOK: list[Totals | Listing] = [
+FIRST_LOOK: list[Totals | Listing | Count] = [
     Totals("raw_transactions", {"baris": rows, "id_unik": distinct("transaction_id")}),
     Totals("raw_transactions", {"customer_kosong": blanks("customer_id"), "outlet_kosong": blanks("outlet_id")}),
     repeated("raw_transaction_items", "duplikat", "transaction_id", "product_id"),
@@ -211,9 +224,8 @@ def _scan(views: Views, table: str, totals: list[tuple[Asked, Totals]]) -> DataF
     )
 
 
-def _rows_of(views: Views, asked: Asked, listing: Listing) -> DataFrame:
+def _rows_of(frame: DataFrame, asked: Asked, listing: Listing | Count) -> DataFrame:
     """A listing as metric rows: the leading columns become the metric's name."""
-    frame = listing.frame(views)
     *keys, value = frame.columns
     label = F.concat_ws("|", *(F.concat(F.lit(f"{k}="), F.coalesce(F.col(k), F.lit("NULL"))) for k in keys))
     return frame.select(
@@ -225,25 +237,31 @@ def _rows_of(views: Views, asked: Asked, listing: Listing) -> DataFrame:
     )
 
 
-def run_profiles(views: Views, topics: dict[str, list[Totals | Listing]]) -> DataFrame:
+def run_profiles(views: Views, topics: dict[str, list[Totals | Listing | Count]]) -> DataFrame:
     """Profiles as rows of (topik, urutan, tabel, metrik, nilai); ``urutan`` numbers a topic's questions from 1.
 
-    Each table is scanned once for all totals that any topic asks of it.
+    Each table is scanned once for all totals that any topic asks of it, and
+    once for the row counts per key, which are stored here.
     """
     totals: dict[str, list[tuple[Asked, Totals]]] = {}
+    counts: list[tuple[Asked, Count]] = []
     frames = []
     for topic, questions in topics.items():
         for asked, question in (((topic, i), q) for i, q in enumerate(questions, start=1)):
             if isinstance(question, Totals):
                 totals.setdefault(question.table, []).append((asked, question))
+            elif isinstance(question, Count):
+                counts.append((asked, question))
             else:
-                frames.append(_rows_of(views, asked, question))
+                frames.append(_rows_of(question.frame(views), asked, question))
+    frame_of = shared_counts(views, [count.rule for _, count in counts])
+    frames.extend(_rows_of(count.named(frame_of(count.rule)), asked, count) for asked, count in counts)
     frames.extend(_scan(views, table, group) for table, group in totals.items())
     return reduce(DataFrame.unionByName, frames)
 
 
 def run_profile(
-    views: Views, queries: str | list[Totals | Listing], part: str | Slice | None = None
+    views: Views, queries: str | list[Totals | Listing | Count], part: str | Slice | None = None
 ) -> DataFrame:
     """The profile of one topic, or of a list of questions, as rows of (urutan, tabel, metrik, nilai).
 

@@ -222,7 +222,7 @@ def q_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Profiling
 
-PROFILE_QUERIES: dict[str, p.Totals | p.Listing] = {
+PROFILE_QUERIES: dict[str, p.Totals | p.Listing | p.Count] = {
     "prof_rows_unique": p.PROFILES["t2"][0],
     "prof_dup_keys": p.PROFILES["t2"][1],
     "prof_blank_and_variants": p.Totals(
@@ -251,7 +251,7 @@ PROFILE_QUERIES: dict[str, p.Totals | p.Listing] = {
 }
 
 
-def _profile(question: p.Totals | p.Listing) -> Query:
+def _profile(question: p.Totals | p.Listing | p.Count) -> Query:
     return lambda spark, sf_dir: question.frame(StandinViews(spark, sf_dir))
 
 

@@ -17,6 +17,7 @@ from lapakdw.operators.checks import (
 )
 from lapakdw.plans.dq import SPECS, DqSpec, check, run_dq, verify_dq
 from lapakdw.plans.load import QualityGateError, build_warehouse
+from lapakdw.runtime import materialize
 from tests.helpers import plan, small_shop, texts
 
 
@@ -147,3 +148,27 @@ def test_standard_list():
         mine = [s for s in SPECS if s.topic == topic]
         assert {"blocking", "warning"} == {s.severity for s in mine}
         assert any(s.expected == "fail" for s in mine) and all(s.reason for s in mine)
+
+
+def test_rules_on_keys_share_the_reading_of_a_table(spark, sf_dir, monkeypatch):
+    """Orders and lines are each read at most twice: once for row rules, once for counts per key."""
+    import lapakdw.operators.checks as checks
+    from lapakdw.plans.profile import FIRST_LOOK, PROFILES, run_profiles
+    from lapakdw.sources.standin import StandinViews
+
+    stored = []
+
+    def kept(df, label):
+        stored.append(plan(df))
+        return materialize(df, label)
+
+    monkeypatch.setattr(checks, "materialize", kept)
+    for report in (
+        lambda views: run_dq(spark, views),
+        lambda views: run_profiles(views, {**PROFILES, "awal": FIRST_LOOK}),
+    ):
+        stored.clear()
+        final = plan(report(StandinViews(spark, sf_dir)))
+        for table in ("orders", "lineitem"):
+            scans = [t for text in (final, *stored) for t in text.splitlines() if "FileScan" in t and f"/{table}.parquet" in t]
+            assert 1 <= len(scans) <= 2, table
