@@ -15,17 +15,21 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# Pieces a worker remembers before it starts anew, and the longest it remembers.
-CACHE_PIECES = 300_000
+# Pieces a worker remembers twice of, the newer and the older ones, and the longest it remembers.
+CACHE_PIECES = 200_000
 CACHE_CHARS = 64
+# Bits of a token id.
+ID_BITS = 32
 # Characters handled at once.
 CHUNK_CHARS = 2_000_000
 # Every so many pieces the place of the piece is kept.
@@ -175,8 +179,19 @@ class Vocabulary:
         self.tokens = [b""] * (max(self.rank.values()) + 1)
         for token, rank in self.rank.items():
             self.tokens[rank] = token
+        # Token of every two tokens that spell one together, by both their ids in one number.
+        self.joined = {
+            left << ID_BITS | right: rank
+            for token, rank in self.rank.items()
+            for i in range(1, len(token))
+            if (left := self.rank.get(token[:i])) is not None and (right := self.rank.get(token[i:])) is not None
+        }
         self.width = np.array([len(t) for t in self.tokens], np.int64)
+        self.first = np.cumsum(self.width) - self.width
+        self.spelled = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.single = [self.rank[bytes([i])] for i in range(256)]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Join the neighbouring pair of smallest rank, the first of equals, until no pair has a rank."""
@@ -185,21 +200,21 @@ class Vocabulary:
             return [whole]
         if len(piece) > 2 * CACHE_CHARS:
             return self._merge_long(piece)
-        rank, none = self.rank.get, 1 << 60
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        pairs = [rank(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+        joined, none = self.joined.get, 1 << 60
+        ids = [self.single[b] for b in piece]
+        pairs = [joined(x << ID_BITS | y, none) for x, y in zip(ids, ids[1:])]
         while pairs:
             least = min(pairs)
             if least == none:
                 break
             i = pairs.index(least)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
+            ids[i] = least  # the rank of a token is its id
+            del ids[i + 1], pairs[i]
             if i < len(pairs):
-                pairs[i] = rank(parts[i] + parts[i + 1], none)
+                pairs[i] = joined(least << ID_BITS | ids[i + 1], none)
             if i:
-                pairs[i - 1] = rank(parts[i - 1] + parts[i], none)
-        return [self.rank[p] for p in parts]
+                pairs[i - 1] = joined(ids[i - 1] << ID_BITS | least, none)
+        return ids
 
     def _merge_long(self, piece: bytes) -> list[int]:
         """The same with a heap, for pieces of any length."""
@@ -231,12 +246,12 @@ class Vocabulary:
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """Token ids of each piece as little-endian 32-bit numbers."""
-        known = self.known
-        if len(known) > CACHE_PIECES:
-            known.clear()
+        if len(self.known) > CACHE_PIECES:
+            self.known, self.older = {}, self.known  # what is still in use is taken over piece by piece
+        known, older = self.known, self.older
         once = {}
         for piece in set(pieces).difference(known):
-            ids = np.array(self.merge(piece.encode("utf-8")), "<i4").tobytes()
+            ids = older.get(piece) or array("i", self.merge(piece.encode("utf-8"))).tobytes()
             (known if len(piece) <= CACHE_CHARS else once)[piece] = ids
         return [known.get(p) or once[p] for p in pieces] if once else list(map(known.__getitem__, pieces))
 
@@ -259,7 +274,13 @@ class Vocabulary:
         return ids, upto[last], chars, tokens
 
     def decode(self, ids: Sequence[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        """The bytes of the ids: for every byte its place among the spelled tokens, and one lookup for all."""
+        ids = np.asarray(ids, np.int64)
+        if len(ids) > CHUNK_CHARS:
+            return b"".join(self.decode(ids[a : a + CHUNK_CHARS]) for a in range(0, len(ids), CHUNK_CHARS))
+        width = self.width.take(ids)
+        shift = self.first.take(ids) - (np.cumsum(width) - width)
+        return self.spelled.take(np.repeat(shift, width) + np.arange(width.sum())).tobytes()
 
     def decode_from(self, ids: Sequence[int], chars: Sequence[int], tokens: Sequence[int], start: int, end: int) -> str:
         """The characters ``start`` to ``end`` of a text, decoded from the nearest kept places around them."""
@@ -338,7 +359,15 @@ def decode(df: DataFrame, path: str, ids: str = "ids", name: str = "decoded") ->
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                found = [None if x is None else vocab.decode(x) for x in part.column(place).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=[*names, name])
+                column = part.column(place)
+                numbers = column.flatten().to_numpy()
+                data = vocab.decode(numbers)
+                bytes_upto = np.concatenate([[0], np.cumsum(vocab.width.take(numbers))])
+                lengths = pc.fill_null(column.value_lengths(), 0).to_numpy()
+                offsets = bytes_upto[np.concatenate([[0], np.cumsum(lengths)])]
+                buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+                spelled = pa.Array.from_buffers(pa.large_binary(), len(column), buffers).cast(pa.binary())
+                found = pc.if_else(column.is_valid(), spelled, pa.scalar(None, pa.binary()))
+                yield pa.RecordBatch.from_arrays([*part.columns, found], names=[*names, name])
 
     return df.mapInArrow(run, schema)
