@@ -7,11 +7,13 @@ text order; texts with many shingles in common and in the same order share
 some of their SKETCHES sketches.
 
 Texts with equal words are one from the start. The others meet in buckets, one
-per shared sketch. In each bucket all are held against the first one; buckets
-whose texts are not yet all connected go on with further leaders, each held
-against the rest of its bucket, until nothing is left that could add a
-connection. So a large group of copies costs one comparison per text and
-bucket, and still no pair that could join two groups goes unseen.
+per shared sketch. In each bucket all are held against one leader, the text that
+meets most others. Where that leaves texts of a bucket in different groups, all
+of them are held against each other: in small buckets pair by pair, in larger
+ones in tiles whose tasks return only the links that connect something. So a
+large group of copies costs one comparison per text and bucket and a number of
+links that grows with its texts, and still no pair that could join two groups
+goes unseen.
 
 The similarity of two texts is c / (n + m - c) for n and m labelled shingles,
 c of which can be aligned in order inside the band that this similarity leaves.
@@ -39,8 +41,9 @@ SIMILARITY = 0.8
 # Shingles in a sketch, and sketches of a text. Texts at the smallest similarity miss each other with
 # a chance of about (1 - 0.8 ** LENGTH) ** SKETCHES, two in a hundred thousand.
 LENGTH, SKETCHES = 5, 28
-# Leaders of a bucket in its second round; each further round has LEADERS_GROW times as many.
-LEADERS, LEADERS_GROW = 8, 4
+# Up to this many members, the pairs of a bucket that may still be tied are compared one by one; larger
+# buckets are compared in tiles of blocks of about so many members, by slices of so many shingles.
+SMALL_BUCKET, TILE_MEMBERS, TABLE_COLUMNS = 32, 512, 4096
 # Shingles hashed at once, and bytes per batch of pairs that are aligned.
 BLOCK = 1 << 15
 PAIR_BATCH_BYTES = 32 << 20
@@ -290,59 +293,118 @@ def _lengths_fit(a: str, b: str) -> Column:
 
 
 def near_links(documents: DataFrame, reps: DataFrame) -> DataFrame:
-    """Verified links ``(a, b)`` between representatives, enough to connect all that are connected."""
+    """Verified links ``(a, b)`` between representatives, enough to connect all that are connected in some bucket."""
     keyed = reps.select("rep", "n", F.posexplode("sketches").alias("seat", "sketch")).select(
         F.xxhash64("seat", "sketch").alias("bucket"), "rep", "n"
     )
-    shared = keyed.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.min("rep").alias("leader"), F.min_by("n", "rep").alias("leader_n")
-    ).where("size > 1")
-    shared = materialize(shared.drop("size"), "buckets")
+    shared = materialize(keyed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
     members = materialize(keyed.join(shared, "bucket"), "members")
-    heads = reps.join(members.select("rep").distinct(), "rep").select("rep", "head_doc_id", "head_key")
+    # A text that meets many others is likely to be what they are copies of: the best first guess for a leader.
+    met = members.groupBy("rep").agg(F.sum("size").alias("met"), F.min("n").alias("n"))
+    met = materialize(met, "met")
+    best = members.select("bucket", "rep").join(met, "rep").groupBy("bucket").agg(
+        F.max(F.struct("met", (-F.col("rep")).alias("last"), "n")).alias("x")
+    )
+    leaders = materialize(
+        best.select("bucket", (-F.col("x.last")).alias("leader"), F.col("x.n").alias("leader_n")), "leaders"
+    )
+    members = materialize(members.drop("size").join(leaders, "bucket"), "members")
+    heads = reps.join(met.select("rep"), "rep").select("rep", "head_doc_id", "head_key")
     shingles = fetch_shingles(documents, materialize(heads, "heads"))
 
     star = members.where(F.col("rep") != F.col("leader")).where(_lengths_fit("n", "leader_n"))
-    links = verify(star.select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(), shingles)
-    done = members.select("bucket", F.col("leader").alias("rep")).distinct()
-    members, width = members.select("bucket", "rep", "n"), LEADERS
-    while True:
-        labelled = (
-            members.join(components(links).withColumnRenamed("node", "rep"), "rep", "left")
-            .withColumn("label", F.coalesce("label", "rep"))
-            .join(done.withColumn("led", F.lit(True)), ["bucket", "rep"], "left")
-        )
-        split = labelled.groupBy("bucket").agg(
-            F.min("label").alias("least"), F.max("label").alias("most"), F.count_if(F.col("led").isNull()).alias("open")
-        ).where("least < most and open > 0").select("bucket")
-        split = materialize(split, "split")
-        if split.isEmpty():
-            return links
-        members = materialize(labelled.join(split, "bucket"), "members")
-        # The next leaders: those of the smallest hash among the members that have not led yet.
-        waiting = members.where("led is null").select("bucket", F.struct(F.xxhash64("rep"), "rep", "n", "label").alias("x"))
-        chosen = _smallest_of_group(waiting, width)
-        leaders = chosen.select(
-            "bucket", F.col("x.rep").alias("a"), F.col("x.n").alias("a_n"), F.col("x.label").alias("a_label")
-        )
-        leaders = materialize(leaders, "leaders")
-        pairs = (
-            members.join(leaders, "bucket")
-            .where((F.col("label") != F.col("a_label")) & _lengths_fit("n", "a_n"))
-            .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
-            .distinct()
-        )
-        links = materialize(links.union(verify(pairs, shingles)), "links")
-        done = members.where("led").select("bucket", "rep").union(leaders.select("bucket", F.col("a").alias("rep")))
-        members, width = members.select("bucket", "rep", "n"), width * LEADERS_GROW
+    tried = materialize(star.select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+    links = verify(tried, shingles)
+
+    # The leader has met the whole bucket; two others from different components can still be tied.
+    rest = members.where(F.col("rep") != F.col("leader")).select("bucket", "rep", "n")
+    rest = rest.join(components(links).withColumnRenamed("node", "rep"), "rep", "left")
+    rest = materialize(rest.withColumn("label", F.coalesce("label", "rep")), "rest")
+    split = rest.groupBy("bucket").agg(
+        F.count("*").alias("size"), F.min("label").alias("least"), F.max("label").alias("most")
+    ).where("least < most")
+    split = materialize(split.select("bucket", "size"), "split")
+    rest = materialize(rest.join(split, "bucket"), "rest")
+    small, large = rest.where(F.col("size") <= SMALL_BUCKET), rest.where(F.col("size") > SMALL_BUCKET)
+    more = verify(small_bucket_pairs(small, tried), shingles)
+    return links.union(more).union(large_bucket_links(large, shingles))
+
+
+def small_bucket_pairs(rest: DataFrame, tried: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of different components in buckets of at most SMALL_BUCKET members, without those tried."""
+    one = F.struct("rep", "n", "label")
+    groups = rest.groupBy("bucket").agg(F.sort_array(F.collect_list(one)).alias("all"))
+    firsts = groups.select("all", F.explode("all").alias("x"))
+    pairs = firsts.select("x", F.explode(F.filter("all", lambda y: y["rep"] > F.col("x.rep"))).alias("y")).where(
+        F.col("x.label") != F.col("y.label")
+    )
+    fitting = pairs.where(_lengths_fit("x.n", "y.n")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return fitting.distinct().join(known, ["a", "b"], "left_anti")
+
+
+def _overlaps(texts: list[np.ndarray]) -> np.ndarray:
+    """Number of shingles that each two of the texts share: products of slices of their incidence table."""
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    _, column, count = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
+    shared = np.cumsum(count > 1) - 1
+    used = count[column] > 1
+    owner, column = owner[used], shared[column[used]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((len(texts), len(texts)), np.float32)
+    for a in range(0, int(column[-1]) + 1 if len(column) else 0, TABLE_COLUMNS):
+        lo, hi = np.searchsorted(column, (a, a + TABLE_COLUMNS))
+        table = np.zeros((len(texts), TABLE_COLUMNS), np.float32)
+        table[owner[lo:hi], column[lo:hi] - a] = 1
+        total += table @ table.T
+    return total
+
+
+def tile_links(reps: list[int], labels: list[int], texts: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that connect all texts of a tile that similar pairs connect; texts of one label are connected."""
+    sizes = np.array([len(t) for t in texts], np.float32)
+    common = _overlaps(texts)
+    likely = common >= SIMILARITY * (sizes[:, None] + sizes[None, :] - common)
+    parent: dict[int, int] = {x: x for x in labels}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    found = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(likely, 1)))):
+        x, y = root(labels[i]), root(labels[j])
+        if x != y and similarity(texts[i], texts[j]) >= SIMILARITY:
+            parent[x] = y
+            found.append((reps[i], reps[j]))
+    return found
+
+
+def large_bucket_links(rest: DataFrame, shingles: DataFrame) -> DataFrame:
+    """Links within larger buckets, stored.
+
+    The members of a bucket are dealt to blocks of about TILE_MEMBERS; every two
+    blocks meet in one tile, a task compares all texts of its tile by products
+    of incidence tables, and returns no more links than connect them.
+    """
+    blocks = F.ceil(F.col("size") / TILE_MEMBERS).cast("int")
+    dealt = rest.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    tiles = dealt.select("bucket", "rep", "label", "block", other.alias("other")).select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "label"
+    )
 
+    def run(table: pa.Table) -> pa.Table:
+        reps, labels = table.column("rep").to_pylist(), table.column("label").to_pylist()
+        texts = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
+        found = tile_links(reps, labels, texts) if len(set(labels)) > 1 else []
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-def _smallest_of_group(rows: DataFrame, k: int) -> DataFrame:
-    """The k smallest ``x`` of every ``bucket``, combined in parts first, so that no task sorts a whole group."""
-    parts = rows.withColumn("part", F.pmod(F.xxhash64("x"), F.lit(64)))
-    some = parts.groupBy("bucket", "part").agg(F.slice(F.sort_array(F.collect_list("x")), 1, k).alias("xs"))
-    few = some.groupBy("bucket").agg(F.slice(F.sort_array(F.flatten(F.collect_list("xs"))), 1, k).alias("xs"))
-    return few.select("bucket", F.explode("xs").alias("x"))
+    filled = tiles.join(shingles, "rep")
+    return materialize(filled.groupBy("bucket", "i", "j").applyInArrow(run, "a bigint, b bigint"), "links")
 
 
 def classify(documents: DataFrame) -> DataFrame:

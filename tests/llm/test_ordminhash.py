@@ -50,9 +50,11 @@ def test_texts_that_share_a_passage_stay_apart(spark):
     assert all(k == v for k, v in classes(spark, docs).items())
 
 
-def test_a_hub_connects_its_spokes(spark, monkeypatch):
-    """Variants that are close to the base only: each bucket needs more than one leader."""
-    monkeypatch.setattr(om, "LEADERS", 1)
+@pytest.mark.parametrize(("small", "tile"), [(32, 512), (1, 512), (1, 4)])
+def test_chains_and_hubs(spark, monkeypatch, small, tile):
+    """Variants that are close to the base only, and a chain of copies of copies; by pairs and by tiles."""
+    monkeypatch.setattr(om, "SMALL_BUCKET", small)
+    monkeypatch.setattr(om, "TILE_MEMBERS", tile)
     rng = random.Random(3)
     base = [f"w{i}" for i in range(200)]
     docs = []
@@ -61,11 +63,13 @@ def test_a_hub_connects_its_spokes(spark, monkeypatch):
         for at in range(i, 200, 50):
             copy[at] = f"v{i}"
         docs.append((i, " ".join(copy)))
+    for i in range(12):
+        base[i * 12 + 3] = base[i * 12 + 9] = f"c{i}"
+        docs.append((20 + i, " ".join(base)))
     rng.shuffle(docs)
-    docs.append((50, " ".join(base)))
     want = dict(zip([d[0] for d in docs], brute.classes(docs)))
     assert classes(spark, docs) == want
-    assert set(want.values()) == {0}
+    assert want[31] == want[22]
 
 
 def test_nulls_short_texts_repeats_and_missing_ids(spark):
@@ -106,6 +110,19 @@ def test_similarity_is_the_alignment():
             assert got == pytest.approx(want)
 
 
+def test_tiles_find_the_links_of_all_pairs():
+    rng = random.Random(6)
+    texts = [t for _ in range(6) for t in family(rng, 60, 5, 3)]
+    arrays = [om.labelled_shingles(w) for w in om.word_hashes(texts)]
+    links = om.tile_links(list(range(len(texts))), list(range(100, 100 + len(texts))), arrays)
+    want = brute.classes(list(enumerate(texts)))
+    group = list(range(len(texts)))
+    for a, b in links:
+        group = [group[a] if g == group[b] else g for g in group]
+    assert len(set(group)) == len(set(want)) == len(texts) - len(links)
+    assert all((group[i] == group[j]) == (want[i] == want[j]) for i in range(len(texts)) for j in range(i))
+
+
 def test_moved_halves_are_not_near():
     words = [f"w{i}" for i in range(200)]
     x, y = (om.labelled_shingles(w) for w in om.word_hashes([" ".join(words), " ".join(words[100:] + words[:100])]))
