@@ -19,11 +19,13 @@ from lapakdw.runtime import materialize
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; texts without a letter and uncertain ones go."""
+    importable(spark)
     return langid.keep_identified(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class."""
+    importable(spark)
     return ordminhash.drop_near_duplicates(docs)
 
 
@@ -34,6 +36,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mark; texts without any stay as they are."""
+    importable(spark)
     found = secret_scan.find_secrets(docs, VOCABULARY, name="__spans")
     found = found.withColumn("__clean", secret_scan.redact(found["text"], found["__spans"]))
     size = F.when(F.size("__spans") > 0, F.char_length("__clean").cast("long")).otherwise(F.col("n_chars"))
@@ -43,6 +46,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document; ``round_trip`` tells that decoding them gives back the text."""
+    importable(spark)
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     taken = docs.select("doc_id", "lang", "source", digest.alias("text_sha256"), "text")
     coded = bpe.decode(bpe.encode(taken, VOCABULARY), VOCABULARY)
@@ -72,7 +76,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
-    importable(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")

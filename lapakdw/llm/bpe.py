@@ -30,8 +30,8 @@ CACHE_PIECES = 200_000
 CACHE_CHARS = 64
 # Bits of a token id.
 ID_BITS = 32
-# Characters handled at once.
-CHUNK_CHARS = 2_000_000
+# Characters, or bytes of text, handled at once.
+CHUNK_CHARS = 1_000_000
 # Every so many pieces the place of the piece is kept.
 OFFSET_EVERY = 64
 
@@ -304,16 +304,19 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
 
 
-def chunks(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
-    """Stretches of whole texts of about ``most`` characters; a longer text is a stretch of its own."""
+def text_slices(column: pa.Array, most: int = CHUNK_CHARS) -> Iterator[tuple[int, int, list[str]]]:
+    """Stretches of rows (begin, end, texts) with about ``most`` bytes of text; a longer text is one of its own.
+
+    Only one stretch at a time becomes Python strings. A null is an empty text.
+    """
     begin = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > most:
-            yield begin, i
+    for i, length in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        if i > begin and size + length > most:
+            yield begin, i, [t or "" for t in column.slice(begin, i - begin).to_pylist()]
             begin, size = i, 0
-        size += len(text)
-    if begin < len(texts):
-        yield begin, len(texts)
+        size += length
+    if begin < len(column):
+        yield begin, len(column), [t or "" for t in column.slice(begin).to_pylist()]
 
 
 def encode(df: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
@@ -336,9 +339,8 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: Sequence[str] | N
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(len(names)).to_pylist()]
-            for a, b in chunks(texts):
-                ids, ends, chars, tokens = vocab.encode_texts(texts[a:b])
+            for a, b, texts in text_slices(batch.column(len(names))):
+                ids, ends, chars, tokens = vocab.encode_texts(texts)
                 offsets = np.zeros(b - a + 1, np.int32)
                 offsets[1:] = ends
                 columns = [batch.column(i).slice(a, b - a) for i in range(len(names))]

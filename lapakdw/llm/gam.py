@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapakdw.llm.bpe import text_slices
 from lapakdw.llm.sampling import hash_share, held_out, learnable
 from lapakdw.llm.text import broadcast_if_measured
 from lapakdw.runtime import materialize
@@ -218,7 +219,8 @@ MEASURED = T.ArrayType(T.DoubleType())
 
 @F.arrow_udf(MEASURED)
 def measures(text: pa.Array) -> pa.Array:
-    return pa.array([measure(t or "") for t in text.to_pylist()], pa.list_(pa.float64()))
+    rows = [measure(t) for _, _, texts in text_slices(text) for t in texts]
+    return pa.array(rows, pa.list_(pa.float64()))
 
 
 def fit(documents: DataFrame, labels: DataFrame) -> AdditiveModel:
@@ -255,7 +257,7 @@ def score_quality(documents: DataFrame, model: AdditiveModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array([measure(t or "") for t in batch.column(1).to_pylist()])
+            rows = np.array([measure(t) for _, _, texts in text_slices(batch.column(1)) for t in texts])
             score = model.score(rows.reshape(batch.num_rows, len(MEASURES)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["doc_id", "score"])
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapakdw.llm.bpe import LETTER, chunks, code_classes
+from lapakdw.llm.bpe import LETTER, code_classes, text_slices
 from lapakdw.llm.sampling import hash_share, held_out, learnable
 
 BINS = 1 << 15
@@ -110,10 +110,9 @@ def document_frequencies(df: DataFrame) -> tuple[int, np.ndarray]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros(BINS + 1, np.int64), 0
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            seen += len(texts)
-            for a, b in chunks(texts, CHUNK_CHARS):
-                bins, starts, _ = gram_bins(texts[a:b])
+            seen += batch.num_rows
+            for _, _, texts in text_slices(batch.column(0), CHUNK_CHARS):
+                bins, starts, _ = gram_bins(texts)
                 for mine in _per_text(bins, starts):
                     total += np.bincount(mine, minlength=BINS + 1) > 0
         total[BINS] = seen
@@ -156,9 +155,8 @@ def sample(df: DataFrame) -> list[tuple[str, float, np.ndarray, np.ndarray, int]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            for a, b in chunks(texts, CHUNK_CHARS):
-                bins, starts, letters = gram_bins(texts[a:b])
+            for a, b, texts in text_slices(batch.column(2), CHUNK_CHARS):
+                bins, starts, letters = gram_bins(texts)
                 found = [np.unique(mine[mine < BINS], return_counts=True) for mine in _per_text(bins, starts)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -262,9 +260,8 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in chunks(texts, CHUNK_CHARS):
-                found, score = model.predict(texts[a:b])
+            for a, b, texts in text_slices(batch.column(1), CHUNK_CHARS):
+                found, score = model.predict(texts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(found, pa.string()), pa.array(score, pa.float64())],
                     names=["doc_id", "lang_pred", "score"],
@@ -286,9 +283,8 @@ def keep_identified(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(place).to_pylist()]
-            for a, b in chunks(texts, CHUNK_CHARS):
-                found, score = model.predict(texts[a:b])
+            for a, b, texts in text_slices(batch.column(place), CHUNK_CHARS):
+                found, score = model.predict(texts)
                 sure = [lang != UNDETERMINED and p >= MIN_SCORE for lang, p in zip(found, score.tolist())]
                 yield batch.slice(a, b - a).filter(pa.array(sure, pa.bool_()))
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapakdw.llm.bpe import chunks
+from lapakdw.llm.bpe import text_slices
 from lapakdw.llm.text import broadcast_if_measured, text_key
 from lapakdw.runtime import materialize, sql_conf
 
@@ -44,7 +44,8 @@ LENGTH, SKETCHES = 5, 28
 # Up to this many members, the pairs of a bucket that may still be tied are compared one by one; larger
 # buckets are compared in tiles of blocks of about so many members, by slices of so many shingles.
 SMALL_BUCKET, TILE_MEMBERS, TABLE_COLUMNS = 32, 512, 4096
-# Shingles hashed at once, and bytes per batch of pairs that are aligned.
+# Bytes of text and shingles hashed at once, and bytes per batch of pairs that are aligned.
+CHUNK_CHARS = 500_000
 BLOCK = 1 << 15
 PAIR_BATCH_BYTES = 32 << 20
 
@@ -176,10 +177,9 @@ def sketch_documents(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            for a, b in chunks(texts):
+            for a, b, texts in text_slices(batch.column(2), CHUNK_CHARS):
                 digests, sizes, found = [], [], []
-                for words in word_hashes(texts[a:b]):
+                for words in word_hashes(texts):
                     shingles = labelled_shingles(words)
                     digests.append(hashlib.md5(words.tobytes()).digest() if len(words) else None)
                     sizes.append(len(shingles))
@@ -220,9 +220,8 @@ def fetch_shingles(documents: DataFrame, heads: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in chunks(texts):
-                found = [labelled_shingles(words).tobytes() for words in word_hashes(texts[a:b])]
+            for a, b, texts in text_slices(batch.column(1), CHUNK_CHARS):
+                found = [labelled_shingles(words).tobytes() for words in word_hashes(texts)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(found, pa.binary())], names=["rep", "shingles"]
                 )

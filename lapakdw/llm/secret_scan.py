@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapakdw.llm.bpe import Vocabulary, chunks, vocabulary
+from lapakdw.llm.bpe import Vocabulary, text_slices, vocabulary
 from lapakdw.llm.text import let
 
 # The base patterns, and how long a finding must be.
@@ -142,10 +142,9 @@ def find_secrets(df: DataFrame, path: str, text: str = "text", name: str = "span
     @F.arrow_udf(T.ArrayType(SPAN))
     def scan(column: pa.Array) -> pa.Array:
         vocab = vocabulary(path)
-        texts = [t or "" for t in column.to_pylist()]
         rows: list[list[tuple[str, int, int]]] = []
-        for a, b in chunks(texts):
-            rows += scan_texts(vocab, texts[a:b])
+        for _, _, texts in text_slices(column):
+            rows += scan_texts(vocab, texts)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         return pa.array([[dict(zip(("kind", "start", "end"), s)) for s in spans] for spans in rows], kind)
 
