@@ -193,6 +193,10 @@ class Vocabulary:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Drop the remembered pieces."""
+        self.known, self.older = {}, {}
+
     def merge(self, piece: bytes) -> list[int]:
         """Join the neighbouring pair of smallest rank, the first of equals, until no pair has a rank."""
         whole = self.rank.get(piece)
@@ -346,6 +350,7 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: Sequence[str] | N
                 columns = [batch.column(i).slice(a, b - a) for i in range(len(names))]
                 columns += [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), _lists(chars), _lists(tokens)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, *new])
+        vocab.forget()  # workers outlive their tasks, and later stages need the memory
 
     return taken.mapInArrow(run, schema)
 
