@@ -35,7 +35,7 @@ KINDS = ("assign", "access", "hex", "random")
 # foreign and invented ones, have more; hexadecimal text has about 1.7, base 64 about 1.5.
 RANDOM_CHARS = 20
 CHARS_PER_TOKEN = 1.9
-# A longer run is judged, and reported, in windows of this size.
+# A longer run is also judged, and reported, in even cuts of about this size.
 WINDOW_CHARS = 64
 
 # Text just in front of a run that makes it a known digest or identifier.
@@ -45,13 +45,17 @@ LABELLED = re.compile(
 UUID = re.compile(r"(?ai:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})$")
 SRI = re.compile(r"(?a:sha(?:256|384|512)-[A-Za-z0-9+/]{40,90}={0,2})$")
 DATED = re.compile(r"(?a:\d{4}-?\d\d-?\d\d(?:[T_-]?[\d.+Z-]*)?)$")
+# The same where they stand between separators of a longer run.
+EMBEDDED = re.compile(
+    r"""(?a:(?<![A-Za-z0-9])(?:(?i:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})|sha(?:256-[A-Za-z0-9+/]{43}=?|384-[A-Za-z0-9+/]{64}|512-[A-Za-z0-9+/]{86}={0,2})|(?:19|20)\d\d(?P<dash>[-/_]?)(?:0[1-9]|1[0-2])(?P=dash)(?:0[1-9]|[12]\d|3[01])(?:[T_-]\d{2,6}Z?)?)(?![A-Za-z0-9]))"""
+)
 
-_HEX, _RUN = 1, 2
+_HEX, _RUN, _ALNUM, _LETTER = 1, 2, 4, 8
 _flags = np.zeros(128, np.uint8)
 for _c in map(ord, "0123456789abcdef"):
     _flags[_c] |= _HEX
 for _c in map(ord, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"):
-    _flags[_c] |= _RUN
+    _flags[_c] |= _RUN | (_ALNUM if chr(_c).isalnum() else 0) | (_LETTER if chr(_c).isalpha() else 0)
 
 
 def _runs(inside: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
@@ -76,19 +80,60 @@ def chars_per_token(vocab: Vocabulary, run: str) -> float:
     return len(run) / max(1, len(vocab.merge(run.encode("utf-8"))))
 
 
+def _poor_windows(vocab: Vocabulary, run: str) -> Iterator[tuple[int, int]]:
+    """Every window of the run's tokens, of RANDOM_CHARS or just more, that holds a letter and has few characters per token.
+
+    A window is widened up to the separators around it, as a secret does not end amid letters and digits.
+    """
+    width = vocab.width.take(vocab.merge(run.encode("utf-8")))
+    ends = np.cumsum(width)
+    starts = ends - width
+    last = np.searchsorted(ends, starts + RANDOM_CHARS)
+    first = np.flatnonzero(last < len(ends))
+    last = last[first]
+    a, b = starts[first], ends[last]
+    codes = np.frombuffer(run.encode("utf-8"), np.uint8)
+    letters = np.concatenate([[0], np.cumsum(_flags.take(codes) & _LETTER > 0)])
+    poor = (b - a <= CHARS_PER_TOKEN * (last - first + 1)) & (letters[b] > letters[a])
+    place = np.arange(len(codes))
+    mark = _flags.take(codes) & _ALNUM == 0
+    back = np.maximum.accumulate(np.where(mark, place, 0))  # the start, or the separator in front
+    ahead = np.minimum.accumulate(np.where(mark, place + 1, len(codes))[::-1])[::-1]  # behind the next separator
+    yield from zip(back[a[poor]].tolist(), ahead[b[poor] - 1].tolist())
+
+
+def _judged_parts(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """What UUIDs, integrity values and dates between separators leave of a run, if it is long enough."""
+    at = start
+    for m in EMBEDDED.finditer(text, start, end):
+        if m.start() - at >= RANDOM_CHARS:
+            yield at, m.start()
+        at = m.end()
+    if end - at >= RANDOM_CHARS:
+        yield at, end
+
+
 def _random_spans(vocab: Vocabulary, text: str, start: int, end: int) -> Iterator[tuple[str, int, int]]:
-    """Windows of a run that the vocabulary spells out poorly, joined where they touch."""
+    """Stretches of a run that the vocabulary spells out poorly, joined where they overlap or touch.
+
+    The run is judged in even cuts of about WINDOW_CHARS, and in overlapping windows of about RANDOM_CHARS, so
+    that neither words in front nor the place of a cut hide a secret.
+    """
     if known_identifier(text, start, end):
         return
-    held: tuple[int, int] | None = None
     count = max(1, (end - start) // WINDOW_CHARS)
     cuts = [start + (end - start) * i // count for i in range(count + 1)]
-    for a, b in zip(cuts, cuts[1:]):
-        if chars_per_token(vocab, text[a:b]) <= CHARS_PER_TOKEN:
-            held = (held[0] if held else a, b)
-        elif held:
-            yield "random", *held
-            held = None
+    poor = [(a, b) for a, b in zip(cuts, cuts[1:]) if chars_per_token(vocab, text[a:b]) <= CHARS_PER_TOKEN]
+    for a, b in _judged_parts(text, start, end):
+        poor += [(a + x, a + y) for x, y in _poor_windows(vocab, text[a:b])]
+    held: tuple[int, int] | None = None
+    for a, b in sorted(poor):
+        if held and a <= held[1]:
+            held = (held[0], max(held[1], b))
+        else:
+            if held:
+                yield "random", *held
+            held = (a, b)
     if held:
         yield "random", *held
 

@@ -63,3 +63,35 @@ def test_redaction(spark):
     df = find(spark, list(enumerate(texts))).select("doc_id", secret_scan.redact(F.col("text"), F.col("spans")).alias("t"))
     got = [r["t"] for r in df.orderBy("doc_id").collect()]
     assert got == ["a [SECRET] b", "[SECRET]", "plain", None, "é[SECRET]🙂"]
+
+
+def covered(text, a, b):
+    """Is every character from a up to b in some span?"""
+    found = {i for _, start, end in secret_scan.scan_texts(vocabulary(VOCABULARY), [text])[0] for i in range(start, end)}
+    return found >= set(range(a, b))
+
+
+def draw(rng, letters, size):
+    return "".join(rng.choices(letters, k=size))
+
+
+BASE62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def test_words_around_do_not_hide_a_random_string():
+    rng = random.Random(7)
+    tail = "/services/webhooks/production/incoming/handlers/notifications/internal/documents"
+    for front in ("services/webhooks/production/incoming/", "my-production-database-connection-access-key="):
+        for size in (20, 24, 32, 40):
+            for behind in ("", tail):
+                texts = [f"use {front}{draw(rng, BASE62, size)}{behind} here" for _ in range(40)]
+                at = len("use " + front)
+                assert sum(covered(t, at, at + size) for t in texts) >= (36 if size == 20 else 39)
+
+
+def test_words_and_dates_in_paths_are_not_secrets():
+    for text in (
+        "services/webhooks/production/incoming/handlers/notifications/internal/documents_2",
+        "blog/posts/2024-01-02-how-to-read-a-calendar",
+    ):
+        assert not any(kind == "random" for kind, _ in spans(text))
