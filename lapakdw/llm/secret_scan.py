@@ -138,6 +138,21 @@ def _random_spans(vocab: Vocabulary, text: str, start: int, end: int) -> Iterato
         yield "random", *held
 
 
+def _without(runs: list[tuple[int, int]], base: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What sorted base spans leave of sorted runs, if it is long enough."""
+    k = 0
+    for start, end in runs:
+        while k < len(base) and base[k][1] <= start:
+            k += 1
+        at, j = start, k
+        while j < len(base) and base[j][0] < end:
+            if base[j][0] - at >= RANDOM_CHARS:
+                yield at, base[j][0]
+            at, j = max(at, base[j][1]), j + 1
+        if end - at >= RANDOM_CHARS:
+            yield at, end
+
+
 def scan_texts(vocab: Vocabulary, texts: list[str]) -> list[list[tuple[str, int, int]]]:
     """Spans (kind, start, end) of each text: code points, end exclusive, by start and kind."""
     found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
@@ -164,10 +179,9 @@ def scan_texts(vocab: Vocabulary, texts: list[str]) -> list[list[tuple[str, int,
         low = text.lower()
         if any(word in low for word in ASSIGN_WORDS):
             found[i] += [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_CHARS]
-        base = [(a, b) for _, a, b in found[i]]
-        for a, b in runs.get(i, ()):
-            if not any(a < d and c < b for c, d in base):
-                found[i] += _random_spans(vocab, text, a, b)
+        base = sorted((a, b) for _, a, b in found[i])
+        for a, b in _without(runs.get(i, []), base):
+            found[i] += _random_spans(vocab, text, a, b)
         found[i].sort(key=lambda s: (s[1], KINDS.index(s[0])))
     return found
 
