@@ -67,9 +67,9 @@ def _runs(inside: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
 
 
 def known_identifier(text: str, start: int, end: int) -> bool:
-    """Is this run a labelled digest, a UUID, an integrity value, a date or a number?"""
+    """Is this run a labelled digest, a UUID, an integrity value, a date, a number or a line of marks?"""
     run = text[start:end]
-    if not re.search("[A-Za-z]", run) or not re.search("[0-9]", run):
+    if not re.search("[A-Za-z]", run):
         return True
     if UUID.match(run) or SRI.match(run) or DATED.match(run):
         return True

@@ -106,3 +106,14 @@ def test_base_spans_hide_only_what_they_cover():
         text = f"use {key}/{front[:-1]} here"
         assert covered(text, 4, 44)
     assert [k for k, _ in spans("a 0123456789abcdef-words 0123456789abcdef b")] == ["hex", "hex"]
+
+
+def test_letters_alone_are_judged_by_their_tokens():
+    rng = random.Random(9)
+    for letters in (BASE62[:52], BASE62[26:52]):
+        texts = [f"use {draw(rng, letters, 32)} here" for _ in range(100)]
+        assert sum(covered(t, 4, 36) for t in texts) >= 90
+    texts = [f"use {draw(rng, BASE62, 20)} here" for _ in range(300)]
+    assert sum(covered(t, 4, 24) for t in texts) >= 299
+    for text in ("incomprehensibilities and internationalization", "services/webhooks/production/incoming", "=" * 50, "-" * 21 + "/" * 30):
+        assert not any(kind == "random" for kind, _ in spans(text))
