@@ -4,10 +4,12 @@ A text is the sequence of its overlapping shingles of five words, each labelled
 with how often it occurred before, so that no labelled shingle occurs twice. A
 sketch takes the LENGTH labelled shingles of smallest hash and keeps them in
 text order; texts with many shingles in common and in the same order share
-some of their SKETCHES sketches.
+some of their SKETCHES sketches. Short texts also meet by single shingles: of two
+that are similar enough, the rarest shingles of both, so many as the similarity
+lets either do without and one more, have one in common.
 
 Texts with equal words are one from the start. The others meet in buckets, one
-per shared sketch. In each bucket all are held against one leader, the text that
+per shared sketch or rare shingle. In each bucket all are held against one leader, the text that
 meets most others. Where that leaves texts of a bucket in different groups, all
 of them are held against each other: in small buckets pair by pair, in larger
 ones in tiles whose tasks return only the links that connect something. So a
@@ -38,9 +40,11 @@ from lapakdw.runtime import materialize, sql_conf
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 
-# Shingles in a sketch, and sketches of a text. Texts at the smallest similarity miss each other with
+# Shingles in a sketch, and sketches of a text. Long texts at the smallest similarity miss each other with
 # a chance of about (1 - 0.8 ** LENGTH) ** SKETCHES, two in a hundred thousand.
 LENGTH, SKETCHES = 5, 28
+# Texts of up to this many shingles, for which that chance is larger, also meet by their rarest shingles, which misses none.
+EXACT_SHINGLES = 40
 # Up to this many members, the pairs of a bucket that may still be tied are compared one by one; larger
 # buckets are compared in tiles of blocks of about so many members, by slices of so many shingles.
 SMALL_BUCKET, TILE_MEMBERS, TABLE_COLUMNS = 32, 512, 4096
@@ -173,33 +177,41 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def sketch_documents(documents: DataFrame) -> DataFrame:
-    """``doc_id, key, digest, n, sketches`` of each document; ``digest`` is null where a text has no words."""
+    """``doc_id, key, digest, n, sketches, few`` of each document; ``digest`` is null where a text has no words.
+
+    ``few`` are all labelled shingles of a short text, and empty for others.
+    """
+
+    def lists(found: list[np.ndarray]) -> pa.ListArray:
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, texts in text_slices(batch.column(2), CHUNK_CHARS):
-                digests, sizes, found = [], [], []
+                digests, sizes, found, few = [], [], [], []
                 for words in word_hashes(texts):
                     shingles = labelled_shingles(words)
                     digests.append(hashlib.md5(words.tobytes()).digest() if len(words) else None)
                     sizes.append(len(shingles))
                     found.append(sketches(shingles))
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+                    few.append(shingles[: len(shingles) if len(shingles) <= EXACT_SHINGLES else 0].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a),
                         batch.column(1).slice(a, b - a),
                         pa.array(digests, pa.binary()),
                         pa.array(sizes, pa.int32()),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found))),
+                        lists(found),
+                        lists(few),
                     ],
-                    names=["doc_id", "key", "digest", "n", "sketches"],
+                    names=["doc_id", "key", "digest", "n", "sketches", "few"],
                 )
 
     taken = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), text_key(F.col("text")).alias("key"), "text"
     )
-    return taken.mapInArrow(run, "doc_id bigint, key bigint, digest binary, n int, sketches array<bigint>")
+    return taken.mapInArrow(run, "doc_id bigint, key bigint, digest binary, n int, sketches array<bigint>, few array<bigint>")
 
 
 def _head() -> Column:
@@ -291,11 +303,29 @@ def _lengths_fit(a: str, b: str) -> Column:
     return F.least(a, b) >= SIMILARITY * F.greatest(a, b)
 
 
+def short_buckets(reps: DataFrame) -> DataFrame:
+    """``bucket, rep, n``: short texts by their rarest shingles, one bucket per shingle.
+
+    Similar texts of n and m shingles share SIMILARITY * max(n, m) of them at least. If the rarest
+    n - ceil(SIMILARITY * n) + 1 of the one, and as many of the other by its size, in one order of all shingles,
+    had none in common, too few would be left.
+    """
+    each = reps.where(F.col("n") <= EXACT_SHINGLES).select("rep", "n", F.explode("few").alias("shingle"))
+    shared = materialize(each.groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1"), "shared")
+    counted = each.join(broadcast_if_measured(shared), "shingle", "left")
+    one = F.struct(F.coalesce("texts", F.lit(1)).alias("texts"), "shingle")
+    least = F.ceil(F.col("n") * F.lit(SIMILARITY) - F.lit(1e-9)).cast("int")
+    rarest = counted.groupBy("rep", "n").agg(F.sort_array(F.collect_list(one)).alias("all"))
+    rarest = rarest.select("rep", "n", F.explode(F.slice("all", F.lit(1), F.col("n") - least + 1)).alias("x"))
+    return rarest.where("x.texts > 1").select(F.xxhash64(F.lit(-1), "x.shingle").alias("bucket"), "rep", "n")
+
+
 def near_links(documents: DataFrame, reps: DataFrame) -> DataFrame:
     """Verified links ``(a, b)`` between representatives, enough to connect all that are connected in some bucket."""
     keyed = reps.select("rep", "n", F.posexplode("sketches").alias("seat", "sketch")).select(
         F.xxhash64("seat", "sketch").alias("bucket"), "rep", "n"
     )
+    keyed = keyed.union(materialize(short_buckets(reps), "short"))
     shared = materialize(keyed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
     members = materialize(keyed.join(shared, "bucket"), "members")
     # A text that meets many others is likely to be what they are copies of: the best first guess for a leader.
@@ -411,12 +441,13 @@ def classify(documents: DataFrame) -> DataFrame:
     rows = materialize(sketch_documents(documents), "sketches")
     worded = rows.where("digest is not null")
     reps = worded.groupBy("digest").agg(
-        F.min(_head()).alias("head"), F.first("n").alias("n"), F.first("sketches").alias("sketches")
-    )
+        F.min(_head()).alias("head"), F.first("n").alias("n"), F.first("sketches").alias("sketches"),
+        F.first("few").alias("few"),
+    )
     reps = materialize(
         reps.select(
             "digest", F.monotonically_increasing_id().alias("rep"), F.col("head.doc_id").alias("head_doc_id"),
-            F.col("head.key").alias("head_key"), "head", "n", "sketches",
+            F.col("head.key").alias("head_key"), "head", "n", "sketches", "few",
         ),
         "reps",
     )
@@ -425,7 +456,7 @@ def classify(documents: DataFrame) -> DataFrame:
     grouped = materialize(grouped.withColumn("label", F.coalesce("label", "rep")), "labels")
     first = materialize(grouped.groupBy("label").agg(F.min("head").alias("first")), "first")
     classes = materialize(grouped.join(first, "label").select("digest", "head", "first"), "classes")
-    joined = rows.drop("sketches").join(classes, "digest", "left")
+    joined = rows.drop("sketches", "few").join(classes, "digest", "left")
     kept = F.col("first").isNull() | (
         F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
     )

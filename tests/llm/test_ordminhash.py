@@ -158,3 +158,32 @@ def test_components(spark):
         parent[max(x, y)] = min(x, y)
     found = {r["node"]: r["label"] for r in om.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert found == {x: root(x) for p in pairs for x in p if p[0] != p[1] or x in found}
+
+
+def test_short_texts_at_the_limit_meet(spark):
+    """One word more at an end: 4 of 5 shingles, 5 of 6, and up to 15 of 16, with 8 of 10 and 12 of 15 between."""
+    rng = random.Random(8)
+    texts = []
+    for i in range(160):
+        words = family(rng, 8 + i % 12, 1, 0)[0].split()
+        end, more = [f"n{i}"], rng.randrange(2)
+        texts += [words, words + end if more else end + words]
+    for i in range(60):
+        words = family(rng, 12 if i % 2 else 16, 1, 0)[0].split()
+        texts += [words, [*words, f"n{i}", f"m{i}"] if i % 2 else [f"n{i}", *words, f"m{i}", f"k{i}"]]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = classes(spark, docs)
+    assert found == {i: i - i % 2 for i in range(len(docs))}
+
+
+def test_short_texts_with_common_lines(spark):
+    """Short texts that share lines without being similar, among copies of some; no link is missed."""
+    rng = random.Random(9)
+    line = family(rng, 9, 1, 0)[0].split()
+    texts = []
+    for i in range(120):
+        own = [f"o{i}x{j}" for j in range(rng.randrange(1, 6))]
+        texts += [line + own, [*line, *own, "end"], ["begin", *line[rng.randrange(3) :], *own]]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    want = dict(zip(range(len(docs)), brute.classes(docs)))
+    assert classes(spark, docs) == want
