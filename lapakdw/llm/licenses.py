@@ -25,15 +25,17 @@ PHRASES = {
 }
 PHRASE_KEYWORDS = {"mit": "mit", "apache-2": "apache", "cc-by-nc": "cc"}
 
-# Label, keyword, and how the license is named in lower-case words.
+# Label, keyword, and how the license is named in lower-case words. Every match must hold the keyword as a word.
 NAMES = [
     ("mit", "mit", r"mit(?: x11)?"),
     ("mit", "expat", r"expat"),
     ("mit-0", "mit", r"mit (?:0|no attribution)"),
     ("apache-1.1", "apache", r"apache(?: software)? (?:license )?(?:version |v)?1 1"),
-    ("apache-2", "apache", r"apache(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?"),
+    ("apache-2", "apache", r"apache(?= )(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?"),
+    ("apache-2", "apache2", r"apache2(?: 0)?"),
     ("bsd-0", "0bsd", r"0bsd"),
-    ("bsd-2", "bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)"),
+    ("bsd-2", "bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd)"),
+    ("bsd-2", "freebsd", r"freebsd"),
     ("bsd-3", "bsd", r"(?:bsd 3 clause|3 clause bsd|(?:new|modified|revised) bsd)"),
     ("bsd-4", "bsd", r"(?:bsd 4 clause|4 clause bsd|original bsd)"),
     ("bsd", "bsd", r"bsd(?: style)?"),

@@ -94,3 +94,20 @@ def test_nulls_repeats_and_long_texts(spark):
 
 def test_empty_table(spark):
     check(spark, [])
+
+
+def labels_by_rules(text, gated):
+    """Labels of all rules that match, with or without their keywords."""
+    ws = words(text)
+    joined = " " + " ".join(ws) + " "
+    return {r[:4] for r in licenses.rule_table() if (not gated or r[1] in ws) and re.search(r[2], joined)}
+
+
+def test_keywords_are_implied_by_their_rules():
+    names = ["freebsd", "apache2", "apache2 0", "apache 2 0", "apache license v2", "apache v2", "simplified bsd", "expat", "gplv3", "0bsd", "cc0", "epl 2 0"]
+    for name in names:
+        for form in ("Released under the {} license", "licensed under {}", "SPDX-License-Identifier: {}", "{}"):
+            text = form.format(name)
+            assert labels_by_rules(text, True) == labels_by_rules(text, False)
+    assert {r[0] for r in labels_by_rules("Released under the FreeBSD license", True)} == {"bsd-2"}
+    assert {r[0] for r in labels_by_rules("licensed under Apache2", True)} == {"apache-2"}
