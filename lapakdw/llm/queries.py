@@ -159,7 +159,7 @@ def op8_url_list_asof(spark: SparkSession, folder: str) -> DataFrame:
     """
     pages = table(spark, folder, "pages").select("page_id", "url")
     captures = pages.withColumn("fetched", _day((F.col("page_id") * 17) % 365))
-    return urls.filter_captures(captures, list_entries(pages))
+    return urls.filter_captures(captures, list_entries(pages), by_category=True)
 
 
 @query

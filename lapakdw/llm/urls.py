@@ -4,7 +4,7 @@ A list entry says that on a day a key was added to or removed from the list. A
 key is a domain (which covers its subdomains) or a host with leading path
 segments. All entries of a key make one row with its sorted intervals; a
 capture looks up all keys that cover its address, by equality, and each row
-yields at most one interval that was open when the capture was fetched.
+yields at most one of the intervals that were open when the capture was fetched.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ def covering_keys(url: Column) -> Column:
     return F.when(host == "", none).otherwise(F.concat(domains, F.when(path == "", none).otherwise(prefixes)))
 
 
-def validity_intervals(entries: DataFrame) -> DataFrame:
+def validity_intervals(entries: DataFrame, by_category: bool = False) -> DataFrame:
     """One row per key: ``key, intervals``, an array of (listed_from, listed_to, category) by day.
 
     ``entries`` has ``key, day, action, category``. An interval runs from the
@@ -56,14 +56,19 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
     wins, then the greatest category. Entries without key or day, and with
     other actions, are ignored. The entries of a key are first reduced to one
     per day, so a key is bounded by the number of days.
+
+    ``by_category`` keeps the categories of a key apart, as lists of their own:
+    the next entry of the same key and category ends an interval, and those of
+    several categories may be open together. A missing category is one too.
     """
+    listed = ["key", "category"] if by_category else ["key"]
     known = entries.where(
         F.col("key").isNotNull() & F.col("day").isNotNull() & F.col("action").isin(ADD, REMOVE)
     )
-    daily = known.groupBy("key", F.col("day").cast("date").alias("day")).agg(
+    daily = known.groupBy(*listed, F.col("day").cast("date").alias("day")).agg(
         F.max(F.struct("action", "category")).alias("last")
     )
-    following = F.lead("day").over(Window.partitionBy("key").orderBy("day"))
+    following = F.lead("day").over(Window.partitionBy(*listed).orderBy("day"))
     spans = daily.withColumn("until", following).where(F.col("last.action") == ADD)
     one = F.struct(
         F.col("day").alias("listed_from"), F.col("until").alias("listed_to"), F.col("last.category").alias("category")
@@ -71,16 +76,18 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
     return spans.groupBy("key").agg(F.sort_array(F.collect_list(one)).alias("intervals"))
 
 
-def filter_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
+def filter_captures(captures: DataFrame, entries: DataFrame, by_category: bool = False) -> DataFrame:
     """Judge captures ``(page_id, url, fetched)``: the same columns and
     ``blocked, list_key, category, listed_from, listed_to`` of the most specific open entry.
 
     A null or malformed address and a missing fetch day match nothing. Repeated
     captures are looked up once and returned as often as they came. Other
-    columns are ignored. Both tables may be empty.
+    columns are ignored. Both tables may be empty. ``by_category`` is that of
+    ``validity_intervals``; of several open entries of a key the one listed last
+    is told, then the one of the greatest category.
     """
     unique = captures.groupBy("page_id", "url", "fetched").agg(F.count("*").cast("int").alias("copies"))
-    lists = materialize(validity_intervals(entries), "intervals")
+    lists = materialize(validity_intervals(entries, by_category), "intervals")
     keys = unique.select(
         "page_id", "url", "fetched", "copies", F.posexplode_outer(covering_keys(F.col("url"))).alias("rank", "key")
     )
@@ -91,7 +98,7 @@ def filter_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
         lambda x: (x["listed_from"] <= F.col("fetched"))
         & (x["listed_to"].isNull() | (x["listed_to"] > F.col("fetched"))),
     )
-    hit = F.get(open_ones, F.lit(0))
+    hit = F.array_max(F.transform(open_ones, lambda x: F.struct(x["listed_from"], x["category"], x["listed_to"])))
     held = joined.select("page_id", "url", "fetched", "copies", "rank", "list_key", hit.alias("hit"))
     best = F.max_by(
         F.struct("list_key", "hit.category", "hit.listed_from", "hit.listed_to"),

@@ -89,3 +89,13 @@ def test_empty_tables(spark):
     assert urls.filter_captures(c, e).count() == 0
     c, e = frames(spark, [(1, "http://a", 1)], [])
     assert [r["blocked"] for r in urls.filter_captures(c, e).collect()] == [False]
+
+
+def test_categories_are_lists_of_their_own(spark):
+    entries = [("a.b", 1, "add", "spam"), ("a.b", 2, "add", "adult"), ("a.b", 3, "remove", "spam"), ("a.b", 5, "remove", "adult"),
+               ("a.b", 7, "remove", "u"), ("a.b", 7, "add", "v"), ("a.b", 8, "add", None), ("a.b", 9, "remove", "v")]
+    c, e = frames(spark, [(n, "http://a.b/", n) for n in range(11)], entries)
+    rows = {r["page_id"]: r for r in urls.filter_captures(c, e, by_category=True).collect()}
+    assert [rows[n]["blocked"] for n in range(11)] == [False, True, True, True, True, False, False, True, True, True, True]
+    assert [rows[n]["category"] for n in (1, 2, 3, 4, 7, 8, 9)] == ["spam", "adult", "adult", "adult", "v", None, None]
+    assert rows[1]["listed_to"] == day(3) and rows[2]["listed_to"] == day(5) and rows[8]["listed_to"] is None
