@@ -99,6 +99,45 @@ NAMES = [
     ("cc0", "commons", r"creative commons zero"),
 ]
 
+# Label, keyword, and clauses of the license texts and notices themselves, which name no license or say which version.
+_MIT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"
+)
+_MIT_GRANT = (
+    " the software to deal in the software without restriction including without limitation the rights to use copy modify merge"
+    " publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so"
+)
+_ISC = "permission to use copy modify (?:and )?(?:or )?distribute this software for any purpose with or without fee is hereby granted"
+_GNU = "you can redistribute it and or modify it under the terms of the {} as published by the free software foundation (?:either )?version {}"
+_LATER = "(?: of the license)?(?: or at your option any later version)?"
+_BSD = "redistribution and use in source and binary forms with or without modification are permitted"
+NOTICES = [
+    ("mit", "obtaining", _MIT),
+    ("mit", "obtaining", _MIT + _MIT_GRANT + " subject to the following conditions"),
+    ("mit-0", "obtaining", _MIT + _MIT_GRANT + " the software is provided"),
+    ("boost-1", "obtaining", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("isc", "distribute", "permission to use copy modify (?:and )?(?:or )?distribute this software for any purpose with or without fee"),
+    ("isc", "distribute", _ISC + " provided that the above copyright notice"),
+    ("bsd-0", "distribute", _ISC + " the software is provided"),
+    ("bsd", "redistribution", "redistribution and use in source and binary forms"),
+    ("bsd", "redistribution", _BSD + " provided that the following conditions are met"),
+    ("bsd-3", "endorse", "(?:names? of|nor the names of) (?:its|the|his|her|their)(?: copyright holders?(?: and)?)?(?: contributors)? (?:may|must not|can) (?:not )?be used to endorse or promote products derived from this software"),
+    ("bsd-4", "advertising", "all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("zlib", "authors", "in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("zlib", "anyone", "permission is granted to anyone to use this software for any purpose including commercial applications"),
+    ("zlib", "altered", "altered source versions must be plainly marked as such"),
+    ("apache-2", "compliance", "you may not use this file except in compliance with the license"),
+    ("apache-2", "applicable", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    *((f"gpl-{v}", "redistribute", _GNU.format("gnu general public license", f"{v}{_LATER}")) for v in (1, 2, 3)),
+    ("lgpl-2", "redistribute", _GNU.format("gnu library general public license", f"2{_LATER}")),
+    ("lgpl-2.1", "redistribute", _GNU.format("gnu lesser general public license", f"2 1{_LATER}")),
+    ("lgpl-3", "redistribute", _GNU.format("gnu lesser general public license", f"3{_LATER}")),
+    ("agpl-3", "redistribute", _GNU.format("gnu affero general public license", f"3{_LATER}")),
+    ("mpl-2", "mozilla", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "fuck", "do what the fuck you want to public license"),
+]
+
 # How a text refers to a named license, and how sure that makes the detection.
 FORMS = [
     (r"spdx license identifier {}", 1.0),
@@ -123,6 +162,7 @@ def rule_table() -> list[tuple]:
     for place, (label, keyword, name) in enumerate(NAMES):
         if name.count(" ") >= BARE_WORDS:
             rules.append((label, keyword, f"(?:{name})", 9000 + place, 0.5))
+    rules += [(label, keyword, clause, 500 + place, 0.9) for place, (label, keyword, clause) in enumerate(NOTICES)]
     return [(a, b, rf"(?<= )({p})(?= )", n, c) for a, b, p, n, c in rules]
 
 

@@ -111,3 +111,21 @@ def test_keywords_are_implied_by_their_rules():
             assert labels_by_rules(text, True) == labels_by_rules(text, False)
     assert {r[0] for r in labels_by_rules("Released under the FreeBSD license", True)} == {"bsd-2"}
     assert {r[0] for r in labels_by_rules("licensed under Apache2", True)} == {"apache-2"}
+
+
+def test_notices_without_a_name():
+    texts = {
+        "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "bsd-3": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software",
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\")",
+        "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice",
+        "zlib": "Permission is granted to anyone to use this software for any purpose, including commercial applications",
+        "apache-2": "you may not use this file except in compliance with the License.",
+        "gpl-2": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    }
+    for label, text in texts.items():
+        found = labels_by_rules(text, True)
+        assert label in {r[0] for r in found if r[3] < 1000}
+        assert found == labels_by_rules(text, False)
+    for label, keyword, clause in licenses.NOTICES:
+        assert re.search(rf"\b{keyword}\b", clause) and label in {r[0] for r in licenses.NAMES}
