@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lapakdw.llm.text import broadcast_if_measured
 from lapakdw.runtime import materialize
@@ -60,12 +61,15 @@ def validity_intervals(entries: DataFrame, by_category: bool = False) -> DataFra
     ``by_category`` keeps the categories of a key apart, as lists of their own:
     the next entry of the same key and category ends an interval, and those of
     several categories may be open together. A missing category is one too.
+    Where ``day`` is a timestamp, all this holds by the entries' times instead.
     """
+    timed = isinstance(entries.schema["day"].dataType, (T.TimestampType, T.TimestampNTZType))
+    at = F.col("day") if timed else F.col("day").cast("date")
     listed = ["key", "category"] if by_category else ["key"]
     known = entries.where(
         F.col("key").isNotNull() & F.col("day").isNotNull() & F.col("action").isin(ADD, REMOVE)
     )
-    daily = known.groupBy(*listed, F.col("day").cast("date").alias("day")).agg(
+    daily = known.groupBy(*listed, at.alias("day")).agg(
         F.max(F.struct("action", "category")).alias("last")
     )
     following = F.lead("day").over(Window.partitionBy(*listed).orderBy("day"))

@@ -99,3 +99,14 @@ def test_categories_are_lists_of_their_own(spark):
     assert [rows[n]["blocked"] for n in range(11)] == [False, True, True, True, True, False, False, True, True, True, True]
     assert [rows[n]["category"] for n in (1, 2, 3, 4, 7, 8, 9)] == ["spam", "adult", "adult", "adult", "v", None, None]
     assert rows[1]["listed_to"] == day(3) and rows[2]["listed_to"] == day(5) and rows[8]["listed_to"] is None
+
+
+def test_times_within_a_day(spark):
+    def at(hour):
+        return dt.datetime(2024, 1, 1, hour)
+
+    e = spark.createDataFrame([("a.b", at(15), "add", "u"), ("a.b", at(18), "remove", "u")], "key string, day timestamp, action string, category string")
+    c = spark.createDataFrame([(h, "http://a.b/", at(h)) for h in (10, 15, 17, 18)], "page_id long, url string, fetched timestamp")
+    for by_category in (False, True):
+        found = {r["page_id"]: r["blocked"] for r in urls.filter_captures(c, e, by_category).collect()}
+        assert found == {10: False, 15: True, 17: True, 18: False}
