@@ -11,7 +11,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapakdw.llm import bpe, chat, decontam, gam, langid, licenses, ordminhash, secret_scan, topk, urls
+from lapakdw.llm import bpe, chat, decontam, divergence, gam, langid, licenses, ordminhash, secret_scan, topk, urls
 from lapakdw.llm.shipping import importable
 from lapakdw.runtime import literal_rows
 
@@ -174,6 +174,12 @@ def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return ordminhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How the sources of every language differ from each other, and by which terms from the language."""
+    return divergence.source_divergence(table(spark, folder, "documents"))
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 _CONTROL = r"</?s>|<\|im_(start|sep|end)\|>|<\|endoftext\|>|<<SYS>>|<</SYS>>|\[/?INST\]"
@@ -240,4 +246,29 @@ best AS (SELECT page_id, url, fetched, arg_max((key, category, listed_from, list
   FROM lookups JOIN spans USING (key) WHERE action = 'add' AND listed_from <= fetched AND (listed_to IS NULL OR listed_to > fetched) GROUP BY ALL)
 SELECT a.page_id, a.url, a.fetched, b IS NOT NULL AS blocked, b[1] AS list_key, b[2] AS category, b[3] AS listed_from, b[4] AS listed_to
 FROM a LEFT JOIN best ON a.page_id = best.page_id AND a.url = best.url""",
+    "op11_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+o AS (SELECT rid, lang, source, unnest(ws) AS term FROM d),
+perdoc AS (SELECT rid, lang, source, term, count(*) AS n FROM o GROUP BY ALL),
+c AS (SELECT lang, source, term, sum(n)::BIGINT AS n, count(*) AS docs FROM perdoc GROUP BY ALL),
+k AS (SELECT lang, term, sum(n)::BIGINT AS lang_n FROM c GROUP BY lang, term HAVING sum(docs) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(lang_n)::BIGINT AS total FROM k GROUP BY lang),
+sources AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT c.lang, c.source, sum(c.n)::BIGINT AS total FROM c JOIN k USING (lang, term) GROUP BY c.lang, c.source),
+given AS (SELECT s.lang, s.source, v.v, v.total AS lang_total, coalesce(t.total, 0) AS total
+  FROM sources s JOIN v USING (lang) LEFT JOIN t ON t.lang = s.lang AND t.source = s.source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+  1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + g.v) AS p,
+  1 + (1000000000::HUGEINT * (k.lang_n + 1)) // (g.lang_total + g.v) AS q
+  FROM given g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term WHERE a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 200""",
 }
