@@ -8,10 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapakdw.llm import bpe, chat, decontam, divergence, gam, langid, licenses, ordminhash, secret_scan, topk, urls
+from lapakdw.llm import bpe, chat, decontam, divergence, gam, langid, licenses, ordminhash, secret_scan, tokenfile, topk, urls
 from lapakdw.llm.shipping import importable
 from lapakdw.runtime import literal_rows
 
@@ -180,6 +181,12 @@ def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.source_divergence(table(spark, folder, "documents"))
 
 
+@query
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids written to binary files and read back."""
+    return tokenfile.file_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 _CONTROL = r"</?s>|<\|im_(start|sep|end)\|>|<\|endoftext\|>|<<SYS>>|<</SYS>>|\[/?INST\]"
