@@ -36,6 +36,7 @@ from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -213,13 +214,16 @@ def read_shard(path: str, id_of: np.ndarray) -> Iterator[tuple[object, np.ndarra
     system, place = _open(path)
     with system.open_input_file(place) as file:
         size = file.size()
-        file.seek(size - TAIL.size)
-        index_at, total, magic = TAIL.unpack(file.read(TAIL.size))
-        file.seek(index_at)
-        index = pa.ipc.open_stream(file.read(size - TAIL.size - index_at)).read_all()
+        file.seek(max(size - TAIL.size, 0))
+        index_at, total, magic = TAIL.unpack(file.read(TAIL.size)) if size >= TAIL.size else (0, 0, b"")
         file.seek(0)
         if magic != MAGIC or file.read(len(MAGIC)) != MAGIC:
             raise ValueError(f"{path} is not a file of token ids")
+        file.seek(index_at)
+        index = pa.ipc.open_stream(file.read(size - TAIL.size - index_at)).read_all()
+        if pc.sum(index["n_ids"]).as_py() != total:
+            raise ValueError(f"{path} has an index of other documents")
+        file.seek(len(MAGIC))
         held, at = np.zeros(0, np.uint32), len(MAGIC)
         for doc_id, n in zip(index["doc_id"].to_pylist(), index["n_ids"].to_pylist()):
             parts, got = [held], len(held)
