@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapakdw.llm import bpe, chat, decontam, divergence, gam, langid, licenses, ordminhash, secret_scan, tokenfile, topk, urls
+from lapakdw.llm import bpe, chat, decontam, divergence, gam, langid, licenses, ordminhash, repair, secret_scan, tokenfile, topk, urls
 from lapakdw.llm.shipping import importable
 from lapakdw.runtime import literal_rows
 
@@ -181,6 +181,12 @@ def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.source_divergence(table(spark, folder, "documents"))
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after planting faults."""
+    return repair.damaged_audit(table(spark, folder, "conversations"))
+
+
 @query
 def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids written to binary files and read back."""
