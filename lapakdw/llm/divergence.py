@@ -2,9 +2,9 @@
 
 Tasks fold whole documents into stripes: a hash table from (language, term) to
 the number of documents and the occurrences per source. A table that grows past
-a bound is spilled as rows and begun anew. The shuffle sorts all stripes by key,
-so a merging task adds up neighbours and holds one stripe at a time. Terms of
-fewer documents than asked for end there.
+a bound is spilled as rows and begun anew. The shuffle sorts all stripes by key;
+terms of fewer documents than asked for are left out by a sum over the key, and
+a merging task adds up neighbours, one stripe at a time.
 
 The merged stripes then emit divergences directly. A cell is a stretch of a
 language's terms (by hash) and a block of its sources against another; tasks
@@ -42,7 +42,7 @@ LISTED = 200
 STEPS = 3  # of a thousand: shares are in thousand millionths
 
 # Estimated bytes of stripes a task holds before it spills them, and of an entry beside its term.
-HELD_BYTES = 48_000_000
+HELD_BYTES = 96_000_000
 STRIPE_BYTES, ENTRY_BYTES = 300, 80
 # Text that is searched at once; longer texts are walked match by match.
 WHOLE_BYTES = 1_000_000
@@ -187,8 +187,10 @@ def term_stripes(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     ``sources`` and ``counts`` are in the order of the names.
     """
     taken = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    spilled = taken.mapInArrow(_fold, STRIPE).repartition("lang", "term").sortWithinPartitions("lang", "term")
-    return spilled.mapInArrow(_merge(least_docs), MERGED)
+    documents = F.sum("docs").over(Window.partitionBy("lang", "term"))
+    sorted_runs = taken.mapInArrow(_fold, STRIPE).withColumn("_documents", documents)
+    often = sorted_runs.where(F.col("_documents") >= least_docs).drop("_documents")
+    return often.sortWithinPartitions("lang", "term").mapInArrow(_merge(least_docs), MERGED)
 
 
 def source_totals(docs: DataFrame, stripes: DataFrame) -> DataFrame:
