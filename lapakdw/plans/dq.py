@@ -17,13 +17,13 @@ from lapakdw.operators.checks import (
     RowRule,
     Views,
     blank,
+    count_together,
     cross_table,
     domain,
     duplicate_key,
     fd_violation,
     orphan,
     pattern,
-    shared_counts,
     typed,
     value_range,
 )
@@ -170,19 +170,18 @@ def _counts(
             frames.append(_folded(views, view, group))
         except (PySparkException, KeyError):
             alone.extend(group)
-    keyed: list[DqSpec] = []
+    together: dict[str, KeyRule] = {}
     for spec in alone:
         try:
-            frame = check(spark, views, spec).select(F.lit(spec.name).alias("name"), VIOLATIONS)
+            # Rules that work key by key go on together.
+            if isinstance(spec.rule, KeyRule) and spec.rule.measure is not None and spec.rule.joins_others(views):
+                together[spec.name] = spec.rule
+            else:
+                frames.append(check(spark, views, spec).select(F.lit(spec.name).alias("name"), VIOLATIONS))
         except (PySparkException, KeyError) as error:
             errors[spec.name] = _message(error)
-            continue
-        # Rules that can be planned on their own go on together.
-        (keyed if isinstance(spec.rule, KeyRule) else frames).append(spec if isinstance(spec.rule, KeyRule) else frame)
-    frame_of = shared_counts(views, [spec.rule for spec in keyed])
-    for spec in keyed:
-        count = F.col(VIOLATIONS).cast("bigint").alias(VIOLATIONS)
-        frames.append(frame_of(spec.rule).select(F.lit(spec.name).alias("name"), count))
+    if together:
+        frames.append(count_together(views, together).select("name", F.col("value").alias(VIOLATIONS)))
     return frames, errors
 
 
@@ -197,10 +196,10 @@ def run_dq(
 ) -> DataFrame:
     """One report row per test.
 
-    Row rules on one view share a scan, and rules on keys of one view a stored
-    table of counts, which is made here. A
-    test with an unknown severity is rejected, one that needs a missing
-    warehouse is skipped, and one that cannot run is an error. ``gate`` marks
+    Row rules on one view share a scan, and rules on keys of any views another
+    scan of each and one grouping. A test with an unknown severity is rejected,
+    one that needs a missing warehouse is skipped, and one that cannot run is an
+    error. ``gate`` marks
     blocking tests that did not come out as expected or could not run.
     ``failed`` names tests already known to fail at run time. ``part`` restricts
     the views to a slice; tests that are SQL text read the registered views whole.

@@ -10,7 +10,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapakdw.functions.columns import is_blank, try_double, try_int
-from lapakdw.operators.checks import ROWS, VIOLATIONS, KeyCount, KeyRule, Views, duplicate_key, orphan, shared_counts
+from lapakdw.operators.checks import (
+    VIOLATIONS,
+    KeyRule,
+    Views,
+    count_together,
+    distinct_values,
+    duplicate_key,
+    listing,
+    orphan,
+)
 from lapakdw.sources.raw import Slice, slice_views
 
 Measure = Callable[[], Column]
@@ -40,25 +49,32 @@ class Listing:
 
 @dataclass(frozen=True)
 class Count:
-    """What follows from row counts per key; the last column is the value. Those of one table can share the counts."""
+    """What follows from row counts per key; the last column is the value. All of them can share scans and a grouping."""
 
     table: str
     name: str
     rule: KeyRule
 
     def frame(self, views: Views) -> DataFrame:
-        return self.named(self.rule.frame(views))
-
-    def named(self, frame: DataFrame) -> DataFrame:
-        return frame.withColumnRenamed(VIOLATIONS, self.name)
+        return self.rule.frame(views).withColumnRenamed(VIOLATIONS, self.name)
 
 
 def rows() -> Column:
     return F.count("*")
 
 
+@dataclass(frozen=True)
+class Distinct:
+    """Different values of a column: a measure of a scan, or a rule on the keys of that column."""
+
+    column: str
+
+    def __call__(self) -> Column:
+        return F.count_distinct(F.col(self.column))
+
+
 def distinct(column: str) -> Measure:
-    return lambda: F.count_distinct(F.col(column))
+    return Distinct(column)
 
 
 def blanks(column: str) -> Measure:
@@ -122,12 +138,7 @@ def unmatched(child: str, parent: str, key: str, name: str) -> Count:
 
 def frequencies(table: str, names: dict[str, str]) -> Count:
     """Rows per combination of columns, most frequent first."""
-
-    def combine(counted: DataFrame) -> DataFrame:
-        named = (F.col(c).alias(name) for c, name in names.items())
-        return counted.select(*named, F.col(ROWS).alias("baris")).orderBy(F.desc("baris"))
-
-    return Count(table, "baris", KeyRule((KeyCount(table, tuple(names)),), combine))
+    return Count(table, "baris", listing(table, names))
 
 
 # Seconds by which the standard profile expects local time to be ahead of UTC.
@@ -205,29 +216,49 @@ FIRST_LOOK: list[Totals | Listing | Count] = [
 Asked = tuple[str, int]  # topic and position of a question
 
 
-def _scan(views: Views, table: str, totals: list[tuple[Asked, Totals]]) -> DataFrame:
-    """All totals of one table in one scan, one row per measure. Equal measures are computed once."""
-    named = {
-        f"{topic}|{position}|{name}": make().cast("string")
-        for (topic, position), total in totals
-        for name, make in total.measures.items()
-    }
-    counted = views[table].agg(*(value.alias(name) for name, value in named.items()))
-    long = counted.unpivot([], [F.col(f"`{name}`") for name in named], "_name", "nilai")
+def _name(asked: Asked, table: str, metric: str) -> str:
+    return f"{asked[0]}|{asked[1]}|{table}|{metric}"
+
+
+def _named(frame: DataFrame, metric: Column | None = None) -> DataFrame:
+    """Rows of (_name, nilai) as metric rows; ``metric`` replaces the metric's name where it is not null."""
     part = F.split("_name", "[|]")
-    return long.select(
+    return frame.select(
         part[0].alias("topik"),
         part[1].cast("int").alias("urutan"),
-        F.lit(table).alias("tabel"),
-        part[2].alias("metrik"),
-        "nilai",
+        part[2].alias("tabel"),
+        (part[3] if metric is None else F.coalesce(metric, part[3])).alias("metrik"),
+        F.col("nilai").cast("string").alias("nilai"),
+    )
+
+
+def _scan(views: Views, table: str, measures: dict[str, Measure]) -> DataFrame:
+    """All measures of one table in one scan, one row per measure. Equal measures are computed once."""
+    counted = views[table].agg(*(make().cast("string").alias(name) for name, make in measures.items()))
+    return _named(counted.unpivot([], [F.col(f"`{name}`") for name in measures], "_name", "nilai"))
+
+
+def _label(labels: list[Column], values: list[Column]) -> Column:
+    return F.concat_ws("|", *(F.concat(k, F.lit("="), F.coalesce(v, F.lit("NULL"))) for k, v in zip(labels, values)))
+
+
+def _together(views: Views, rules: dict[str, KeyRule]) -> DataFrame:
+    """All rules on keys as metric rows. The labels of a listed key become the metric's name."""
+    metric = F.lit(None).cast("string")
+    for name, rule in rules.items():
+        if rule.labels:
+            values = [F.col("labels")[i] for i in range(len(rule.labels))]
+            metric = F.when(F.col("name") == name, _label([F.lit(k) for k in rule.labels], values)).otherwise(metric)
+    counted = count_together(views, rules).select(
+        F.col("name").alias("_name"), F.col("value").alias("nilai"), metric.alias("_metric")
     )
+    return _named(counted, F.col("_metric"))
 
 
 def _rows_of(frame: DataFrame, asked: Asked, listing: Listing | Count) -> DataFrame:
     """A listing as metric rows: the leading columns become the metric's name."""
     *keys, value = frame.columns
-    label = F.concat_ws("|", *(F.concat(F.lit(f"{k}="), F.coalesce(F.col(k), F.lit("NULL"))) for k in keys))
+    label = _label([F.lit(k) for k in keys], [F.col(k) for k in keys])
     return frame.select(
         F.lit(asked[0]).alias("topik"),
         F.lit(asked[1]).alias("urutan"),
@@ -241,22 +272,32 @@ def run_profiles(views: Views, topics: dict[str, list[Totals | Listing | Count]]
     """Profiles as rows of (topik, urutan, tabel, metrik, nilai); ``urutan`` numbers a topic's questions from 1.
 
     Each table is scanned once for all totals that any topic asks of it, and
-    once for the row counts per key, which are stored here.
+    once for everything that follows from row counts per key. Numbers of
+    different values are taken from the keys of tables that are read for keys
+    anyway, so that no totals multiply the rows of such a table.
     """
-    totals: dict[str, list[tuple[Asked, Totals]]] = {}
-    counts: list[tuple[Asked, Count]] = []
+    asked = [((topic, i), q) for topic, questions in topics.items() for i, q in enumerate(questions, start=1)]
+    totals: dict[str, dict[str, Measure]] = {}
+    rules: dict[str, KeyRule] = {}
     frames = []
-    for topic, questions in topics.items():
-        for asked, question in (((topic, i), q) for i, q in enumerate(questions, start=1)):
-            if isinstance(question, Totals):
-                totals.setdefault(question.table, []).append((asked, question))
-            elif isinstance(question, Count):
-                counts.append((asked, question))
-            else:
-                frames.append(_rows_of(question.frame(views), asked, question))
-    frame_of = shared_counts(views, [count.rule for _, count in counts])
-    frames.extend(_rows_of(count.named(frame_of(count.rule)), asked, count) for asked, count in counts)
-    frames.extend(_scan(views, table, group) for table, group in totals.items())
+    for place, question in asked:
+        if isinstance(question, Count) and question.rule.joins_others(views):
+            rules[_name(place, question.table, question.name)] = question.rule
+        elif not isinstance(question, Totals):
+            frames.append(_rows_of(question.frame(views), place, question))
+    read_for_keys = {count.view for rule in rules.values() for count in rule.counts}
+    for place, question in asked:
+        for name, make in question.measures.items() if isinstance(question, Totals) else ():
+            table = question.table
+            if isinstance(make, Distinct) and table in read_for_keys:
+                rule = distinct_values(table, make.column)
+                if rule.joins_others(views):
+                    rules[_name(place, table, name)] = rule
+                    continue
+            totals.setdefault(table, {})[_name(place, table, name)] = make
+    if rules:
+        frames.append(_together(views, rules))
+    frames.extend(_scan(views, table, measures) for table, measures in totals.items())
     return reduce(DataFrame.unionByName, frames)
 
 

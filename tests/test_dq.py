@@ -162,7 +162,7 @@ def test_rules_on_keys_share_the_reading_of_a_table(spark, sf_dir, monkeypatch):
         stored.append(plan(df))
         return materialize(df, label)
 
-    monkeypatch.setattr(checks, "materialize", kept)
+    monkeypatch.setattr(checks, "materialize", kept, raising=False)
     for report in (
         lambda views: run_dq(spark, views),
         lambda views: run_profiles(views, {**PROFILES, "awal": FIRST_LOOK}),
@@ -172,3 +172,42 @@ def test_rules_on_keys_share_the_reading_of_a_table(spark, sf_dir, monkeypatch):
         for table in ("orders", "lineitem"):
             scans = [t for text in (final, *stored) for t in text.splitlines() if "FileScan" in t and f"/{table}.parquet" in t]
             assert 1 <= len(scans) <= 2, table
+
+
+def test_rules_together_count_as_alone(spark, views):
+    """Every kind of rule on keys, nulls and missing partners included, in one grouping and by itself."""
+    from lapakdw.operators.checks import count_together, distinct_values
+
+    rules = {
+        "twice": duplicate_key("v", "a"),
+        "twice_both": duplicate_key("v", "a", "b"),
+        "different": distinct_values("v", "a"),
+        "header_twice": duplicate_key("raw_transactions", "transaction_id"),
+        "headers": distinct_values("raw_transactions", "transaction_id"),
+        "no_product": orphan("raw_transaction_items", "raw_products", "product_id"),
+        "no_line": orphan("raw_transactions", "raw_transaction_items", "transaction_id"),
+        "no_header": orphan("raw_transaction_items", "raw_transactions", "transaction_id"),
+        "returns": cross_table(
+            "raw_transaction_items", lambda: typed("qty", "int") < 0,
+            "raw_transactions", lambda: F.upper(F.trim("status")) != "REFUND", "transaction_id",
+        ),
+        "all_pairs": cross_table(
+            "raw_transaction_items", lambda: F.lit(True), "raw_transactions", lambda: F.lit(True), "transaction_id"
+        ),
+    }
+    alone = {name: rule.frame(views).first()[0] for name, rule in rules.items()}
+    together = {r["name"]: r["value"] for r in count_together(views, rules).collect()}
+    assert together == alone and together["no_header"] == 2
+    nothing = {name: df.where("false") for name, df in views.items()}
+    assert {r["value"] for r in count_together(nothing, rules).collect()} == {0}
+
+
+def test_one_grouping_answers_all_rules_on_keys(spark, views):
+    """The shuffle holds at most one row per task and key; no table of counts is stored, and no two are joined."""
+    from lapakdw.operators.checks import KeyRule, count_together
+
+    rules = {s.name: s.rule for s in SPECS if isinstance(s.rule, KeyRule) and s.topic == "t2"}
+    text = plan(count_together(views, rules))
+    assert "Join" not in text and "Expand" not in text
+    assert text.count("Exchange hashpartitioning(_key") == 1 and text.count("Exchange") == 2
+    assert text.count("Scan ExistingRDD") == 3

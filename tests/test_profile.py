@@ -115,3 +115,33 @@ def test_blank_and_yes(spark):
     df = texts(spark, ["t"], [(None,), ("",), (" ",), ("Ya ",), ("tidak",)])
     assert [r[0] for r in df.select(is_blank(F.col("t"))).collect()] == [True, True, False, False, False]
     assert [r[0] for r in df.select(yes(F.col("t"))).collect()] == [False, False, False, True, False]
+
+
+def test_keys_are_counted_without_multiplying_rows(spark, sf_dir):
+    """Different values of a key are counted on its groups: no rows are multiplied for them, no table is read more than twice."""
+    from lapakdw.sources.standin import StandinViews
+
+    text = plan(p.run_profiles(StandinViews(spark, sf_dir), {"t2": p.PROFILES["t2"], "awal": p.FIRST_LOOK}))
+    assert "gid" not in text  # what Spark calls the copy a row is for
+    assert not any("Expand" in t and "|" not in t for t in text.splitlines())  # but of the totals, one row each
+    for table in ("orders", "lineitem"):
+        assert sum("FileScan" in t and f"/{table}.parquet" in t for t in text.splitlines()) == 2
+
+
+def test_listings_beside_totals_of_nothing(spark):
+    """A profile of empty tables has all its totals, as zeros, and lists no keys."""
+    empty = {"raw_transactions": texts(spark, ["status", "transaction_id"], [])}
+    questions = [
+        p.frequencies("raw_transactions", {"status": "status"}),
+        p.repeated("raw_transactions", "id_duplikat", "transaction_id"),
+        p.Totals("raw_transactions", {"baris": p.rows, "varian_status": p.distinct("status")}),
+    ]
+    found = {(r.urutan, r.metrik): r.nilai for r in p.run_profile(empty, questions).collect()}
+    assert found == {(2, "id_duplikat"): "0", (3, "baris"): "0", (3, "varian_status"): "0"}
+
+
+def test_keys_that_are_no_texts_are_counted_alone(spark):
+    numbers = {"raw_transactions": spark.createDataFrame([(1, "a"), (1, "b"), (None, "b")], "n int, status string")}
+    questions = [p.repeated("raw_transactions", "n_duplikat", "n"), p.frequencies("raw_transactions", {"status": "status"})]
+    found = {(r.urutan, r.metrik): r.nilai for r in p.run_profile(numbers, questions).collect()}
+    assert found == {(1, "n_duplikat"): "1", (2, "status=b"): "2", (2, "status=a"): "1"}
