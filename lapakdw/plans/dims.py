@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapakdw.functions.columns import to_money, yes
@@ -77,6 +78,68 @@ def calendar(bounds: DataFrame) -> DataFrame:
     )
 
 
+def day_of(date_sk: Column) -> Column:
+    """The day of a date key, that of the Unknown day for -1, NULL for a key that names no day."""
+    year, month, day = (F.floor(date_sk / 10000), F.floor(date_sk / 100) % 100, date_sk % 100)
+    year, month, day = (part.cast("int") for part in (year, month, day))
+    known = F.when(
+        month.between(1, 12) & day.between(1, 31) & (day <= F.dayofmonth(F.last_day(F.make_date(year, month, F.lit(1))))),
+        F.make_date(year, month, day),
+    )
+    return F.when(date_sk == UNKNOWN_SK, F.lit(UNKNOWN_DAY).cast("date")).when(date_sk > 0, known)
+
+
+def day_columns(date_sk: Column) -> dict[str, Column]:
+    """What the calendar says of a date key, computed from the key."""
+    known, day = date_sk != UNKNOWN_SK, day_of(date_sk)
+    month = (F.floor(date_sk / 100) % 100).cast("int")
+    return {
+        "full_date": day,
+        "tahun": F.when(known, F.floor(date_sk / 10000)).otherwise(1900).cast("int"),
+        "triwulan": F.when(known, F.floor((month + 2) / 3)).otherwise(0).cast("int"),
+        "bulan": F.when(known, month).otherwise(0),
+        "akhir_pekan": known & F.dayofweek(day).isin(1, 7),
+    }
+
+
+@dataclass(frozen=True)
+class Span:
+    """First and last key of a calendar that has every day between them, once.
+
+    Such a calendar need not be joined, whatever its size: the key of a day and
+    all columns of a key are computed, and the span says which days it has.
+    """
+
+    first: int
+    last: int
+
+    def key(self, day: Column) -> Column:
+        """The key of a day; -1 where there is none."""
+        key = F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
+        return F.when(key.between(self.first, self.last), key).otherwise(UNKNOWN_SK)
+
+    def holds(self, date_sk: Column) -> Column:
+        """Whether the calendar has a row for the key."""
+        known = date_sk.between(self.first, self.last) & day_of(date_sk).isNotNull()
+        return (date_sk == UNKNOWN_SK) | known
+
+
+def calendar_span(dates: DataFrame) -> Span | None:
+    """The span of a calendar; None if it lacks days or has some more than once. One small job."""
+    known = F.col("date_sk") != UNKNOWN_SK
+    days = F.when(known, F.col("full_date"))
+    first, last, rows, different, length, unknown = dates.agg(
+        F.min(F.when(known, F.col("date_sk"))),
+        F.max(F.when(known, F.col("date_sk"))),
+        F.count(days),
+        F.count_distinct(days),
+        F.datediff(F.max(days), F.min(days)) + 1,
+        F.count_if(~known),
+    ).first()
+    whole = rows > 0 and rows == different == length and unknown == 1
+    return Span(first, last) if whole else None
+
+
 def dim_product(
     products: DataFrame, first_day: str = FIRST_PRICE_DAY, range_rows: int = RANGE_ROWS
 ) -> DataFrame:

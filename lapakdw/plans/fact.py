@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lapakdw.functions.columns import AMOUNT, business_date, code, to_int, to_money
 from lapakdw.operators.headers import HEADER_KEY, items_dedup, transactions_clean
 from lapakdw.operators.scd import code_lookup, scd2_lookup
+from lapakdw.plans.dims import calendar_span
 from lapakdw.runtime import broadcast_if_small, materialize
 from lapakdw.sources.raw import RawSales
 
@@ -34,8 +35,15 @@ class Dims:
 
 
 def date_lookup(facts: DataFrame, dates: DataFrame, day: str) -> DataFrame:
-    """Add ``date_sk``. The calendar has one row per day, so it is always broadcast."""
-    return code_lookup(facts, F.broadcast(dates), F.col(day), "full_date", "date_sk")
+    """Add ``date_sk``, computed where the calendar has every day of a span once.
+
+    A calendar with gaps or repeated days, as appended loads leave it, is joined.
+    """
+    span = calendar_span(dates)
+    if span is not None:
+        return facts.withColumn("date_sk", span.key(F.col(day)))
+    lookup = broadcast_if_small(dates.select("full_date", "date_sk"))
+    return code_lookup(facts, lookup, F.col(day), "full_date", "date_sk")
 
 
 def outlet_lookup(facts: DataFrame, outlets: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Analytic queries and metrics over the star schema.
 
-The fact is read for the columns and months a query needs, dimensions that are
-known to be small are broadcast, and the groups are summed within each task
+The fact is read for the columns and months a query needs, days are computed
+from their keys, dimensions that are small are broadcast, and the groups are summed within each task
 before they are shuffled, so a large outlet or month costs one row per task.
 ``total_bayar_trx`` repeats on every line of a header and is never summed.
 """
@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapakdw.functions.columns import percent, ratio, round_half
+from lapakdw.plans.dims import calendar_span, day_of
 from lapakdw.plans.warehouse import YEAR, Star
+from lapakdw.runtime import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -32,22 +34,20 @@ RETURNED = "qty < 0"
 
 
 def sales(star: Star, scope: Scope | None = None, status: Column | None = None) -> DataFrame:
-    """Fact lines joined with day and outlet, and with the status where a condition is set on it.
+    """Fact lines with their day and outlet, and with the status where a condition is set on it.
 
-    The joins decide which lines count. The filter on the partition year repeats
-    part of that, where files can be skipped.
+    Day and outlet decide which lines count. The filter on the partition year
+    repeats part of that, where files can be skipped.
     """
-    fact, dates, outlets = star.fact, star.date, star.outlet
+    fact, outlets = star.dated(), star.outlet
     if scope is not None:
-        dates = dates.where(F.col("tahun") == scope.year)
+        fact = fact.where(F.col("tahun") == scope.year)
         outlets = outlets.where(F.col("outlet_id").isin(*scope.outlets))
         if YEAR in fact.columns:
             fact = fact.where(F.col(YEAR) == scope.year)
     if status is not None:
         fact = fact.join(star.status.where(status).select("status_sk"), "status_sk")
-    return fact.join(
-        dates.select("date_sk", "full_date", "tahun", "triwulan", "bulan", "akhir_pekan"), "date_sk"
-    ).join(outlets.select("outlet_sk", "outlet_id"), "outlet_sk")
+    return fact.join(outlets.select("outlet_sk", "outlet_id"), "outlet_sk")
 
 
 def is_paid() -> Column:
@@ -188,12 +188,21 @@ def monthly_net_revenue(star: Star, scope: Scope = STANDARD) -> DataFrame:
     )
 
 
-def alert_entities_per_day(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """Number of different places on alert per day."""
+def alert_entities_per_day(fact: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """Number of different places on alert per day.
+
+    With a calendar, only its days count; without one, every key that names a
+    day, and the Unknown day. The day is computed from the key.
+    """
+    alerts = fact.where(F.col("is_siaga") == 1)
+    span = None if dates is None else calendar_span(dates)
+    if dates is not None and span is None:
+        alerts = alerts.join(broadcast_if_small(dates.select("date_sk", "full_date")), "date_sk")
+    else:
+        held = F.lit(True) if span is None else span.holds(F.col("date_sk"))
+        alerts = alerts.where(held).withColumn("full_date", day_of(F.col("date_sk"))).where("full_date IS NOT NULL")
     return (
-        fact.where(F.col("is_siaga") == 1)
-        .join(F.broadcast(dates.select("date_sk", "full_date")), "date_sk")
-        .groupBy(F.col("full_date").alias("tanggal"))
+        alerts.groupBy(F.col("full_date").alias("tanggal"))
         .agg(F.count_distinct(F.col("wilayah_sk")).alias("desa_siaga"))
         .orderBy("tanggal")
     )

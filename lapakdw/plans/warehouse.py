@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapakdw.operators.unknown import UNKNOWN_SK
+from lapakdw.plans.dims import Span, calendar_span, day_columns
 from lapakdw.plans.fact import FACT, Dims
 from lapakdw.runtime import broadcast_if_small, delete
 
@@ -37,17 +38,32 @@ def partition_columns(date_sk: Column) -> dict[str, Column]:
 
 @dataclass(frozen=True)
 class Star:
-    """A fact and its dimensions, the small ones marked for broadcast."""
+    """A fact and its dimensions, the small ones marked for broadcast.
+
+    ``span`` is that of a calendar that has every day of it once; it need not be joined.
+    """
 
     fact: DataFrame
     date: DataFrame
     outlet: DataFrame
     status: DataFrame
+    span: Span | None = None
 
     @classmethod
     def of(cls, fact: DataFrame, dims: Dims) -> Star:
-        """Calendar and status dictionary are small by construction; the outlets are measured."""
-        return cls(fact, F.broadcast(dims.date), broadcast_if_small(dims.outlet), F.broadcast(dims.status))
+        """The status dictionary is small by construction; the calendar is looked at, the outlets are measured."""
+        span = calendar_span(dims.date)
+        dates = dims.date if span is not None else broadcast_if_small(dims.date)
+        return cls(fact, dates, broadcast_if_small(dims.outlet), F.broadcast(dims.status), span)
+
+    def dated(self) -> DataFrame:
+        """Fact lines with day, year, quarter, month and weekend of their date key; keys without a day drop out."""
+        if self.span is not None:
+            key = F.col("date_sk")
+            return self.fact.where(self.span.holds(key)).withColumns(day_columns(key))
+        return self.fact.join(
+            self.date.select("date_sk", "full_date", "tahun", "triwulan", "bulan", "akhir_pekan"), "date_sk"
+        )
 
 
 class Warehouse:

@@ -211,13 +211,7 @@ def q_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    forecasts = standin.fact_prakiraan_cuaca(spark, sf_dir)
-
-    def day(key: Column) -> Column:
-        return F.to_date(key.cast("string"), "yyyyMMdd")
-
-    bounds = forecasts.agg(day(F.min("date_sk")).alias("a"), day(F.max("date_sk")).alias("b"))
-    return metrics.alert_entities_per_day(forecasts, d.calendar(bounds))
+    return metrics.alert_entities_per_day(standin.fact_prakiraan_cuaca(spark, sf_dir))
 
 
 # Profiling

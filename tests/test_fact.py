@@ -143,3 +143,57 @@ def test_dimensions(shop_dims):
     third = shop_dims.product.where("product_id = 'P3'").first()
     assert (str(third.valid_from), third.is_current, third.is_aktif) == ("2024-01-01", True, False)
     assert shop_dims.product.where(F.col("product_sk") == -1).first().product_id == "PRD-UNKNOWN"
+
+
+DIRTY = [("T21", "OUT-A", "C", "0001-01-01 09:00:00", "PAID", "1"), ("T22", "OUT-A", "C", "9999-12-31 09:00:00", "PAID", "1")]
+
+
+def test_days_are_computed_whatever_the_calendar(spark, shop):
+    """Two mistyped years make a calendar of 3.65 million days, which no join has to carry."""
+    from lapakdw.plans import metrics
+    from lapakdw.plans.load import years_of
+    from lapakdw.plans.warehouse import Star
+    from tests.helpers import plan
+
+    more = items(spark, ("T21", "1", "P1", "1", "10", "0"), ("T22", "1", "P1", "1", "20", "0"))
+    raw = type(shop)(shop.transactions.unionByName(headers(spark, *DIRTY)), shop.items.unionByName(more), shop.products, shop.outlets)
+    dates = d.calendar(years_of(raw.transactions))
+    dims = Dims(dates, d.dim_product(raw.products), d.dim_outlet(raw.outlets), d.dim_status(spark))
+    assert d.calendar_span(dates) == d.Span(10101, 99991231)
+    fact = fact_transaksi_item(raw, dims)
+    keys = {r.transaction_id: r.date_sk for r in fact.select("transaction_id", "date_sk").distinct().collect()}
+    assert (keys["T21"], keys["T22"], keys["T1"], keys["T7"]) == (10101, 99991231, 20250110, 20310101)
+    daily = metrics.m01_daily_revenue(Star.of(fact, dims))
+    found = {(r.tanggal.isoformat(), r.outlet_id) for r in daily.collect()}
+    assert {("0001-01-01", "OUT-A"), ("9999-12-31", "OUT-A"), ("2025-01-10", "OUT-A")} <= found
+    assert "full_date" not in "".join(t for t in plan(daily).splitlines() if "Join" in t or "BroadcastExchange" in t)
+
+
+def test_calendars_with_gaps_or_copies_are_joined(spark):
+    """Lines of a missing day are of the Unknown day; a day that is there twice counts twice."""
+    from lapakdw.plans.fact import date_lookup
+
+    dates = d.dim_date(spark, "2025-01-01", "2025-01-31")
+    days = spark.createDataFrame([(dt.date(2025, 1, i),) for i in (1, 2, 3)] + [(dt.date(2024, 1, 1),), (None,)], "day date")
+
+    def keys(calendar):
+        return sorted(r.date_sk for r in date_lookup(days, calendar, "day").collect())
+
+    assert d.calendar_span(dates) == d.Span(20250101, 20250131)
+    assert keys(dates) == [-1, -1, 20250101, 20250102, 20250103]
+    gap = dates.where("date_sk <> 20250102")
+    assert d.calendar_span(gap) is None and keys(gap) == [-1, -1, -1, 20250101, 20250103]
+    twice = dates.unionByName(dates.where("date_sk = 20250103"))
+    assert d.calendar_span(twice) is None and keys(twice).count(20250103) == 2
+    both = gap.unionByName(dates.where("date_sk = 20250103"))  # as many rows as days
+    assert d.calendar_span(both) is None and keys(both) == [-1, -1, -1, 20250101, 20250103, 20250103]
+
+
+def test_computed_columns_are_those_of_the_calendar(spark):
+    dates = d.dim_date(spark, "1999-12-25", "2024-03-02")
+    told = dates.select("date_sk", *(c.alias(f"c_{n}") for n, c in d.day_columns(F.col("date_sk")).items()), *d.day_columns(F.lit(1)))
+    off = [f"NOT (c_{n} <=> {n})" for n in d.day_columns(F.lit(1))]
+    assert told.count() == dates.count() and told.where(" OR ".join(off)).count() == 0
+    odd = spark.createDataFrame([(20250230,), (20251301,), (20250100,), (0,), (-5,), (None,)], "k int")
+    assert [r[0] for r in odd.select(d.day_of(F.col("k"))).collect()] == [None] * 6
+    assert odd.where(d.Span(20250101, 20251231).holds(F.col("k"))).count() == 0
