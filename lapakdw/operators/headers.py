@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapakdw.runtime import materialize
+from lapakdw.runtime import fits_broadcast, materialize, measured_bytes, scan_bytes
 from lapakdw.sources.raw import ITEM_COLUMNS
 
 HEADER_KEY = "transaction_id"
@@ -26,6 +26,52 @@ def items_dedup(items: DataFrame) -> DataFrame:
     return items.select(*ITEM_COLUMNS).distinct()
 
 
+# Lines looked at to find heavy header ids, about, and how many of them make an id heavy.
+SAMPLED_LINES = 1_000_000
+HEAVY_LINES = 1_000
+# Most header ids that are treated as heavy: all that can hold a thousandth of the sample.
+MOST_HEAVY = SAMPLED_LINES // HEAVY_LINES
+# Bytes of file that a line takes at least, about.
+LINE_BYTES = 16
+
+
+def heavy_headers(items: DataFrame) -> list[str]:
+    """Header ids that hold about a thousandth of all lines or more, from a sample of the id column. One small job."""
+    lines = scan_bytes(items) / LINE_BYTES
+    share = min(1.0, SAMPLED_LINES / lines) if lines else 1.0
+    ids = items.select(HEADER_KEY).where(F.col(HEADER_KEY).isNotNull())
+    counted = ids.sample(share, seed=1).groupBy(HEADER_KEY).agg(F.count("*").alias("lines"))
+    found = counted.where(F.col("lines") >= HEAVY_LINES).orderBy(F.desc("lines"), HEADER_KEY).limit(MOST_HEAVY)
+    return [row[HEADER_KEY] for row in found.collect()]
+
+
+def lines_of_headers(items: DataFrame, headers: DataFrame) -> DataFrame:
+    """Lines that agree in all columns once, joined with the header of their id; lines without one drop out.
+
+    ``headers`` is a stored table with one row per id. One shuffle of the lines
+    serves both steps. If the headers are measured small, they are broadcast:
+    lines without one go first, the others meet in a shuffle on all columns,
+    which combines copies within each task and spreads the lines of any header.
+    Otherwise lines are shuffled by header id, de-duplicated where they arrive
+    and joined there. Lines of ids that a sample finds heavy go the first way,
+    with their few headers broadcast, so no task gets all lines of such an id.
+    """
+    lines = items.select(*ITEM_COLUMNS).where(F.col(HEADER_KEY).isNotNull())
+
+    def spread(some: DataFrame, few: DataFrame) -> DataFrame:
+        known = some.join(F.broadcast(few.select(HEADER_KEY)), HEADER_KEY, "left_semi")
+        return known.distinct().join(F.broadcast(few), HEADER_KEY)
+
+    if fits_broadcast(measured_bytes(headers)):
+        return spread(lines, headers)
+    heavy = heavy_headers(items)
+    if not heavy:
+        return lines.repartition(HEADER_KEY).distinct().join(headers, HEADER_KEY)
+    is_heavy = F.col(HEADER_KEY).isin(*heavy)
+    light = lines.where(~is_heavy).repartition(HEADER_KEY).distinct().join(headers, HEADER_KEY)
+    return light.unionByName(spread(lines.where(is_heavy), headers.where(is_heavy)))
+
+
 def _bounds(transactions: DataFrame) -> DataFrame:
     """Per header id the smallest and the largest value of each checked field."""
     lo = [F.min(field).alias(field) for field in CHECKED]

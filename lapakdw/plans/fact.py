@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapakdw.functions.columns import AMOUNT, business_date, code, to_int, to_money
-from lapakdw.operators.headers import HEADER_KEY, items_dedup, transactions_clean
+from lapakdw.operators.headers import HEADER_KEY, lines_of_headers, transactions_clean
 from lapakdw.operators.scd import code_lookup, scd2_lookup
 from lapakdw.plans.dims import calendar_span
 from lapakdw.runtime import broadcast_if_small, materialize
@@ -78,15 +78,12 @@ def fact_transaksi_item(
 ) -> DataFrame:
     """One row per line of a consistent header, with four surrogate keys and typed measures.
 
-    Equal lines are dropped first, within each task and then by a shuffle on all
-    columns, which spreads the lines of a hot header; only then do lines meet
-    headers. Days, outlets and statuses are looked up on the headers, of which
-    there are fewer. The headers are stored in between: adaptive execution
-    splits a hot header id only where both sides of the join are plain shuffles,
-    not where one of them ends in an aggregation.
+    Days, outlets and statuses are looked up on the headers, of which there are
+    fewer; the keyed headers are stored. Lines meet them as ``lines_of_headers``
+    says: equal lines are dropped and joined in one shuffle.
     """
     headers = materialize(keyed_headers(raw.transactions, dims, local_tz), "headers")
-    lines = items_dedup(raw.items).join(headers, HEADER_KEY)
+    lines = lines_of_headers(raw.items, headers)
     lines = product_lookup(lines, dims.product, "_day", overlap)
     qty = to_int(F.col("qty"))
     price, discount = to_money(F.col("harga_satuan")), to_money(F.col("diskon"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable, Iterable
 from functools import reduce
 
@@ -25,7 +24,7 @@ from lapakdw.plans.warehouse import (
     Warehouse,
     partition_columns,
 )
-from lapakdw.runtime import MAX_PARTITIONS, delete, literal_rows, shuffle_settings, sql_conf
+from lapakdw.runtime import MAX_PARTITIONS, literal_rows, shuffle_settings, sql_conf
 from lapakdw.sources.raw import RawSales, Slice, slice_sales
 
 
@@ -72,6 +71,7 @@ def build_warehouse(
     range_rows: int = RANGE_ROWS,
     max_partitions: int = MAX_PARTITIONS,
     overlap: str = "keep",
+    keep: int = 2,
 ) -> Warehouse:
     """Build and store all tables in dependency order.
 
@@ -80,10 +80,10 @@ def build_warehouse(
     ``part`` restricts the raw tables to a slice. ``local_tz`` moves 'Z' times to
     a zone before the date is taken. ``gate`` is a data-quality report; the load
     stops before the first write if one of its blocking tests is off.
-    ``write`` is ``write_full`` or ``write_append``. A full load goes to a folder
-    of its own and becomes the current version when all tables are written; if
-    it fails, the version before stays current and whole. ``max_partitions``
-    bounds the shuffle partitions of each table's build. ``overlap`` says what
+    ``write`` is ``write_full`` or ``write_append``. Either way the load goes to a
+    folder of its own and counts as a whole, by one commit, when all tables are
+    written; if it fails, the warehouse is what it was. The newest ``keep``
+    commits stay readable, older ones are removed. ``max_partitions`` bounds the shuffle partitions of each table's build. ``overlap`` says what
     overlapping price versions do: repeat a line for each, or stop the load.
     """
     if gate is not None:
@@ -93,29 +93,30 @@ def build_warehouse(
     if part is not None:
         raw = slice_sales(raw, part)
     spark = raw.items.sparkSession
-    whole = write is write_full
-    wh = Warehouse(spark, path, f"v-{uuid.uuid4().hex}" if whole else None)
+    wh = Warehouse(spark, path).begin(whole=write is not write_append)
 
     def sized(*frames: DataFrame):
         return sql_conf(spark, shuffle_settings(spark, *frames, max_partitions=max_partitions))
 
+    def store(df: DataFrame, name: str, *partition_by: str) -> None:
+        write(df, wh.location(name), partition_by)
+        wh.add(name)
+
     try:
         dates = d.dim_date(spark, *calendar) if calendar else d.calendar(years_of(raw.transactions, local_tz))
-        write(dates.coalesce(1), wh.location(DIM_DATE))
+        store(dates.coalesce(1), DIM_DATE)
         with sized(raw.products):
-            write(d.dim_product(raw.products, first_day, range_rows), wh.location(DIM_PRODUCT))
+            store(d.dim_product(raw.products, first_day, range_rows), DIM_PRODUCT)
         with sized(raw.outlets):
-            write(d.dim_outlet(raw.outlets, range_rows), wh.location(DIM_OUTLET))
-        write(d.dim_status(spark), wh.location(DIM_STATUS))
+            store(d.dim_outlet(raw.outlets, range_rows), DIM_OUTLET)
+        store(d.dim_status(spark), DIM_STATUS)
         with sized(raw.items, raw.transactions):
-            fact = fact_transaksi_item(raw, wh.dims, local_tz, overlap)
-            write(by_month(fact), wh.location(FACT), (YEAR, MONTH))
+            store(by_month(fact_transaksi_item(raw, wh.dims, local_tz, overlap)), FACT, YEAR, MONTH)
+        wh.finish()
     except BaseException:
-        if whole:
-            delete(spark, wh.folder)
+        wh.abandon()
         raise
-    if whole:
-        wh.make_current()
+    wh.vacuum(keep)
     return Warehouse(spark, path)
 
 

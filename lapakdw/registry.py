@@ -181,8 +181,7 @@ def q_scd2_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = h.transactions_clean(standin.transactions(spark, sf_dir)).select(
         h.HEADER_KEY, business_date(F.col("tanggal_waktu")).alias("tanggal")
     )
-    headers = materialize(headers, "headers")  # stored for the same reason as in the fact
-    lines = h.items_dedup(standin.transaction_items(spark, sf_dir)).join(headers, h.HEADER_KEY)
+    lines = h.lines_of_headers(standin.transaction_items(spark, sf_dir), materialize(headers, "headers"))
     priced = fact.product_lookup(lines, warehouse(spark, sf_dir).dims.product, "tanggal")
     return priced.select(h.HEADER_KEY, "item_id", "product_id", "tanggal", "product_sk")
 

@@ -185,9 +185,13 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
+def fits_broadcast(size: int) -> bool:
+    return size <= BROADCAST_BYTES
+
+
 def broadcast_up_to_limit(df: DataFrame, size: int) -> DataFrame:
     """Mark a lookup side of known size for broadcast, or leave it to the planner."""
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+    return F.broadcast(df) if fits_broadcast(size) else df
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from lapakdw.plans.load import (
     warehouse_integrity,
     write_append,
 )
-from lapakdw.plans.warehouse import MONTH, TABLES, YEAR, Warehouse, partition_columns
+from lapakdw.plans.warehouse import MONTH, TABLES, YEAR, ConcurrentLoadError, Warehouse, partition_columns
 from lapakdw.runtime import PARTITION_BYTES, clear_scratch, materialize, scan_bytes, shuffle_settings
 from tests.helpers import plan, small_shop
 
@@ -107,8 +107,84 @@ def test_a_failed_load_leaves_the_old_warehouse(spark, stored, tmp_path, monkeyp
     assert content(Warehouse(spark, path)) == before
     monkeypatch.undo()
     assert content(build_warehouse(small_shop(spark), path)) == before
-    versions = [p.name for p in (tmp_path / "wh").iterdir() if p.name.startswith("v-")]
-    assert len(versions) == 1 and [p.name for p in (tmp_path / "wh" / "_current").glob("v-*")] == versions
+    wh = Warehouse(spark, path)
+    assert len(wh.commits()) == 2 and len(versions(path)) == 2  # what the failed load wrote is gone
+    assert wh.vacuum() and len(wh.commits()) == 1 and len(versions(path)) == 1
+    assert content(Warehouse(spark, path)) == before
+
+
+def versions(path):
+    return sorted(p.name for p in Path(path).glob("v-*"))
+
+
+def test_a_failed_append_changes_nothing(spark, tmp_path, monkeypatch):
+    """The fact comes last; without it the four dimensions that were written do not count either."""
+    path = str(tmp_path / "wh")
+    before = {r.table: r.rows for r in load_counts(build_warehouse(small_shop(spark), path)).collect()}
+
+    def broken(df, folder, partition_by=()):
+        if folder.endswith(FACT):
+            raise RuntimeError("disk full")
+        write_append(df, folder, partition_by)
+
+    def append(write):
+        monkeypatch.setattr("lapakdw.plans.load.write_append", write)
+        return build_warehouse(small_shop(spark), path, write=write)
+
+    with pytest.raises(RuntimeError, match="disk full"):
+        append(broken)
+    assert {r.table: r.rows for r in load_counts(Warehouse(spark, path)).collect()} == before
+    assert len(versions(path)) == 1
+    after = {r.table: r.rows for r in load_counts(append(write_append)).collect()}
+    assert all(after[name] >= 2 * before[name] for name in TABLES)
+    assert {r.table: r.rows for r in load_counts(Warehouse(spark, path, commit=1)).collect()} == before
+
+
+def test_a_frame_opened_before_a_reload_still_reads(spark, tmp_path):
+    path = str(tmp_path / "wh")
+    opened = build_warehouse(small_shop(spark), path).table(FACT)
+    first = sorted(map(tuple, opened.collect()))
+    build_warehouse(small_shop(spark), path, first_day="2020-01-01")
+    assert sorted(map(tuple, opened.collect())) == first
+    build_warehouse(small_shop(spark), path)  # the first of three commits goes
+    assert len(versions(path)) == 2 and sorted(Warehouse(spark, path).commits()) == [2, 3]
+    build_warehouse(small_shop(spark), path, keep=1)
+    assert len(versions(path)) == 1 and sorted(Warehouse(spark, path).commits()) == [4]
+
+
+def test_commits_that_are_not_whole_do_not_count(spark, tmp_path):
+    path = str(tmp_path / "wh")
+    wh = build_warehouse(small_shop(spark), path)
+    (tmp_path / "wh" / "_commits" / "00000002.json").write_text('{"tables": {"dim_date"')
+    assert Warehouse(spark, path).commit == 1
+    assert build_warehouse(small_shop(spark), path).commit == 3
+    assert content(Warehouse(spark, path)) == content(wh)
+
+
+def test_a_load_that_missed_a_commit_fails(spark, tmp_path):
+    path = str(tmp_path / "wh")
+    slow = Warehouse(spark, path).begin(whole=True)
+    build_warehouse(small_shop(spark), path)
+    with pytest.raises(ConcurrentLoadError):
+        slow.finish()
+
+
+def test_what_a_dead_load_left_goes_by_age(spark, tmp_path):
+    path = str(tmp_path / "wh")
+    wh = build_warehouse(small_shop(spark), path)
+    write_append(spark.range(3), wh.begin(whole=True).location("dim_date"))
+    assert len(versions(path)) == 2 and wh.vacuum(abandoned_hours=1) == []
+    assert len(wh.vacuum(abandoned_hours=-1)) == 1 and len(versions(path)) == 1
+    assert load_counts(Warehouse(spark, path)).count() == 5
+
+
+def test_tables_without_commits_are_taken_over_by_an_append(spark, stored, tmp_path):
+    bare = Warehouse(spark, str(tmp_path / "bare"))
+    for name in TABLES:
+        write_append(stored.table(name), bare.location(name))
+    assert content(bare) == content(Warehouse(spark, bare.path))
+    wh = build_warehouse(small_shop(spark), bare.path, write=write_append)
+    assert wh.table("dim_outlet").count() == 6 and wh.table(FACT).count() > FACT_ROWS
 
 
 def test_calendar_from_the_data_covers_every_day(spark, tmp_path):

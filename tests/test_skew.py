@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from lapakdw.operators import scd
 from lapakdw.operators.checks import matching_pairs, orphan_rows
-from lapakdw.operators.headers import items_dedup, transactions_clean
+from lapakdw.operators.headers import heavy_headers, items_dedup, lines_of_headers, transactions_clean
 from lapakdw.operators.scd import scd2_lookup
 from lapakdw.plans import dims as d
 from lapakdw.plans.fact import Dims, fact_transaksi_item
-from lapakdw.runtime import measured_bytes, shuffle_settings, sql_conf
+from lapakdw.runtime import materialize, measured_bytes, shuffle_settings, sql_conf
 from lapakdw.sources.raw import RawSales
 from tests.helpers import outlets, plan, products
 
@@ -62,20 +62,49 @@ def final_plan(df):
     return plan(df)
 
 
-def test_hot_header_is_split_and_lines_stay_exact(spark):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_hot_header_is_split_and_lines_stay_exact(spark, monkeypatch, broadcast):
+    """Lines are shuffled once for de-duplication and join; those of the hot header by all their columns."""
+    if not broadcast:
+        monkeypatch.setattr("lapakdw.runtime.BROADCAST_BYTES", -1)
+        assert heavy_headers(lines(spark)) == ["HOT"]
     settings = {**shuffle_settings(spark, lines(spark)), **TINY_PARTITIONS}
     shop = hot_shop(spark)
     dims = Dims(d.dim_date(spark), d.dim_product(shop.products), d.dim_outlet(shop.outlets), d.dim_status(spark))
     with sql_conf(spark, settings):
         df = fact_transaksi_item(shop, dims)
-        text = final_plan(df)
-        assert "skew=true" in text
+        text = plan(df)
         found = df.select("transaction_id", "item_id").toPandas()
+    by_all = [t for t in text.splitlines() if re.search(r"Exchange hashpartitioning\(.*item_id.*\), ENSURE", t)]
+    assert len(by_all) == 1 and "transaction_id" in by_all[0]
+    assert text.count("REPARTITION_BY_COL") == (0 if broadcast else 1)
     expected = lines(spark).select("transaction_id", "item_id").toPandas().drop_duplicates()
     assert len(found) == len(expected)
     assert set(found.itertuples(index=False, name=None)) == set(expected.itertuples(index=False, name=None))
 
 
+def test_lines_without_a_kept_header_are_dropped_before_the_shuffle(spark):
+    """A slice of a few headers reads all lines but shuffles only its own."""
+    kept = heads(spark).where("transaction_id IN ('T1', 'T2')").select("transaction_id", "status")
+    text = plan(lines_of_headers(lines(spark), kept))
+    semi, shuffle = text.index("LeftSemi"), text.index("Exchange hashpartitioning")
+    assert semi > shuffle and text.count("Exchange hashpartitioning") == 1  # the plan reads from the bottom
+    assert "LeftSemi" in text[shuffle:]
+    assert lines_of_headers(lines(spark), kept).count() == 8
+
+
+def test_one_shuffle_by_header_id_without_heavy_ids(spark, monkeypatch):
+    monkeypatch.setattr("lapakdw.runtime.BROADCAST_BYTES", -1)
+    even = lines(spark).where("transaction_id <> 'HOT'")
+    assert heavy_headers(even) == []
+    with sql_conf(spark, TINY_PARTITIONS):
+        df = lines_of_headers(even, materialize(heads(spark), "heads"))
+        text = plan(df)
+        of_lines = [t for t in text.splitlines() if "Exchange" in t and "Range" not in t]
+        assert len(of_lines) == 2  # the lines, and the headers to meet them
+        assert df.count() == even.distinct().count()
+
+
 def test_copies_of_lines_are_dropped_before_the_shuffle(spark):
     text = plan(items_dedup(lines(spark)))
     assert text.count("Exchange") == 1
