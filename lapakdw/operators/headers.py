@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapakdw.runtime import fits_broadcast, materialize, measured_bytes, scan_bytes
+from lapakdw.runtime import fits_broadcast, measured_bytes, scan_bytes
 from lapakdw.sources.raw import ITEM_COLUMNS
 
 HEADER_KEY = "transaction_id"
@@ -82,19 +82,12 @@ def _bounds(transactions: DataFrame) -> DataFrame:
 def header_check(transactions: DataFrame) -> DataFrame:
     """Per header id: number of different values of each checked field, nulls not counted.
 
-    One aggregation answers this for the ids on which no field has two values;
-    only the rows of the others are looked at again, to count distinct values.
+    One scan. Rows that agree in id and a value become one within each task;
+    values are then counted in two steps, by id and value and by id, so an id
+    with very many values is spread over tasks as well.
     """
-    bounds = materialize(_bounds(transactions), "header-bounds")
-    mixed = reduce(lambda a, b: a | b, (F.coalesce(F.col(f) < F.col(f"_max_{f}"), F.lit(False)) for f in CHECKED))
-    even = bounds.where(~mixed).select(
-        HEADER_KEY, *(F.col(f).isNotNull().cast("bigint").alias(name) for f, name in CHECKED.items())
-    )
-    ids = bounds.where(mixed).select(F.col(HEADER_KEY).alias("_id"))
-    odd = transactions.join(ids, F.col(HEADER_KEY).eqNullSafe(F.col("_id")), "left_semi")
-    return even.union(
-        odd.groupBy(HEADER_KEY).agg(*(F.count_distinct(F.col(f)).alias(name) for f, name in CHECKED.items()))
-    )
+    counts = (F.count_distinct(F.col(field)).alias(name) for field, name in CHECKED.items())
+    return transactions.groupBy(HEADER_KEY).agg(*counts)
 
 
 def transactions_clean(transactions: DataFrame) -> DataFrame:

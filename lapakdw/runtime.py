@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -144,12 +144,22 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def clear_scratch(spark: SparkSession) -> int:
-    """Remove all scratch tables this application made; frames that read them cannot be used afterwards."""
-    paths = _made.pop(spark.sparkContext.applicationId, [])
+def scratch_paths(spark: SparkSession) -> list[str]:
+    """All scratch tables this application has made and not removed, the newest last."""
+    return list(_made.get(spark.sparkContext.applicationId, []))
+
+
+def clear_scratch(spark: SparkSession, keep: Iterable[str] = ()) -> int:
+    """Remove the scratch tables this application made, but those in ``keep``; frames that read them end with them."""
+    kept = set(keep)
+    app = spark.sparkContext.applicationId
+    paths = _made.pop(app, [])
     for path in paths:
-        delete(spark, path)
-    return len(paths)
+        if path not in kept:
+            delete(spark, path)
+    if left := [path for path in paths if path in kept]:
+        _made[app] = left
+    return len(paths) - len(left)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -13,7 +13,7 @@ from lapakdw.plans.load import (
     write_append,
 )
 from lapakdw.plans.warehouse import MONTH, TABLES, YEAR, ConcurrentLoadError, Warehouse, partition_columns
-from lapakdw.runtime import PARTITION_BYTES, clear_scratch, materialize, scan_bytes, shuffle_settings
+from lapakdw.runtime import PARTITION_BYTES, clear_scratch, materialize, scan_bytes, scratch_paths, shuffle_settings
 from tests.helpers import plan, small_shop
 
 FACT_ROWS = 7
@@ -249,3 +249,11 @@ def test_chosen_partition_count_is_left_alone(spark, stored, sql_settings):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     sql_settings(**{key: "33"})
     assert key not in shuffle_settings(spark, stored.table(FACT))
+
+
+def test_scratch_can_be_cleared_but_for_some(spark):
+    clear_scratch(spark)
+    kept, gone = (materialize(spark.range(3).toDF("n"), label) for label in ("kept", "gone"))
+    first, last = scratch_paths(spark)
+    assert clear_scratch(spark, keep=[first]) == 1 and scratch_paths(spark) == [first]
+    assert kept.count() == 3 and not Path(gone.inputFiles()[0].removeprefix("file://")).exists()

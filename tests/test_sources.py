@@ -44,12 +44,66 @@ def test_read_raw_multiline(spark, tmp_path):
     ids=["surplus field", "missing field", "quoted break", "open last field"],
 )
 def test_read_raw_refuses_what_it_would_get_wrong(spark, tmp_path, text):
+    path = tmp_path / "x.csv"
+    path.write_text(text)
+    with pytest.raises(Exception, match="FAILED_READ_FILE|quote stays open|MALFORMED"):
+        read_raw(spark, str(path), ["a"], multiline=False).collect()
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["a,b,c\n4,5,6,7\n", "a,b,c\n8,9\n", 'a,b,c\n1,"x,2\n3,4,5\n', 'a,b,c\n1,2,"x\ny,z,w\n'],
+    ids=["surplus field", "missing field", "open field", "open last field"],
+)
+def test_read_raw_refuses_rows_it_cannot_tell(spark, tmp_path, text):
     path = tmp_path / "x.csv"
     path.write_text(text)
     with pytest.raises(Exception, match="FAILED_READ_FILE|quote stays open|MALFORMED"):
         read_raw(spark, str(path), ["a"]).collect()
 
 
+MIXED = {
+    "plain.csv": ("id,name\n1,a\n2,b\n", [("1", "a"), ("2", "b")]),
+    "breaks.csv": ('id,name\n3,"two\nlines"\n"4\n",d\n', [("3", "two\nlines"), ("4\n", "d")]),
+    "inches.csv": ('id,name\n5,5" pipe\n6,"6"" pipe"\n7,g\n', [("5", '5" pipe'), ("6", '6" pipe'), ("7", "g")]),
+}
+
+
+@pytest.mark.parametrize("share", ["128m", "8b"], ids=["files of one task", "files of many tasks"])
+def test_folders_mix_files_with_and_without_breaks(spark, tmp_path, sql_settings, share):
+    """Quoted line breaks are read unasked, and inch marks as they stand, as the dialect of the results does."""
+    import duckdb
+
+    sql_settings(spark__sql__files__maxPartitionBytes=share)
+    for name, (text, _) in MIXED.items():
+        (tmp_path / name).write_text(text)
+    expected = sorted(row for _, rows in MIXED.values() for row in rows)
+    assert sorted(tuple(r) for r in read_raw(spark, str(tmp_path)).collect()) == expected
+    sql = f"SELECT * FROM read_csv('{tmp_path}/inches.csv', header = true, all_varchar = true)"
+    assert sorted(duckdb.sql(sql).fetchall()) == sorted(MIXED["inches.csv"][1])
+
+
+def test_sound_files_are_read_once(spark, tmp_path, monkeypatch):
+    """No pass for quotes over files that one task reads anyway; one over those that many tasks share."""
+    import lapakdw.sources.raw as raw
+
+    (tmp_path / "x.csv").write_text(MIXED["plain.csv"][0])
+    looked = []
+    monkeypatch.setattr(raw, "_odd_lines", lambda lines: looked.append(lines) or lines.where("false"))
+    assert read_raw(spark, str(tmp_path)).count() == 2 and not looked
+    with sql_conf(spark, {"spark.sql.files.maxPartitionBytes": "8b"}):
+        assert read_raw(spark, str(tmp_path)).count() == 2 and len(looked) == 1
+        assert read_raw(spark, str(tmp_path), check_quotes=False).count() == 2 and len(looked) == 1
+
+
+def test_compressed_files_are_read_as_a_whole(spark, tmp_path, sql_settings):
+    import gzip
+
+    sql_settings(spark__sql__files__maxPartitionBytes="16b")
+    (tmp_path / "x.csv.gz").write_bytes(gzip.compress(MIXED["breaks.csv"][0].encode()))
+    assert sorted(tuple(r) for r in read_raw(spark, str(tmp_path)).collect()) == sorted(MIXED["breaks.csv"][1])
+
+
 def test_read_raw_multiline_reads_breaks_in_any_field(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_text('a,b,c\n1,2,"x\ny,z,w"\n"p\nq",3,4\n')
