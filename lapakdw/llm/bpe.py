@@ -25,8 +25,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from lapakdw.llm.text import free_name
+
 # Pieces a worker remembers twice of, the newer and the older ones, and the longest it remembers.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 75_000
 CACHE_CHARS = 64
 # Bits of a token id.
 ID_BITS = 32
@@ -286,6 +288,14 @@ class Vocabulary:
         shift = self.first.take(ids) - (np.cumsum(width) - width)
         return self.spelled.take(np.repeat(shift, width) + np.arange(width.sum())).tobytes()
 
+    def gives_back(self, ids: np.ndarray, offsets: np.ndarray, texts: list[str]) -> list[bool]:
+        """Whether the ids of each text decode to its bytes."""
+        decoded = self.decode(ids)
+        upto = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(self.width.take(ids), out=upto[1:])
+        at = upto.take(offsets).tolist()
+        return [decoded[a:b] == t.encode("utf-8") for a, b, t in zip(at, at[1:], texts)]
+
     def decode_from(self, ids: Sequence[int], chars: Sequence[int], tokens: Sequence[int], start: int, end: int) -> str:
         """The characters ``start`` to ``end`` of a text, decoded from the nearest kept places around them."""
         if not len(chars) or end <= start:
@@ -323,22 +333,28 @@ def text_slices(column: pa.Array, most: int = CHUNK_CHARS) -> Iterator[tuple[int
         yield begin, len(column), [t or "" for t in column.slice(begin).to_pylist()]
 
 
-def encode(df: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
+def encode(
+    df: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None, verify: str | None = None
+) -> DataFrame:
     """Encode a text column: the columns ``keep`` (all but the text by default), ``ids``, ``piece_chars``, ``piece_tokens``.
 
     ``ids`` are the token ids of the whole text, without special tokens; the
     other two tell at which character and at which token every
     ``OFFSET_EVERY``-th piece begins. A null text is encoded as the empty one,
     with no ids. Rows are handled one by one and keep their number. A clash of
-    a kept name with a new one is an error.
+    a kept name with a new one is an error. ``verify`` names a further column:
+    whether decoding the ids gives back the bytes of the text, found out in the
+    same task.
     """
     names = [c for c in df.columns if c != text] if keep is None else list(keep)
     new = ["ids", "piece_chars", "piece_tokens"]
-    if clash := set(names) & set(new):
+    told = [] if verify is None else [verify]
+    if clash := set(names) & {*new, *told}:
         raise ValueError(f"columns {sorted(clash)} exist already")
-    taken = df.select(*names, df[text].alias("__text"))
+    taken = df.select(*names, df[text].alias(free_name(df, "text_")))
     fields = [taken.schema[name] for name in names]
-    schema = T.StructType(fields + [T.StructField(n, T.ArrayType(T.IntegerType())) for n in new])
+    fields += [T.StructField(n, T.ArrayType(T.IntegerType())) for n in new]
+    schema = T.StructType(fields + [T.StructField(n, T.BooleanType()) for n in told])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
@@ -349,7 +365,9 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: Sequence[str] | N
                 offsets[1:] = ends
                 columns = [batch.column(i).slice(a, b - a) for i in range(len(names))]
                 columns += [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), _lists(chars), _lists(tokens)]
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, *new])
+                if told:
+                    columns.append(pa.array(vocab.gives_back(ids, offsets, texts), pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, *new, *told])
         vocab.forget()  # workers outlive their tasks, and later stages need the memory
 
     return taken.mapInArrow(run, schema)

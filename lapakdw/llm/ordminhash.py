@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapakdw.llm.bpe import text_slices
-from lapakdw.llm.text import broadcast_if_measured, text_key
+from lapakdw.llm.text import broadcast_if_measured, free_name, text_key
 from lapakdw.runtime import materialize, sql_conf
 
 # Words in a shingle, and the smallest similarity of near duplicates.
@@ -503,5 +503,6 @@ def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     if repeated.isEmpty():
         return stay
     few = broadcast_if_measured(repeated)
-    once = stay.join(few, same(repeated), "left_semi").withColumn("__twin", key).dropDuplicates(["doc_id", "__twin"])
-    return stay.join(few, same(repeated), "left_anti").union(once.drop("__twin"))
+    twin = free_name(stay, "twin")
+    once = stay.join(few, same(repeated), "left_semi").withColumn(twin, key).dropDuplicates(["doc_id", twin])
+    return stay.join(few, same(repeated), "left_anti").union(once.drop(twin))

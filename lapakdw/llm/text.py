@@ -46,6 +46,14 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the frame does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Size of all rows: eight bytes a value, and what texts and arrays of numbers hold. One job."""
     width = F.lit(16 * len(df.columns)).cast("long")

@@ -63,3 +63,17 @@ def test_stages_stand_odd_rows(spark, sf_dir):
     clean = {r["doc_id"]: r for r in corpus_pipeline.secrets(spark, docs, sf_dir).collect()}
     assert clean[4]["text"] == "and the other [SECRET] was there" and clean[4]["n_chars"] == 32
     assert clean[1]["text"] is None and clean[5]["n_chars"] == 200_000
+
+
+def test_columns_of_any_name_are_kept(spark, sf_dir):
+    """Names that stages use inside do not clash with those of the documents, repeated rows included."""
+    row = (3, "the thing is here password=abcdefabcdef0123 and there", "en", "s", 53, "t", "u", "v", "w")
+    schema = "doc_id long, text string, lang string, source string, n_chars long, __twin string, twin string, spans_found string, text_clean string"
+    docs = spark.createDataFrame([row, row], schema)
+    near = corpus_pipeline.near_dedup(spark, docs, sf_dir)
+    assert near.columns == docs.columns and [tuple(r) for r in near.collect()] == [row]
+    clean = corpus_pipeline.secrets(spark, docs, sf_dir).collect()
+    assert [tuple(r)[5:] for r in clean] == [row[5:]] * 2
+    assert {r["text"] for r in clean} == {"the thing is here [SECRET] and there"}
+    coded = corpus_pipeline.byte_bpe(spark, docs, sf_dir).collect()
+    assert len(coded) == 2 and all(r["round_trip"] for r in coded)
