@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from lapakdw.llm import bpe, decontam, langid, ordminhash, secret_scan
 from lapakdw.llm.queries import VOCABULARY, table
 from lapakdw.llm.shipping import importable
-from lapakdw.runtime import materialize
+from lapakdw.llm.text import free_name
+from lapakdw.runtime import clear_scratch, materialize, scratch_paths
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,32 +25,45 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class."""
+    """One document of each near-duplicate class, the one with the smallest id; of equal rows of it, one.
+
+    Documents without words, null texts among them, all stay, with all columns. No rows give none.
+    """
     importable(spark)
     return ordminhash.drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that benchmark passages do not contaminate."""
+    """Documents that benchmark passages do not contaminate, with all columns; null and empty texts stay.
+
+    Repeated rows are judged each. No rows, or no benchmark, drop none.
+    """
     return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced by a mark; texts without any stay as they are."""
+    """All documents, with secrets replaced by a mark; texts without any stay as they are, null ones too.
+
+    Columns of any name are kept; repeated rows are redacted each. No rows give none.
+    """
     importable(spark)
-    found = secret_scan.find_secrets(docs, VOCABULARY, name="__spans")
-    found = found.withColumn("__clean", secret_scan.redact(found["text"], found["__spans"]))
-    size = F.when(F.size("__spans") > 0, F.char_length("__clean").cast("long")).otherwise(F.col("n_chars"))
-    changed = {"text": F.col("__clean").alias("text"), "n_chars": size.alias("n_chars")}
+    spans, clean = free_name(docs, "spans_found"), free_name(docs, "text_clean")
+    found = secret_scan.find_secrets(docs, VOCABULARY, name=spans)
+    found = found.withColumn(clean, secret_scan.redact(found["text"], found[spans]))
+    size = F.when(F.size(spans) > 0, F.char_length(clean).cast("long")).otherwise(F.col("n_chars"))
+    changed = {"text": F.col(clean).alias("text"), "n_chars": size.alias("n_chars")}
     return found.select(*(changed.get(c, F.col(c)) for c in docs.columns))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document; ``round_trip`` tells that decoding them gives back the text."""
+    """Token ids of every document; ``round_trip`` tells that decoding them gives back the text.
+
+    Encoding and decoding run in one task, over one vocabulary. A null text is
+    the empty one; repeated rows stay; columns other than id, language and
+    source go.
+    """
     importable(spark)
-    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-    taken = docs.select("doc_id", "lang", "source", digest.alias("text_sha256"), "text")
-    coded = bpe.decode(bpe.encode(taken, VOCABULARY), VOCABULARY)
+    coded = bpe.encode(docs, VOCABULARY, keep=["doc_id", "lang", "source"], verify="round_trip")
     return coded.select(
         "doc_id",
         "lang",
@@ -58,7 +72,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "ids",
         "piece_chars",
         "piece_tokens",
-        (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"),
+        "round_trip",
     )
 
 
@@ -75,8 +89,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents of a folder. What a stage has stored goes when the next one is written."""
+    docs, before = table(spark, sf_dir, "documents"), scratch_paths(spark)
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        clear_scratch(spark, keep=[*before, scratch_paths(spark)[-1]])  # the last one is the table just written
     return docs
