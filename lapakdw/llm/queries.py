@@ -203,7 +203,68 @@ def _escaped_length(name: str) -> str:
     return rf"(length({name}) + length({name}) - length(replace({name}, '\', '')) + {marks})"
 
 
+def _way(cost: str, letter: str, row: str, after: str) -> str:
+    """An edit in front of what is cheapest behind it, as (cost, audit, repaired text); comparing them settles ties."""
+    rest = f"CASE WHEN {after}.r = '' THEN '' ELSE chr(10) || {after}.r END"
+    text = f"{row} || {rest}" if row else f"{after}.r"
+    return f"{{'c': {cost} + {after}.c, 'a': '{letter}' || {after}.a, 'r': {text}}}"
+
+
+def _cheapest(state: int) -> str:
+    """The cheapest repair from a state (0 start, 1 system, 2 user, 3 assistant) and a row on."""
+    follows, name = (3, "assistant") if state == 2 else (2, "user")
+    more = "CASE WHEN fault = 't' THEN 5 ELSE 0 END"
+    kept = {0: "CASE WHEN letter = 's' THEN s1 WHEN letter = 'u' THEN s2 END", 2: "CASE WHEN letter = 'a' THEN s3 END"}
+    keep = kept.get(state, "CASE WHEN letter = 'u' THEN s2 END")
+    own = "role || ':' || text"
+    may = "fault IN ('t', '-')"
+    return f"""least({_way("2", "D", "", f"s{state}")},
+      CASE WHEN {may} THEN {_way(f"1 + {more}", "R", f"'{name}:' || text", f"s{follows}")} END,
+      CASE WHEN {may} AND ({keep}) IS NOT NULL THEN {_way(f"0 + {more}", "K", own, f"({keep})")} END)"""
+
+
+def _inserted(state: int) -> str:
+    follows, name = (3, "assistant") if state == 2 else (2, "user")
+    return f"least(s{state}, {_way('5', 'I', f"'{name}:'", f's{follows}')}) AS s{state}"
+
+
+_REPAIR = f"""
+WITH RECURSIVE coded AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+summed AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(8 * length(k)),
+    lambda i: CASE WHEN i % 8 = 0 THEN ascii(substr(k, (i // 8 + 1)::INT, 1))::BIGINT ELSE 0::BIGINT END)),
+    lambda x, b: CASE WHEN xor(x, b) & 1 = 1 THEN xor(xor(x, b) >> 1, 3988292384::BIGINT) ELSE xor(x, b) >> 1 END),
+  4294967295::BIGINT) % 20 AS code FROM coded),
+rows AS (SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+  CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS copy FROM summed WHERE code <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos FROM rows),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) AS nth,
+  regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS ending, substr(role, 1, 1) AS letter FROM placed),
+faulty AS (SELECT *, CASE WHEN ending = '' THEN 'b' WHEN nth > 1 THEN 'd' WHEN ending NOT IN ('.', '!', '?') THEN 't' ELSE '-' END AS fault,
+  letter || lead(letter) OVER (PARTITION BY conv_id ORDER BY pos) AS pair FROM seen),
+told AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+  count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+  count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, n + 1 AS pos, {{'c': 0, 'a': '', 'r': ''}} AS s0, {{'c': 10, 'a': 'II', 'r': 'user:' || chr(10) || 'assistant:'}} AS s1,
+    {{'c': 5, 'a': 'I', 'r': 'assistant:'}} AS s2, {{'c': 0, 'a': '', 'r': ''}} AS s3 FROM told
+  UNION ALL
+  SELECT conv_id, pos, {", ".join(map(_inserted, range(4)))} FROM (
+  SELECT conv_id, pos, {", ".join(map(_inserted, range(4)))} FROM (
+  SELECT conv_id, pos, {", ".join(map(_inserted, range(4)))} FROM (
+  SELECT w.conv_id, f.pos, {", ".join(f"{_cheapest(i)} AS s{i}" for i in range(4))}
+  FROM walk w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.pos = w.pos - 1) a) b) c),
+best AS (SELECT conv_id, s0 FROM walk WHERE pos = 1)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(s0.c, 0)::BIGINT AS cost, coalesce(s0.a, '') AS audit,
+  sha256(coalesce(s0.r, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) e
+LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN best x ON x.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
 SQL = {
+    "op12_conversation_repair": _REPAIR,
     "op1_chat_prefixes": f"""
 WITH given AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
