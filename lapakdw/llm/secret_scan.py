@@ -38,10 +38,18 @@ CHARS_PER_TOKEN = 1.9
 # A longer run is also judged, and reported, in even cuts of about this size.
 WINDOW_CHARS = 64
 
-# Text just in front of a run that makes it a known digest or identifier.
+# Text just in front of a run that makes it a known digest, if the run has the form of one.
 LABELLED = re.compile(
     r"""(?ai:\b(?:md5|sha-?(?:1|224|256|384|512)|blake2[bs]?|digest|checksum|integrity|etag|commit|rev(?:ision)?|sri|crc32|uuid|guid|doi|isbn|issn|arxiv|urn|build|hash)["']?\s{0,3}[:=#/-]?\s{0,3}["']?)$"""
 )
+# The digests of 16, 20, 24, 28, 32, 48 and 64 bytes in hexadecimal, and all but those of 24 in base 64,
+# there with or without padding.
+DIGEST = re.compile(
+    r"(?a:(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{48}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}"
+    r"|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{48}|[0-9A-F]{56}|[0-9A-F]{64}|[0-9A-F]{96}|[0-9A-F]{128}"
+    r"|[A-Za-z0-9+/_-]{22}(?:==)?|[A-Za-z0-9+/_-]{27}=?|[A-Za-z0-9+/_-]{38}(?:==)?|[A-Za-z0-9+/_-]{43}=?"
+    r"|[A-Za-z0-9+/_-]{64}|[A-Za-z0-9+/_-]{86}(?:==)?)$)"
+)
 UUID = re.compile(r"(?ai:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})$")
 SRI = re.compile(r"(?a:sha(?:256|384|512)-[A-Za-z0-9+/]{40,90}={0,2})$")
 DATED = re.compile(r"(?a:\d{4}-?\d\d-?\d\d(?:[T_-]?[\d.+Z-]*)?)$")
@@ -73,7 +81,7 @@ def known_identifier(text: str, start: int, end: int) -> bool:
         return True
     if UUID.match(run) or SRI.match(run) or DATED.match(run):
         return True
-    return LABELLED.search(text, max(0, start - 24), start) is not None
+    return DIGEST.match(run) is not None and LABELLED.search(text, max(0, start - 24), start) is not None
 
 
 def chars_per_token(vocab: Vocabulary, run: str) -> float:

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lapakdw.llm import secret_scan
@@ -117,3 +118,26 @@ def test_letters_alone_are_judged_by_their_tokens():
     assert sum(covered(t, 4, 24) for t in texts) >= 299
     for text in ("incomprehensibilities and internationalization", "services/webhooks/production/incoming", "=" * 50, "-" * 21 + "/" * 30):
         assert not any(kind == "random" for kind, _ in spans(text))
+
+
+LABELS = ["build: ", "commit ", "commit: ", "hash: ", 'etag: "', "digest: ", "rev ", "revision - ", "sha-1: ", "uuid: ", "guid ", "token build: ", "My password hash: "]
+
+
+@pytest.mark.parametrize("label", LABELS)
+def test_a_label_excuses_digests_only(label):
+    """Random strings behind a label are found unless they have the form of a digest; digests are left alone."""
+    import base64
+    import hashlib
+    import random
+    import string
+
+    rng, vocab = random.Random(label), vocabulary(VOCABULARY)
+    for length in (24, 40):
+        texts = [label + "".join(rng.choices(string.ascii_letters + string.digits, k=length)) + " end" for _ in range(100)]
+        found = [any(kind == "random" for kind, _, _ in spans) for spans in secret_scan.scan_texts(vocab, texts)]
+        assert sum(found) >= 98, length
+    for name in ("md5", "sha1", "sha224", "sha256", "sha384", "sha512"):
+        digest = hashlib.new(name, label.encode()).digest()
+        for text in (digest.hex().upper(), base64.b64encode(digest).decode()):
+            (spans,) = secret_scan.scan_texts(vocab, [label + text + " end"])
+            assert not any(kind == "random" for kind, _, _ in spans), text
