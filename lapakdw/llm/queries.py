@@ -52,9 +52,9 @@ def op1_chat_prefixes(spark: SparkSession, folder: str) -> DataFrame:
     return chat.conversation_digests(turns.union(probe))
 
 
-# Where every worker finds the vocabulary files.
-TOKENIZERS = "/opt/tokenizers"
-VOCABULARY = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+# The vocabulary files, at the same place for every worker.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 @query
@@ -190,7 +190,7 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids written to binary files and read back."""
-    return tokenfile.file_digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenfile.file_digests(table(spark, folder, "documents"), TOKENIZER)
 
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
