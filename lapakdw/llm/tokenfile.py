@@ -26,13 +26,16 @@ behind unlisted: the manifest, which Spark commits, names the shards that count.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import uuid
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cache, lru_cache
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lapakdw.llm.bpe import text_slices
+from lapakdw.llm.bpe import piece_starts, text_slices
 from lapakdw.runtime import MAX_PARTITIONS, materialize, new_scratch, sql_conf
 
 MAGIC = b"LPKIDS01"
@@ -58,10 +61,13 @@ BLOCK_IDS = 1 << 18
 SHARD_IDS = 1 << 25
 PART_IDS = 1 << 20
 # Characters encoded at once; longer texts are cut where pieces are sure to begin.
-ENCODE_CHARS = 200_000
+ENCODE_CHARS = 500_000
+# Pieces a task remembers twice of, the newer and the older ones, and the longest it remembers.
+CACHE_PIECES = 300_000
+CACHE_CHARS = 64
 # Bytes of ids in an Arrow batch that a task hands over.
 BATCH_BYTES = 8_000_000
-# Documents whose ids are counted at once.
+# Documents whose ids are handled at once.
 BATCH_ROWS = 1000
 
 CUT = re.compile(r"(?<=\S)(?= [A-Za-z])")
@@ -78,21 +84,29 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and rank bytes of unsigned 32-bit numbers."""
     ranks = np.ascontiguousarray(ranks, "<u4")
     codes = (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
-    padded = np.zeros(-(-len(codes) // 4) * 4, np.uint8)
-    padded[: len(codes)] = codes
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    spelled = ranks.view(np.uint8).reshape(-1, 4)
-    return control.tobytes(), spelled[np.arange(4) <= codes[:, None]].tobytes()
+    padded = np.zeros((-(-len(codes) // 4), 4), np.uint8)
+    padded.reshape(-1)[: len(codes)] = codes
+    control = padded[:, 0] | padded[:, 1] << 2 | padded[:, 2] << 4 | padded[:, 3] << 6
+    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) <= codes[:, None]].tobytes()
 
 
 def unpack(control: bytes, spelled: bytes, n: int) -> np.ndarray:
-    """The numbers again: a table gives the lengths, their running sum the places, one gather the values."""
-    lengths = _lengths().take(np.frombuffer(control, np.uint8), axis=0).ravel()[:n]
-    ends = np.cumsum(lengths, dtype=np.int64)
-    buffer = spelled + b"\0\0\0"
-    words = np.ndarray(len(spelled), "<u4", buffer, strides=(1,))
+    """The numbers again: a table gives their lengths, the running sum the places, one gather the values."""
+    widths = _lengths().take(np.frombuffer(control, np.uint8), axis=0).ravel()[:n]
+    ends = np.cumsum(widths, dtype=np.int64)
+    words = np.ndarray(len(spelled), "<u4", spelled + b"\0\0\0", strides=(1,))
     masks = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
-    return words.take(ends - lengths) & masks.take(lengths)
+    return words.take(ends - widths) & masks.take(widths)
+
+
+def _flat(column: pa.Array, kind: str = "u1") -> tuple[np.ndarray, np.ndarray]:
+    """All values of a column of byte strings one behind the other, and how many each row has."""
+    column = column.cast(pa.binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    values = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    values = np.ascontiguousarray(values).view(kind)
+    return values, np.diff(offsets).astype(np.int64) // values.itemsize
 
 
 @lru_cache(maxsize=2)
@@ -103,6 +117,82 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def spelled_bytes() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: its own if it prints, else one from 256 on."""
+    prints = [b for b in range(256) if chr(b).isprintable() and not chr(b).isspace() and b != 0xAD]
+    others = (b for b in range(256) if b not in set(prints))
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class Pieces(dict[str, bytes]):
+    """The ids of pieces, merged when first asked for. Long pieces are merged every time."""
+
+    def __init__(self, merge: Callable[[str], list], code: str, older: dict[str, bytes] | None = None) -> None:
+        self.merge, self.code, self.older = merge, code, older or {}
+        self.spell, self.id_of = spelled_bytes(), attrgetter("id")
+
+    def next_generation(self) -> Pieces:
+        """An empty one that takes over, piece by piece, what is still in use of this."""
+        return Pieces(self.merge, self.code, dict(self))
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            tokens = self.merge(piece.encode().decode("latin-1").translate(self.spell))
+            ids = array(self.code, map(self.id_of, tokens)).tobytes()
+        if len(piece) <= CACHE_CHARS:
+            self[piece] = ids
+        return ids
+
+
+class Encoder:
+    """The ids of texts by a tokenizer file, as the tokenizers library has them.
+
+    The library merges; texts are cut into the pieces of its byte-level rule by
+    the scan over code classes, and the ids of a piece are remembered, because
+    cutting is most of the library's work. Texts with an added token in them, and
+    files with other rules, go to the library whole.
+    """
+
+    def __init__(self, path: str) -> None:
+        self.whole = tokenizer(path)
+        rules = json.loads(self.whole.to_str())
+        cut = rules["pre_tokenizer"] or {}
+        self.by_pieces = (
+            rules["normalizer"] is None
+            and rules["model"]["type"] == "BPE"
+            and (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex")) == ("ByteLevel", False, True)
+        )
+        self.added = [token.content for token in self.whole.get_added_tokens_decoder().values()]
+        self.kind = "<u2" if self.size() <= 1 << 16 else "<u4"
+        self.known = Pieces(self.whole.model.tokenize, "H" if self.kind == "<u2" else "I")
+
+    def size(self) -> int:
+        return self.whole.get_vocab_size(with_added_tokens=True)
+
+    def _bytes(self, ids: Sequence[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, little endian, two bytes each where the vocabulary allows it."""
+        odd = [i for i, t in enumerate(texts) if not self.by_pieces or any(token in t for token in self.added)]
+        asked = dict(zip(odd, self.whole.encode_batch([texts[i] for i in odd], add_special_tokens=False)))
+        plain = ["" if i in asked else t for i, t in enumerate(texts)]
+        lengths = np.array([len(t) for t in plain], np.int64)
+        ends = np.cumsum(lengths)
+        whole = "".join(plain)
+        starts = piece_starts(whole, (ends - lengths)[lengths > 0])
+        at = starts.tolist()
+        if len(self.known) > CACHE_PIECES:
+            self.known = self.known.next_generation()
+        coded = list(map(self.known.__getitem__, [whole[a:b] for a, b in zip(at, [*at[1:], len(whole)])]))
+        first, last = np.searchsorted(starts, ends - lengths).tolist(), np.searchsorted(starts, ends).tolist()
+        found = [b"".join(coded[a:b]) for a, b in zip(first, last)]
+        for i, encoding in asked.items():
+            found[i] = self._bytes(encoding.ids)
+        return found
+
+
 def stretches(text: str, most: int = ENCODE_CHARS) -> Iterator[str]:
     """A text in parts that encode to the same ids as the whole.
 
@@ -120,34 +210,32 @@ def stretches(text: str, most: int = ENCODE_CHARS) -> Iterator[str]:
 
 
 def encode_ids(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id`` and ``ids``: the ids of every text with ``END_ID`` behind them, unsigned 32-bit little endian."""
+    """``doc_id`` and ``ids``: the ids of every text with ``END_ID`` behind them, as ``Encoder`` writes them."""
     schema = f"doc_id {docs.schema[key].dataType.simpleString()}, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokenizer(path)
+        encoder = Encoder(path)
+        end = np.array([END_ID], encoder.kind).tobytes()
         for batch in batches:
             for a, b, texts in text_slices(batch.column(1), ENCODE_CHARS):
-                parts = [list(stretches(t)) for t in texts]
-                coded = iter(encoder.encode_batch([p for ps in parts for p in ps], add_special_tokens=False))
-                ids = [
-                    np.array([*(i for _ in ps for i in next(coded).ids), END_ID], "<u4").tobytes() for ps in parts
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(ids, pa.binary())], names=["doc_id", "ids"]
-                )
+                if b - a > 1 or len(texts[0]) <= ENCODE_CHARS:
+                    ids = encoder.texts(texts)
+                else:
+                    ids = [b"".join(encoder.texts([part])[0] for part in stretches(texts[0]))]
+                coded = pa.array([i + end for i in ids], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), coded], names=["doc_id", "ids"])
 
     return docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def id_counts(coded: DataFrame, size: int) -> DataFrame:
+def id_counts(coded: DataFrame, size: int, kind: str) -> DataFrame:
     """``id`` and ``n``: how often each id below ``size`` occurs. Tasks count in an array of that size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size, np.int64)
         for batch in batches:
             for a in range(0, batch.num_rows, BATCH_ROWS):
-                ids = [np.frombuffer(x.as_buffer(), "<u4") for x in batch.column(0).slice(a, BATCH_ROWS)]
-                counts += np.bincount(np.concatenate(ids), minlength=size)
+                counts += np.bincount(_flat(batch.column(0).slice(a, BATCH_ROWS), kind)[0], minlength=size)
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["id", "n"])
 
@@ -164,8 +252,8 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
 class ShardWriter:
     """Writes one shard: documents go in one after the other, ``close`` ends the file."""
 
-    def __init__(self, path: str, rank_of: np.ndarray, doc_type: pa.DataType) -> None:
-        self.path, self.rank_of, self.doc_type = path, rank_of, doc_type
+    def __init__(self, path: str, doc_type: pa.DataType) -> None:
+        self.path, self.doc_type = path, doc_type
         system, place = _open(path)
         self.out = system.open_output_stream(place)
         self.out.write(MAGIC)
@@ -175,12 +263,12 @@ class ShardWriter:
         self.waiting: list[np.ndarray] = []
         self.held = self.ids = 0
 
-    def add(self, doc_id: object, ids: np.ndarray) -> None:
+    def add(self, doc_id: object, ranks: np.ndarray) -> None:
         self.docs.append(doc_id)
-        self.lengths.append(len(ids))
-        self.ids += len(ids)
-        self.waiting.append(self.rank_of.take(ids))
-        self.held += len(ids)
+        self.lengths.append(len(ranks))
+        self.ids += len(ranks)
+        self.waiting.append(ranks)
+        self.held += len(ranks)
         if self.held >= BLOCK_IDS:
             self._write_blocks(whole=False)
 
@@ -300,6 +388,19 @@ def _arrow(kind: str) -> pa.DataType:
     return to_arrow_type(DataType.fromDDL(kind))
 
 
+def _ranked(
+    batches: Iterator[pa.RecordBatch], rank_of: np.ndarray, id_kind: str
+) -> Iterator[tuple[object, np.ndarray]]:
+    """Documents with the ranks of their ids."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, BATCH_ROWS):
+            part = batch.slice(a, BATCH_ROWS)
+            ids, lengths = _flat(part.column(1), id_kind)
+            ranks, ends = rank_of.take(ids), np.cumsum(lengths)
+            for doc_id, begin, end in zip(part.column(0).to_pylist(), (ends - lengths).tolist(), ends.tolist()):
+                yield doc_id, ranks[begin:end]
+
+
 def write_token_files(
     docs: DataFrame, path: str, folder: str, key: str = "doc_id", text: str = "text", shard_ids: int = SHARD_IDS
 ) -> TokenFiles:
@@ -316,9 +417,10 @@ def write_token_files(
     kind = docs.schema[key].dataType.simpleString()
     with sql_conf(spark, {"spark.sql.parquet.compression.codec": "zstd"}):
         coded = materialize(encode_ids(docs, path, key, text), "ids")
-    size = tokenizer(path).get_vocab_size(with_added_tokens=True)
+    encoder = Encoder(path)
+    size, id_kind = encoder.size(), encoder.kind
     # At most one row per id of the vocabulary.
-    counted = id_counts(coded, size).orderBy(F.desc("n"), "id").collect()
+    counted = id_counts(coded, size, id_kind).orderBy(F.desc("n"), "id").collect()
     ranked = np.array([row["id"] for row in counted], "<u4")
     rank_of = np.zeros(size, np.uint32)
     rank_of[ranked] = np.arange(len(ranked), dtype=np.uint32)
@@ -331,24 +433,21 @@ def write_token_files(
     total = sum(row["n"] for row in counted)
     least = min(spark.sparkContext.defaultParallelism, -(-total // PART_IDS))
     parts = max(1, least, min(-(-total // shard_ids), MAX_PARTITIONS))
-    tie = F.xxhash64("ids")
-    ordered = coded.withColumn("_tie", tie).repartitionByRange(parts, "doc_id", "_tie")
+    ordered = coded.withColumn("_tie", F.xxhash64("ids")).repartitionByRange(parts, "doc_id", "_tie")
     ordered = ordered.sortWithinPartitions("doc_id", "_tie").select("doc_id", "ids")
     doc_type = _arrow(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
         shard, done = None, []
-        for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if shard is None:
-                    name = f"{root}/shard-{part:06d}-{len(done):06d}-{attempt}.ids"
-                    shard = ShardWriter(name, rank_of, doc_type)
-                shard.add(doc_id, np.frombuffer(ids.as_buffer(), "<u4"))
-                if shard.ids >= shard_ids:
-                    shard.close()
-                    done.append(shard)
-                    shard = None
+        for doc_id, ranks in _ranked(batches, rank_of, id_kind):
+            if shard is None:
+                shard = ShardWriter(f"{root}/shard-{part:06d}-{len(done):06d}-{attempt}.ids", doc_type)
+            shard.add(doc_id, ranks)
+            if shard.ids >= shard_ids:
+                shard.close()
+                done.append(shard)
+                shard = None
         if shard is not None:
             shard.close()
             done.append(shard)

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -15,8 +16,11 @@ from lapakdw.runtime import new_scratch
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
+PLAIN = Tokenizer.from_file(PATH)
+
+
 def plain_ids(text):
-    return [*Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids, 0]
+    return [*PLAIN.encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def digest(ids):
@@ -53,6 +57,45 @@ def test_control_bytes_by_hand():
     assert spelled == bytes([1, 3, 2, 6, 5, 4, 0x0A, 9, 8, 7, 5])
 
 
+def ids_of(encoder, texts):
+    return [np.frombuffer(i, encoder.kind).tolist() for i in encoder.texts(texts)]
+
+
+def test_pieces_are_those_of_the_library():
+    """Every code point alone, and in front of and behind letters, numbers, marks and spaces."""
+    encoder = tokenfile.Encoder(PATH)
+    assert encoder.by_pieces and encoder.kind == "<u2"
+    every = [c for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) < 0xE000]
+    texts = [" ".join(f"a{c}b{c}1{c}!{c} {c}" for c in every[i : i + 2000]) for i in range(0, len(every), 2000)]
+    for text in texts[:20] + texts[20::12]:
+        assert ids_of(encoder, [text]) == [PLAIN.encode(text, add_special_tokens=False).ids]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("ab1' \n\t!sdmtrevl\u00a0\u00e9\u4e2d\U0001f642\u0301\u2028")) | st.characters(codec="utf-8")), max_size=5))
+def test_texts_together_are_those_of_the_library(texts):
+    encoder = tokenfile.Encoder(PATH)
+    texts = [*texts, "x<|endoftext|>y", *texts]
+    assert ids_of(encoder, texts) == [plain_ids(t)[:-1] for t in texts]
+
+
+def test_other_tokenizers_go_to_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = tokenfile.Encoder(path)
+    assert not encoder.by_pieces
+    text = "Some Words, and MORE."
+    assert ids_of(encoder, [text, ""]) == [Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, []]
+
+
+def test_remembered_pieces_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokenfile, "CACHE_PIECES", 10)
+    encoder = tokenfile.Encoder(PATH)
+    for i in range(30):
+        text = f"word{i} again {'long' * 40}{i}"
+        assert ids_of(encoder, [text]) == [plain_ids(text)[:-1]]
+        assert len(encoder.known) <= 20 and all(len(p) <= tokenfile.CACHE_CHARS for p in encoder.known)
+
+
 @pytest.mark.parametrize("most", [1, 7, 50])
 def test_stretches_encode_as_the_whole(most):
     texts = ["Don't stop  me now, I'm (quite) fine.\n\nNew line \t tab  end ", "été ça  va 12 34 <|endoftext|> you're", "x" * 300, ""]
@@ -106,12 +149,10 @@ def test_small_shards_and_text_ids(spark):
 def test_frequent_ids_are_short_and_files_are_checked(spark, tmp_path):
     path = str(tmp_path / "a.ids")
     rank_of = np.array([2, 1, 0], np.uint32)
-    import pyarrow as pa
-
-    shard = tokenfile.ShardWriter(path, rank_of, pa.int64())
+    shard = tokenfile.ShardWriter(path, pa.int64())
     big = np.full(tokenfile.BLOCK_IDS + 3, 2, np.uint32)
     for doc_id, ids in ((1, big), (2, np.zeros(0, np.uint32)), (3, np.array([0, 1, 2], np.uint32))):
-        shard.add(doc_id, ids)
+        shard.add(doc_id, rank_of.take(ids))
     shard.close()
     read = list(tokenfile.read_shard(path, np.array([2, 1, 0], np.uint32)))
     assert [(d, len(i)) for d, i in read] == [(1, len(big)), (2, 0), (3, 3)]
