@@ -167,6 +167,10 @@ class Encoder:
         self.kind = "<u2" if self.size() <= 1 << 16 else "<u4"
         self.known = Pieces(self.whole.model.tokenize, "H" if self.kind == "<u2" else "I")
 
+    def rest(self) -> None:
+        """Drop the older pieces; the newer ones serve the worker's next task."""
+        self.known.older = {}
+
     def size(self) -> int:
         return self.whole.get_vocab_size(with_added_tokens=True)
 
@@ -193,6 +197,12 @@ class Encoder:
         return found
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of a worker. Reading the rules anew, and the first pieces, would cost every task."""
+    return Encoder(path)
+
+
 def stretches(text: str, most: int = ENCODE_CHARS) -> Iterator[str]:
     """A text in parts that encode to the same ids as the whole.
 
@@ -214,7 +224,7 @@ def encode_ids(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     schema = f"doc_id {docs.schema[key].dataType.simpleString()}, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         end = np.array([END_ID], encoder.kind).tobytes()
         for batch in batches:
             for a, b, texts in text_slices(batch.column(1), ENCODE_CHARS):
@@ -224,6 +234,7 @@ def encode_ids(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
                     ids = [b"".join(encoder.texts([part])[0] for part in stretches(texts[0]))]
                 coded = pa.array([i + end for i in ids], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), coded], names=["doc_id", "ids"])
+        encoder.rest()
 
     return docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
