@@ -1,6 +1,7 @@
 import random
 
 from lapakdw.llm import decontam
+from tests.helpers import plan
 from tests.llm.brute import contamination
 
 DOC, ITEM = "doc_id long, text string, _id long, _key long, items string", "item_id long, text string, prints string"
@@ -87,3 +88,10 @@ def test_windows_meet_in_their_fingerprint(spark):
     df = spark.createDataFrame([(r,) for r in rows], "ws array<string>")
     own = decontam.winnow(F.array(*map(F.lit, part)))[0]
     assert df.where(F.array_contains(decontam.winnow(F.col("ws")), own)).count() == len(rows)
+
+
+def test_words_are_counted_where_texts_are_cut(spark):
+    """Beyond the candidates, no text is cut again for the number of its words."""
+    d, b = frames(spark, *sample(4))
+    cut = plan(decontam.find_hits(d, b)).count("regexp_extract_all")
+    assert cut > 0 and plan(decontam.contamination(d, b)).count("regexp_extract_all") == cut
