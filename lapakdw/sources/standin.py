@@ -12,6 +12,7 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapakdw.runtime import broadcast_if_small
 from lapakdw.sources.raw import RawSales
 
 
@@ -29,7 +30,8 @@ def _hour_text(col):
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
-    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    # Two numbers a customer: broadcast up to the measured limit, so that orders need no shuffle.
+    customers = broadcast_if_small(_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
     key = F.col("o_orderkey")
     late = (F.col("o_orderdate") + F.expr("INTERVAL '20' HOUR")).cast("string")
     open_status = F.when(key % 5 == 0, "VOID").otherwise("PENDING")

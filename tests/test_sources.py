@@ -8,6 +8,7 @@ from lapakdw.plans.load import build_warehouse
 from lapakdw.runtime import new_scratch, scratch_root, sql_conf
 from lapakdw.plans.dq import run_dq
 from lapakdw.plans.profile import run_profile
+from lapakdw.sources import standin
 from lapakdw.sources.raw import (
     HEADER_COLUMNS,
     ITEM_COLUMNS,
@@ -20,7 +21,7 @@ from lapakdw.sources.raw import (
     register_raw,
     slice_filter,
 )
-from tests.helpers import small_shop, texts
+from tests.helpers import plan, small_shop, texts
 
 
 def test_read_raw_keeps_texts_and_blanks(spark, tmp_path):
@@ -210,3 +211,15 @@ def test_sql_conf_restores(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "17"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
     assert spark.conf.get("lapakdw.test", None) is None
+
+
+def test_orders_are_not_shuffled_for_their_customers(spark, tmp_path, sql_settings):
+    """Customers are measured and broadcast also where the planner would not."""
+    sql_settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    spark.sql("SELECT 1L AS c_custkey, 3 AS c_nationkey").write.parquet(str(tmp_path / "customer.parquet"))
+    day = "TIMESTAMP'1997-02-03 00:00:00' AS o_orderdate"
+    orders = f"SELECT id AS o_orderkey, id % 2 AS o_custkey, 'F' AS o_orderstatus, 5.0D AS o_totalprice, {day} FROM range(1, 5)"
+    spark.sql(orders).write.parquet(str(tmp_path / "orders.parquet"))
+    df = standin.transactions(spark, str(tmp_path))
+    assert "BroadcastHashJoin" in plan(df) and "Exchange hashpartitioning" not in plan(df)
+    assert sorted((r.transaction_id, r.outlet_id) for r in df.collect()) == [("1", "NATION_3"), ("3", "NATION_3")]
