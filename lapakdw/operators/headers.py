@@ -52,9 +52,11 @@ def lines_of_headers(items: DataFrame, headers: DataFrame) -> DataFrame:
     serves both steps. If the headers are measured small, they are broadcast:
     lines without one go first, the others meet in a shuffle on all columns,
     which combines copies within each task and spreads the lines of any header.
-    Otherwise lines are shuffled by header id, de-duplicated where they arrive
-    and joined there. Lines of ids that a sample finds heavy go the first way,
-    with their few headers broadcast, so no task gets all lines of such an id.
+    Otherwise lines are shuffled by header id, joined where they arrive and
+    de-duplicated there. The join comes first: its sort makes use of any order
+    in which lines arrive, and fewer of them are left to group. Lines of ids
+    that a sample finds heavy go the first way, with their few headers
+    broadcast, so no task gets all lines of such an id.
     """
     lines = items.select(*ITEM_COLUMNS).where(F.col(HEADER_KEY).isNotNull())
 
@@ -64,11 +66,15 @@ def lines_of_headers(items: DataFrame, headers: DataFrame) -> DataFrame:
 
     if fits_broadcast(measured_bytes(headers)):
         return spread(lines, headers)
+
+    def together(some: DataFrame) -> DataFrame:
+        return some.repartition(HEADER_KEY).join(headers, HEADER_KEY).dropDuplicates(ITEM_COLUMNS)
+
     heavy = heavy_headers(items)
     if not heavy:
-        return lines.repartition(HEADER_KEY).distinct().join(headers, HEADER_KEY)
+        return together(lines)
     is_heavy = F.col(HEADER_KEY).isin(*heavy)
-    light = lines.where(~is_heavy).repartition(HEADER_KEY).distinct().join(headers, HEADER_KEY)
+    light = together(lines.where(~is_heavy))
     return light.unionByName(spread(lines.where(is_heavy), headers.where(is_heavy)))
 
 

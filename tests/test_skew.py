@@ -105,6 +105,17 @@ def test_one_shuffle_by_header_id_without_heavy_ids(spark, monkeypatch):
         assert df.count() == even.distinct().count()
 
 
+def test_lines_meet_their_headers_before_copies_are_grouped(spark, monkeypatch):
+    monkeypatch.setattr("lapakdw.runtime.BROADCAST_BYTES", -1)
+    even = lines(spark).where("transaction_id <> 'HOT'")
+    keyed = materialize(heads(spark).select("transaction_id", F.lit(7).alias("outlet_sk")), "heads")
+    df = lines_of_headers(even, keyed)
+    text = plan(df)
+    assert text.index("HashAggregate") < text.index("Join")  # read from the bottom
+    found = sorted(map(tuple, df.select(*even.columns, "outlet_sk").collect()))
+    assert found == sorted((*row, 7) for row in even.distinct().collect())
+
+
 def test_copies_of_lines_are_dropped_before_the_shuffle(spark):
     text = plan(items_dedup(lines(spark)))
     assert text.count("Exchange") == 1
