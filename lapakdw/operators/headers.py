@@ -54,7 +54,9 @@ def lines_of_headers(items: DataFrame, headers: DataFrame) -> DataFrame:
     which combines copies within each task and spreads the lines of any header.
     Otherwise lines are shuffled by header id, joined where they arrive and
     de-duplicated there. The join comes first: its sort makes use of any order
-    in which lines arrive, and fewer of them are left to group. Lines of ids
+    in which lines arrive, and fewer of them are left to group. Whole joined rows
+    are grouped, which agree where lines do: a grouping by the columns of lines
+    would hold the others twice in memory. Lines of ids
     that a sample finds heavy go the first way, with their few headers
     broadcast, so no task gets all lines of such an id.
     """
@@ -68,7 +70,7 @@ def lines_of_headers(items: DataFrame, headers: DataFrame) -> DataFrame:
         return spread(lines, headers)
 
     def together(some: DataFrame) -> DataFrame:
-        return some.repartition(HEADER_KEY).join(headers, HEADER_KEY).dropDuplicates(ITEM_COLUMNS)
+        return some.repartition(HEADER_KEY).join(headers, HEADER_KEY).distinct()
 
     heavy = heavy_headers(items)
     if not heavy:

@@ -18,10 +18,11 @@ MB = 1024 * 1024
 # than what a shuffle of the fact would move, and little enough for an executor.
 BROADCAST_BYTES = 256 * MB
 
-# Compressed input per shuffle partition.
-PARTITION_BYTES = 512 * MB
+# Compressed input per shuffle partition. Rows are several times larger in a
+# shuffle, and ten times and more where a task sorts or groups them in memory.
+PARTITION_BYTES = 8 * MB
 
-# Default for the most shuffle partitions of a load: 100 TB of input at that size.
+# Default for the most shuffle partitions of a load: 1.6 TB of input at that size.
 MAX_PARTITIONS = 200_000
 
 # Input per step of the size that adaptive execution aims at.
@@ -90,12 +91,14 @@ def shuffle_settings(
     """Settings for a large load over ``frames``.
 
     The partition count follows the input, because adaptive execution can only
-    merge shuffle partitions, never add them; the size it merges and splits
-    towards grows with the input too, so that a large table is not written as
-    millions of small files. Skewed join partitions are split even where that
-    costs another shuffle behind the join. A count or size chosen by the user is
-    left alone. ``max_partitions`` bounds the count; beyond it partitions grow.
-    The settings hold for the whole session while they are applied.
+    merge shuffle partitions, never add them, and it may not merge below that
+    count either: by bytes alone it would put so many rows into a task that its
+    sorts and groupings spill. The size it splits towards grows with the input
+    too, so that a large table is not written as millions of small files. Skewed
+    join partitions are split even where that costs another shuffle behind the
+    join. A count or size chosen by the user is left alone. ``max_partitions``
+    bounds the count; beyond it partitions grow. The settings hold for the whole
+    session while they are applied.
     """
     settings = {
         "spark.sql.adaptive.enabled": "true",
@@ -107,10 +110,14 @@ def shuffle_settings(
     aim = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     if target > TARGET_BYTES and spark.conf.get(aim) in (f"{TARGET_BYTES}b", "64MB"):
         settings[aim] = str(target)
+    parts = min(-(-size // PARTITION_BYTES), max_partitions)
     chosen = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     if spark.conf.get(chosen, None) is None:
         base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        settings[chosen] = str(max(base, min(-(-size // PARTITION_BYTES), max_partitions)))
+        settings[chosen] = str(max(base, parts))
+    kept = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
+    if parts > spark.sparkContext.defaultParallelism and spark.conf.get(kept, None) is None:
+        settings[kept] = str(parts)
     return settings
 
 

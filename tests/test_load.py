@@ -241,6 +241,18 @@ def test_partition_count_follows_the_input(spark, stored, monkeypatch):
     assert large["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(512 * 1024 * 1024)
 
 
+def test_partitions_are_small_enough_to_sort_in_memory(spark, stored, monkeypatch, sql_settings):
+    """The size of shuffled bytes alone must not merge partitions until their rows spill."""
+    fact, kept = stored.table(FACT), "spark.sql.adaptive.coalescePartitions.minPartitionNum"
+    assert kept not in shuffle_settings(spark, fact)  # a small input
+    monkeypatch.setattr("lapakdw.runtime.scan_bytes", lambda *frames: 2**30)
+    settings = shuffle_settings(spark, fact)
+    assert int(settings[kept]) == int(settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 128
+    assert shuffle_settings(spark, fact, max_partitions=50)[kept] == "50"
+    sql_settings(**{kept: "7"})
+    assert kept not in shuffle_settings(spark, fact)
+
+
 def test_sources_of_unknown_size_do_not_count(spark):
     assert scan_bytes(small_shop(spark).items) == 0
 

@@ -116,6 +116,16 @@ def test_lines_meet_their_headers_before_copies_are_grouped(spark, monkeypatch):
     assert found == sorted((*row, 7) for row in even.distinct().collect())
 
 
+def test_grouping_lines_holds_no_column_twice(spark, monkeypatch):
+    monkeypatch.setattr("lapakdw.runtime.BROADCAST_BYTES", -1)
+    even = lines(spark).where("transaction_id <> 'HOT'")
+    keyed = materialize(heads(spark).select("transaction_id", F.lit(7).alias("outlet_sk")), "heads")
+    df = lines_of_headers(even.unionByName(even), keyed)
+    grouping = [t for t in plan(df).splitlines() if "HashAggregate" in t]
+    assert grouping and all("functions=[]" in t for t in grouping)
+    assert df.count() == even.distinct().count()
+
+
 def test_copies_of_lines_are_dropped_before_the_shuffle(spark):
     text = plan(items_dedup(lines(spark)))
     assert text.count("Exchange") == 1
