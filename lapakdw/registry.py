@@ -17,7 +17,7 @@ from lapakdw.plans import dims as d
 from lapakdw.plans import dq, fact, load, metrics
 from lapakdw.plans import profile as p
 from lapakdw.plans.warehouse import MONTH, TABLES, YEAR, Warehouse
-from lapakdw.runtime import materialize, new_scratch
+from lapakdw.runtime import materialize, new_scratch, shuffle_settings, sql_conf
 from lapakdw.sources import standin
 from lapakdw.sources.raw import HEADER_COLUMNS, Slice, read_raw, register_raw, slice_filter
 from lapakdw.sources.standin import StandinViews
@@ -94,8 +94,9 @@ def q_slice_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_write_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, path = warehouse(spark, sf_dir).table(fact.FACT), new_scratch(spark, "full")
-    for _ in range(2):
-        load.write_full(load.by_month(stored), path, (YEAR, MONTH))
+    with sql_conf(spark, shuffle_settings(spark, stored)):
+        for _ in range(2):
+            load.write_full(load.by_month(stored), path, (YEAR, MONTH))
     return spark.read.parquet(path).groupBy(YEAR, MONTH).agg(F.count("*").alias("rows"))
 
 

@@ -3,6 +3,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from lapakdw import registry
 from lapakdw.plans.fact import FACT, fact_transaksi_item
 from lapakdw.plans.load import (
     build_warehouse,
@@ -11,6 +12,7 @@ from lapakdw.plans.load import (
     load_idempotency,
     warehouse_integrity,
     write_append,
+    write_full,
 )
 from lapakdw.plans.warehouse import MONTH, TABLES, YEAR, ConcurrentLoadError, Warehouse, partition_columns
 from lapakdw.runtime import PARTITION_BYTES, clear_scratch, materialize, scan_bytes, scratch_paths, shuffle_settings
@@ -253,6 +255,17 @@ def test_partitions_are_small_enough_to_sort_in_memory(spark, stored, monkeypatc
     assert kept not in shuffle_settings(spark, fact)
 
 
+def test_rewriting_the_fact_keeps_partitions_small(spark, sf_dir, monkeypatch):
+    kept, seen = "spark.sql.adaptive.coalescePartitions.minPartitionNum", []
+    registry.warehouse(spark, sf_dir)
+    monkeypatch.setattr("lapakdw.runtime.scan_bytes", lambda *frames: 2**30)
+    plain = write_full
+    monkeypatch.setattr("lapakdw.plans.load.write_full", lambda *a: (seen.append(spark.conf.get(kept, None)), plain(*a)))
+    found = registry.queries()["write_full"](spark, sf_dir)
+    assert len(seen) == 2 and all(int(n or 0) >= 128 for n in seen)
+    assert found.agg(F.sum("rows")).first()[0] == registry.warehouse(spark, sf_dir).table(FACT).count()
+
+
 def test_sources_of_unknown_size_do_not_count(spark):
     assert scan_bytes(small_shop(spark).items) == 0
 
