@@ -61,7 +61,7 @@ BLOCK_IDS = 1 << 18
 SHARD_IDS = 1 << 25
 PART_IDS = 1 << 20
 # Characters encoded at once; longer texts are cut where pieces are sure to begin.
-ENCODE_CHARS = 500_000
+ENCODE_CHARS = 1_000_000
 # Pieces a task remembers twice of, the newer and the older ones, and the longest it remembers.
 CACHE_PIECES = 300_000
 CACHE_CHARS = 64
@@ -101,8 +101,8 @@ def unpack(control: bytes, spelled: bytes, n: int) -> np.ndarray:
 
 def _flat(column: pa.Array, kind: str = "u1") -> tuple[np.ndarray, np.ndarray]:
     """All values of a column of byte strings one behind the other, and how many each row has."""
-    column = column.cast(pa.binary())
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     values = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
     values = np.ascontiguousarray(values).view(kind)
@@ -124,6 +124,14 @@ def spelled_bytes() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def byte_places(text: str) -> np.ndarray:
+    """Where each character begins in the UTF-8 bytes of a text, and behind them where the last one ends."""
+    codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    places = np.zeros(len(codes) + 1, np.int64)
+    np.cumsum(1 + (codes >= 0x80).astype(np.int8) + (codes >= 0x800) + (codes >= 0x10000), out=places[1:])
+    return places
+
+
 class Pieces(dict[str, bytes]):
     """The ids of pieces, merged when first asked for. Long pieces are merged every time."""
 
@@ -138,7 +146,10 @@ class Pieces(dict[str, bytes]):
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            tokens = self.merge(piece.encode().decode("latin-1").translate(self.spell))
+            if piece.isascii() and piece.isprintable():  # all but the space stand for themselves
+                tokens = self.merge(piece.replace(" ", self.spell[32]))
+            else:
+                tokens = self.merge(piece.encode().decode("latin-1").translate(self.spell))
             ids = array(self.code, map(self.id_of, tokens)).tobytes()
         if len(piece) <= CACHE_CHARS:
             self[piece] = ids
@@ -177,6 +188,21 @@ class Encoder:
     def _bytes(self, ids: Sequence[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
+    def _pieces(self, whole: str, starts: np.ndarray) -> tuple[np.ndarray, bytes]:
+        """Where the ids of each piece begin, and the ids of all. Arrow finds equal pieces, which are asked for once."""
+        spelled, cuts = whole.encode(), np.append(starts, len(whole)).astype(np.int64)
+        places = cuts if len(spelled) == len(whole) else byte_places(whole).take(cuts)
+        buffers = [None, pa.py_buffer(places), pa.py_buffer(spelled)]
+        which = pa.Array.from_buffers(pa.large_string(), len(starts), buffers).dictionary_encode().indices
+        # They are numbered in the order of their first places.
+        first = np.flatnonzero(np.diff(np.maximum.accumulate(which.to_numpy()), prepend=-1))
+        different = [whole[a:b] for a, b in zip(cuts.take(first).tolist(), cuts.take(first + 1).tolist())]
+        ids = pa.array(list(map(self.known.__getitem__, different)), pa.large_binary())
+        values, lengths = _flat(ids.take(which))
+        upto = np.zeros(len(starts) + 1, np.int64)
+        np.cumsum(lengths, out=upto[1:])
+        return upto, values.tobytes()
+
     def texts(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little endian, two bytes each where the vocabulary allows it."""
         odd = [i for i, t in enumerate(texts) if not self.by_pieces or any(token in t for token in self.added)]
@@ -186,12 +212,11 @@ class Encoder:
         ends = np.cumsum(lengths)
         whole = "".join(plain)
         starts = piece_starts(whole, (ends - lengths)[lengths > 0])
-        at = starts.tolist()
         if len(self.known) > CACHE_PIECES:
             self.known = self.known.next_generation()
-        coded = list(map(self.known.__getitem__, [whole[a:b] for a, b in zip(at, [*at[1:], len(whole)])]))
-        first, last = np.searchsorted(starts, ends - lengths).tolist(), np.searchsorted(starts, ends).tolist()
-        found = [b"".join(coded[a:b]) for a, b in zip(first, last)]
+        upto, coded = self._pieces(whole, starts)
+        first, last = np.searchsorted(starts, ends - lengths), np.searchsorted(starts, ends)
+        found = [coded[a:b] for a, b in zip(upto.take(first).tolist(), upto.take(last).tolist())]
         for i, encoding in asked.items():
             found[i] = self._bytes(encoding.ids)
         return found

@@ -161,3 +161,14 @@ def test_frequent_ids_are_short_and_files_are_checked(spark, tmp_path):
     (tmp_path / "a.ids").write_bytes(b"something else entirely, long enough")
     with pytest.raises(ValueError):
         list(tokenfile.read_shard(path, rank_of))
+
+
+def test_equal_pieces_are_looked_up_once(monkeypatch):
+    asked = []
+    monkeypatch.setattr(
+        tokenfile.Pieces, "__getitem__", lambda self, piece: (asked.append(piece), dict.__getitem__(self, piece))[1], raising=False
+    )
+    texts = ["satu dua", " dua satu é é 漢漢", "", "dua dua dua\u00e9"] * 50
+    found = ids_of(tokenfile.Encoder(PATH), texts)
+    assert [list(ids) for ids in found] == [plain_ids(t)[:-1] for t in texts]
+    assert len(asked) == len(set(asked))
