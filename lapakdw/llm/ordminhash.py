@@ -52,6 +52,8 @@ SMALL_BUCKET, TILE_MEMBERS, TABLE_COLUMNS = 32, 512, 4096
 CHUNK_CHARS = 500_000
 BLOCK = 1 << 15
 PAIR_BATCH_BYTES = 32 << 20
+# Largest measured size of the shingles of all texts in buckets that are sent to every executor.
+SHINGLE_BYTES = 16 << 20
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -265,40 +267,49 @@ def components(links: DataFrame) -> DataFrame:
     """``node, label`` for every node of the links ``(a, b)``; the label is the smallest node of its component.
 
     Large-star and small-star steps in turn: each node's larger (then smaller)
-    neighbours are tied to its smallest one, until nothing moves. The links of
-    a step are stored, so that a step never runs twice.
+    neighbours are tied to its smallest one, until every node is tied to one
+    that is tied to no smaller one. The links of a step are stored, so that a
+    step never runs twice.
     """
-    edges = materialize(
-        links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges"
-    )
-
-    def stamp(df: DataFrame) -> tuple:
-        row = df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        return row[0], row[1]
-
-    before = stamp(edges)
-    while before[0]:
+    ends = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
+    edges = materialize(ends, "edges")
+    if edges.isEmpty():
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
+    while True:
         both = edges.union(edges.select("v", "u"))
         # Stored, so that the join behind can split the many edges of one node.
         least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.where("u <> v").distinct(), "edges")
-        smallest = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        nearest = broadcast_if_measured(least.withColumnRenamed("u", "v"))
+        large = materialize(edges.join(nearest, "v").select("u", F.col("m").alias("v")), "edges")
+        smallest = materialize(large.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("most")), "least")
+        tied = broadcast_if_measured(smallest.select("u", "m"))
+        inner = large.join(tied.select(F.col("u").alias("v")), "v", "left_semi").select("v")
+        if smallest.where("m < most").select("u").union(inner).isEmpty():
+            break
         small = (
-            large.join(smallest, "u")
+            large.join(tied, "u")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(smallest.select("u", F.col("m").alias("v")))
         )
         edges = materialize(small.where("u <> v").distinct(), "edges")
-        after = stamp(edges)
-        if after == before:
-            break
-        before = after
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
+    return smallest.select(F.col("u").alias("node"), F.col("m").alias("label")).union(
+        smallest.select(F.col("m").alias("node"), F.col("m").alias("label")).distinct()
     )
 
 
+def join_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The ``node, label`` of ``components`` after further links ``(a, b)``, which only tie labels to each other."""
+    known = broadcast_if_measured(labels)
+    for end in ("a", "b"):
+        named = known.select(F.col("node").alias(end), "label")
+        links = links.join(named, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+    tied = materialize(components(links), "tied")
+    over = broadcast_if_measured(tied.select(F.col("node").alias("label"), F.col("label").alias("least")))
+    moved = labels.join(over, "label", "left").select("node", F.coalesce("least", "label").alias("label"))
+    # Labels have their row above; other nodes of the links have none yet.
+    return moved.union(tied.join(known.select("node"), "node", "left_anti").select("node", "label"))
+
+
 def _lengths_fit(a: str, b: str) -> Column:
     return F.least(a, b) >= SIMILARITY * F.greatest(a, b)
 
@@ -320,26 +331,26 @@ def short_buckets(reps: DataFrame) -> DataFrame:
     return rarest.where("x.texts > 1").select(F.xxhash64(F.lit(-1), "x.shingle").alias("bucket"), "rep", "n")
 
 
-def near_links(documents: DataFrame, reps: DataFrame) -> DataFrame:
-    """Verified links ``(a, b)`` between representatives, enough to connect all that are connected in some bucket."""
+def near_labels(documents: DataFrame, reps: DataFrame) -> DataFrame:
+    """``node, label`` of the representatives with verified links, which connect all that are connected in some bucket."""
     keyed = reps.select("rep", "n", F.posexplode("sketches").alias("seat", "sketch")).select(
         F.xxhash64("seat", "sketch").alias("bucket"), "rep", "n"
     )
     keyed = keyed.union(materialize(short_buckets(reps), "short"))
     shared = materialize(keyed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
-    members = materialize(keyed.join(shared, "bucket"), "members")
+    members = materialize(keyed.join(broadcast_if_measured(shared), "bucket"), "members")
     # A text that meets many others is likely to be what they are copies of: the best first guess for a leader.
     met = members.groupBy("rep").agg(F.sum("size").alias("met"), F.min("n").alias("n"))
-    met = materialize(met, "met")
+    met = broadcast_if_measured(materialize(met, "met"))
     best = members.select("bucket", "rep").join(met, "rep").groupBy("bucket").agg(
         F.max(F.struct("met", (-F.col("rep")).alias("last"), "n")).alias("x")
     )
     leaders = materialize(
         best.select("bucket", (-F.col("x.last")).alias("leader"), F.col("x.n").alias("leader_n")), "leaders"
     )
-    members = materialize(members.drop("size").join(leaders, "bucket"), "members")
+    members = materialize(members.drop("size").join(broadcast_if_measured(leaders), "bucket"), "members")
     heads = reps.join(met.select("rep"), "rep").select("rep", "head_doc_id", "head_key")
-    shingles = fetch_shingles(documents, materialize(heads, "heads"))
+    shingles = broadcast_if_measured(fetch_shingles(documents, materialize(heads, "heads")), SHINGLE_BYTES)
 
     star = members.where(F.col("rep") != F.col("leader")).where(_lengths_fit("n", "leader_n"))
     tried = materialize(star.select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
@@ -347,16 +358,17 @@ def near_links(documents: DataFrame, reps: DataFrame) -> DataFrame:
 
     # The leader has met the whole bucket; two others from different components can still be tied.
     rest = members.where(F.col("rep") != F.col("leader")).select("bucket", "rep", "n")
-    rest = rest.join(components(links).withColumnRenamed("node", "rep"), "rep", "left")
+    labels = materialize(components(links), "labels")
+    rest = rest.join(broadcast_if_measured(labels.withColumnRenamed("node", "rep")), "rep", "left")
     rest = materialize(rest.withColumn("label", F.coalesce("label", "rep")), "rest")
     split = rest.groupBy("bucket").agg(
         F.count("*").alias("size"), F.min("label").alias("least"), F.max("label").alias("most")
     ).where("least < most")
     split = materialize(split.select("bucket", "size"), "split")
-    rest = materialize(rest.join(split, "bucket"), "rest")
+    rest = materialize(rest.join(broadcast_if_measured(split), "bucket"), "rest")
     small, large = rest.where(F.col("size") <= SMALL_BUCKET), rest.where(F.col("size") > SMALL_BUCKET)
     more = verify(small_bucket_pairs(small, tried), shingles)
-    return links.union(more).union(large_bucket_links(large, shingles))
+    return join_labels(labels, more.union(large_bucket_links(large, shingles)))
 
 
 def small_bucket_pairs(rest: DataFrame, tried: DataFrame) -> DataFrame:
@@ -369,7 +381,7 @@ def small_bucket_pairs(rest: DataFrame, tried: DataFrame) -> DataFrame:
     )
     fitting = pairs.where(_lengths_fit("x.n", "y.n")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return fitting.distinct().join(known, ["a", "b"], "left_anti")
+    return fitting.distinct().join(broadcast_if_measured(known), ["a", "b"], "left_anti")
 
 
 def _overlaps(texts: list[np.ndarray]) -> np.ndarray:
@@ -451,11 +463,14 @@ def classify(documents: DataFrame) -> DataFrame:
         ),
         "reps",
     )
-    labels = components(near_links(documents, reps))
+    labels = broadcast_if_measured(materialize(near_labels(documents, reps), "labels"))
     grouped = reps.select("rep", "digest", "head").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    grouped = materialize(grouped.withColumn("label", F.coalesce("label", "rep")), "labels")
-    first = materialize(grouped.groupBy("label").agg(F.min("head").alias("first")), "first")
-    classes = materialize(grouped.join(first, "label").select("digest", "head", "first"), "classes")
+    grouped = materialize(grouped.drop("rep"), "labels")
+    # A text without links is the first of its class.
+    tied = grouped.where(F.col("label").isNotNull())
+    first = broadcast_if_measured(materialize(tied.groupBy("label").agg(F.min("head").alias("first")), "first"))
+    classes = grouped.join(first, "label", "left").select("digest", "head", F.coalesce("first", "head").alias("first"))
+    classes = materialize(classes, "classes")
     joined = rows.drop("sketches", "few").join(classes, "digest", "left")
     kept = F.col("first").isNull() | (
         F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))

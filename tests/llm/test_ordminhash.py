@@ -187,3 +187,57 @@ def test_short_texts_with_common_lines(spark):
     docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
     want = dict(zip(range(len(docs)), brute.classes(docs)))
     assert classes(spark, docs) == want
+
+
+def stored_tables(monkeypatch):
+    """Name and rows of each table stored from now on."""
+    stored, store = [], om.materialize
+
+    def counted(df, label):
+        found = store(df, label)
+        stored.append((label, found.count()))
+        return found
+
+    monkeypatch.setattr(om, "materialize", counted)
+    return stored
+
+
+def test_components_end_once_all_are_tied_to_the_smallest(spark, monkeypatch):
+    """A step over a settled table costs as much as any other; none is taken to see that nothing moves."""
+    links = spark.createDataFrame([(50, i) for i in range(1, 50)] + [(i, 50) for i in range(51, 90)], "a long, b long")
+    stored = stored_tables(monkeypatch)
+    found = {r["node"]: r["label"] for r in om.components(links).collect()}
+    assert found == {i: 1 for i in range(1, 90)}
+    assert len(stored) <= 8
+
+
+def test_links_of_leaders_are_not_walked_again(spark, monkeypatch):
+    """Copies of one text, edited in places of their own: the leader ties them all, which leaves no links for later."""
+    base = [f"w{i}" for i in range(300)]
+    docs = [(i, " ".join([*base[: 7 * i], f"v{i}", *base[7 * i + 1 :]])) for i in range(20)]
+    stored = stored_tables(monkeypatch)
+    assert classes(spark, docs) == {i: 0 for i in range(20)}
+    edges = [rows for label, rows in stored if label == "edges"]
+    assert edges[0] > 0 and edges[-1] == 0
+
+
+def test_further_links_join_labels(spark):
+    rng = random.Random(11)
+    first = [(rng.randrange(80), rng.randrange(80)) for _ in range(40)]
+    more = [(rng.randrange(100), rng.randrange(100)) for _ in range(25)] + [(3, 3), (200, 201)]
+    frames = [spark.createDataFrame(pairs, "a long, b long") for pairs in (first, more, first + more)]
+    labels = om.materialize(om.components(frames[0]), "labels")
+    rows = om.join_labels(labels, frames[1]).collect()
+    assert len({r["node"] for r in rows}) == len(rows)
+    want = {r["node"]: r["label"] for r in om.components(frames[2]).collect()}
+    assert {r["node"]: r["label"] for r in rows} == want
+
+
+@pytest.mark.parametrize("small", [32, 1])
+def test_same_classes_without_broadcasts(spark, monkeypatch, small):
+    monkeypatch.setattr(om, "broadcast_if_measured", lambda df, limit=0: df)
+    monkeypatch.setattr(om, "SMALL_BUCKET", small)
+    rng = random.Random(12)
+    texts = [t for size in (3, 8, 60, 120) for t in family(rng, size, 6, 5)]
+    docs = list(enumerate(texts))
+    assert classes(spark, docs) == dict(zip(range(len(docs)), brute.classes(docs)))
